@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from acreline.errors import DataValidationError
 from acreline.functions.expressions import is_unusable, rbf_similarity
 from acreline.operators.checks import check_clusters, require_columns
+from acreline.operators.keys import parts_for
 
 Centre = tuple[float, ...]
 
@@ -45,7 +46,6 @@ def fit_centres(
     seed: int = 42,
     restarts: int = 1,
     max_iter: int = 100,
-    rows_per_part: int = 100_000,
     check: bool = True,
 ) -> list[Centre]:
     """Centres sorted by position (so that their numbers mean the same in every run)."""
@@ -56,9 +56,7 @@ def fit_centres(
             raise DataValidationError(f"{bad} cluster weights are missing, infinite or negative")
     points = weighted_points(df, x, y, weight).persist()
     try:
-        distinct = points.count()
-        parts = max(8, -(-distinct // rows_per_part))
-        laid = points.repartition(parts, "x", "y").sortWithinPartitions("x", "y")
+        laid = points.repartition(parts_for(points.count()), "x", "y").sortWithinPartitions("x", "y")
         table = VectorAssembler(inputCols=["x", "y"], outputCol="point").transform(laid).select("point", "w").persist()
         try:
             best = None

@@ -30,7 +30,14 @@ def hash_sample(df: DataFrame, rows: int, id_cols: Sequence[str] | None = None,
     return df.withColumn("__h", order).orderBy("__h", row_key(df, id_cols)).limit(rows).drop("__h")
 
 
-def stable_layout(df: DataFrame, id_cols: Sequence[str] | None, rows_per_part: int = 250_000) -> DataFrame:
+def parts_for(rows: int) -> int:
+    """Number of partitions for an iterative learner, from the row count alone: small tasks on
+    small tables, about a million rows per task on large ones, never more tasks than a driver can
+    follow."""
+    return max(1, min(-(-rows // 20_000), max(2_000, -(-rows // 1_000_000)), 100_000))
+
+
+def stable_layout(df: DataFrame, id_cols: Sequence[str] | None) -> DataFrame:
     """Same partitions and same row order for the same rows, however the input was laid out.
 
     The iterative learners depend on both. The number of partitions follows the row count only.
@@ -38,7 +45,7 @@ def stable_layout(df: DataFrame, id_cols: Sequence[str] | None, rows_per_part: i
     rows would share a partition; they are spread first, which is safe because they are equal.
     """
     rows = df.count()
-    parts = max(8, -(-rows // rows_per_part))
+    parts = parts_for(rows)
     keyed = df.withColumn("__k", row_key(df, id_cols))
     if id_cols:
         laid = keyed.repartition(parts, "__k")
