@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.clustering import KMeans
@@ -45,7 +46,8 @@ def fit_centres(
     clusters: int = 10,
     seed: int = 42,
     restarts: int = 1,
-    max_iter: int = 100,
+    max_iter: int = 300,
+    tol: float = 1e-4,
     check: bool = True,
 ) -> list[Centre]:
     """Centres sorted by position (so that their numbers mean the same in every run)."""
@@ -56,13 +58,17 @@ def fit_centres(
             raise DataValidationError(f"{bad} cluster weights are missing, infinite or negative")
     points = weighted_points(df, x, y, weight).persist()
     try:
-        laid = points.repartition(parts_for(points.count()), "x", "y").sortWithinPartitions("x", "y")
+        shape = points.agg(F.count(F.lit(1)), F.var_pop("x") + F.var_pop("y")).first()
+        laid = points.repartition(parts_for(shape[0] // 10), "x", "y").sortWithinPartitions("x", "y")
+        # Stop when the squared moves of all centres sum to 1e-4 of the mean variance of an axis.
+        # Spark tests each centre on its own, by distance.
+        stop = math.sqrt(tol * (shape[1] or 0.0) / 2.0 / clusters) or 1e-9
         table = VectorAssembler(inputCols=["x", "y"], outputCol="point").transform(laid).select("point", "w").persist()
         try:
             best = None
             for turn in range(restarts):
                 model = KMeans(
-                    k=clusters, seed=seed + turn, weightCol="w", featuresCol="point", maxIter=max_iter, tol=1e-4
+                    k=clusters, seed=seed + turn, weightCol="w", featuresCol="point", maxIter=max_iter, tol=stop
                 ).fit(table)
                 cost = model.summary.trainingCost
                 if best is None or cost < best[0]:

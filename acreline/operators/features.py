@@ -172,8 +172,11 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     # Pass 1
     raw = {c: finite(F.col(f"`{c}`").cast("double")) for c in inputs}
     weight = F.col(label).cast("double") if label and spec.geo else None
-    extra = {"bad_weights": bad_weights(weight)} if weight is not None else {}
+    extra = {"rows": F.count(F.lit(1))}
+    if weight is not None:
+        extra["bad_weights"] = bad_weights(weight)
     fills, found = fill_values(train, raw, spec.numeric_strategy, extra)
+    rows = found["rows"]
     require_filled(fills, inputs)
     if found.get("bad_weights"):
         raise DataValidationError(f"{found['bad_weights']} targets are no usable cluster weights")
@@ -195,7 +198,7 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     for tag, value in {**logs, **rest, **geo}.items():
         extra |= _moments(tag, value)
     ratios = {name: _ratio(pair, fills) for name, pair in spec.ratios.items()}
-    ratio_fills, found = fill_values(train, ratios, spec.numeric_strategy, extra)
+    ratio_fills, found = fill_values(train, ratios, spec.numeric_strategy, extra, rows)
     require_filled(ratio_fills, list(ratios))
     scales = {tag: _scale(found, tag) for tag in (*logs, *rest, *geo)}
 
@@ -218,7 +221,7 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
             name: finite(_scaled(logs[f"log:{c}"], scales[f"log:{c}"]))
             for name, c in zip(_fillable(spec), spec.logs)
         }
-    final_fills, found = fill_values(train, outputs, spec.final_strategy, extra)
+    final_fills, found = fill_values(train, outputs, spec.final_strategy, extra, rows)
     scales |= {tag: _scale(found, tag) for tag in (*imputed, *similar)}
     return {
         "fills": fills,

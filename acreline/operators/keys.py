@@ -34,7 +34,8 @@ def parts_for(rows: int) -> int:
     """Number of partitions for an iterative learner, from the row count alone: small tasks on
     small tables, about a million rows per task on large ones, never more tasks than a driver can
     follow."""
-    return max(1, min(-(-rows // 20_000), max(2_000, -(-rows // 1_000_000)), 100_000))
+    small = max(1, min(8, rows // 2_000))
+    return max(small, min(-(-rows // 20_000), max(2_000, -(-rows // 1_000_000)), 100_000))
 
 
 def stable_layout(df: DataFrame, id_cols: Sequence[str] | None) -> DataFrame:

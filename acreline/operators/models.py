@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
@@ -19,7 +20,7 @@ from acreline.errors import DataValidationError
 from acreline.functions.metrics import SUPPORTED, check_metrics
 from acreline.operators.checks import check_choice, require_columns, require_rows
 from acreline.operators.evaluate import HIGHER_IS_BETTER, QUALITY_THRESHOLD, evaluate
-from acreline.operators.features import FeatureSpec, TabularFeatures
+from acreline.operators.features import FeatureSpec, TabularFeatures, TabularFeaturesModel
 from acreline.operators.keys import stable_layout
 from acreline.operators.split import fold_parts, kfold, random_split, stratified_split
 from acreline.session import ensure_checkpoint_dir
@@ -86,7 +87,8 @@ def build_regressor(name: str, settings: Mapping[str, Any] | None = None, seed:
     learner = _BUILDERS[name](
         featuresCol="features", labelCol=label, predictionCol="prediction", seed=seed, maxMemoryInMB=1024
     )
-    return learner.setParams(**values, cacheNodeIds=True, checkpointInterval=10)
+    # Carrying node ids along pays off only where trees are deep enough to be costly to walk.
+    return learner.setParams(**values, cacheNodeIds=values["maxDepth"] > 12, checkpointInterval=10)
 
 
 @dataclass
@@ -113,23 +115,50 @@ class Training:
         return [c for c in helpers if c in df.columns]
 
 
-def fit_full(
-    df: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
-) -> PipelineModel:
-    """Features and learner fitted on ``df`` as one saveable object."""
+@dataclass
+class Prepared:
+    """Learned features and the kept training matrix; any number of learners can be fitted on it."""
+
+    features: TabularFeaturesModel
+    assembler: VectorAssembler
+    table: DataFrame
+
+    def release(self) -> None:
+        self.table.unpersist()
+
+
+def prepare(df: DataFrame, training: Training) -> Prepared:
+    """Learn the features on ``df`` and keep (features, label) in a layout that depends on the rows
+    alone."""
     require_rows(df, "training data")
     require_columns(df, [training.label, *training.id_cols])
-    ensure_checkpoint_dir(df.sparkSession)
     features = TabularFeatures(
         spec=training.spec, labelCol=training.label, dropCols=training.no_features(df), seed=training.seed
     ).fit(df)
     assembler = VectorAssembler(inputCols=features.feature_names(), outputCol="features")
-    matrix = assembler.transform(features.select_features(df, *training.id_cols, training.label)).select(
-        *training.id_cols, "features", training.label
-    )
-    laid = stable_layout(matrix, training.id_cols).select("features", training.label)
-    learner = build_regressor(name, settings, training.seed, training.label).fit(laid)
-    return PipelineModel([features, assembler, learner])
+    matrix = assembler.transform(features.select_features(df, *training.id_cols, training.label))
+    laid = stable_layout(matrix.select(*training.id_cols, "features", training.label), training.id_cols)
+    return Prepared(features, assembler, laid.select("features", training.label).persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def fit_on(
+    prepared: Prepared, name: str, training: Training, settings: Mapping[str, Any] | None = None
+) -> PipelineModel:
+    """Features and learner as one saveable object."""
+    ensure_checkpoint_dir(prepared.table.sparkSession)
+    learner = build_regressor(name, settings, training.seed, training.label).fit(prepared.table)
+    return PipelineModel([prepared.features, prepared.assembler, learner])
+
+
+def fit_full(
+    df: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
+) -> PipelineModel:
+    """Features and learner fitted on ``df``."""
+    prepared = prepare(df, training)
+    try:
+        return fit_on(prepared, name, training, settings)
+    finally:
+        prepared.release()
 
 
 def predict(model: PipelineModel, df: DataFrame, out: str = "prediction") -> DataFrame:
@@ -142,10 +171,8 @@ def score(model: PipelineModel, df: DataFrame, set_name: str, training: Training
     return evaluate(predict(model, df), set_name, training.label, "prediction", training.metrics)
 
 
-def validation_scores(
-    train: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
-) -> list[dict[str, float]]:
-    """One set of metrics per holdout or fold; features are learned again inside each of them."""
+def validation_sets(train: DataFrame, training: Training) -> Iterator[tuple[str, DataFrame, DataFrame]]:
+    """(name, rows to fit on, rows to score) of the holdout or of every fold."""
     if training.validation == "single_split":
         split = stratified_split if training.stratum else random_split
         keys = {"stratum": training.stratum} if training.stratum else {}
@@ -153,14 +180,21 @@ def validation_scores(
             train, id_cols=training.id_cols, test_size=training.val_size, seed=training.seed,
             salt="val", part_col="val_part", names=("fit", "val"), **keys,
         )
-        model = fit_full(parted.filter("val_part = 'fit'"), name, training, settings)
-        return [score(model, parted.filter("val_part = 'val'"), "validation", training)]
+        yield "validation", parted.filter("val_part = 'fit'"), parted.filter("val_part = 'val'")
+        return
     folded = kfold(train, training.folds, training.stratum, training.id_cols, training.seed)
-    scores = []
     for fold in range(training.folds):
-        fit_rows, val_rows = fold_parts(folded, fold)
+        yield f"validation_fold_{fold + 1}", *fold_parts(folded, fold)
+
+
+def validation_scores(
+    train: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
+) -> list[dict[str, float]]:
+    """One set of metrics per holdout or fold; features are learned again inside each of them."""
+    scores = []
+    for set_name, fit_rows, val_rows in validation_sets(train, training):
         model = fit_full(fit_rows, name, training, settings)
-        scores.append(score(model, val_rows, f"validation_fold_{fold + 1}", training))
+        scores.append(score(model, val_rows, set_name, training))
     return scores
 
 

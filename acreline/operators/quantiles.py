@@ -78,11 +78,13 @@ def exact_quantiles(
     extra: Mapping[str, Column] | None = None,
     interior_limit: int = INTERIOR_LIMIT,
     accuracy: int = ACCURACY,
+    known_rows: int | None = None,
 ) -> Quantiles:
     """Exact ``probs`` quantiles of every expression in ``columns``; missing values are skipped.
 
     ``extra`` aggregates of the same frame ride along in the first pass. A column without any value
-    has count 0 and no quantiles.
+    has count 0 and no quantiles. ``known_rows``, when the caller has counted already, saves the
+    sketch pass on frames that need none.
     """
     extra = extra or {}
     if not columns:
@@ -91,6 +93,17 @@ def exact_quantiles(
     names = list(columns)
     tagged = {name: f"__v{i}" for i, name in enumerate(names)}
     frame = df.withColumns({tagged[n]: columns[n].cast("double") for n in names})
+    if known_rows is not None and known_rows <= interior_limit:
+        row = frame.agg(
+            *[c.alias(f"x_{k}") for k, c in extra.items()],
+            *[F.count(tagged[n]).alias(f"n_{tagged[n]}") for n in names],
+            *[F.percentile(F.col(tagged[n]), list(probs)).alias(tagged[n]) for n in names],
+        ).first()
+        return Quantiles(
+            {n: list(row[tagged[n]] or []) for n in names},
+            {n: row[f"n_{tagged[n]}"] for n in names},
+            {k: row[f"x_{k}"] for k in extra},
+        )
     first = _sketch(frame, [tagged[n] for n in names], probs, accuracy, extra)
     counts = {n: first[f"n_{i}"] for i, n in enumerate(names)}
     result = Quantiles(

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark import StorageLevel
@@ -12,7 +13,16 @@ from pyspark.sql import DataFrame, SparkSession
 from acreline.operators.checks import require_rows
 from acreline.operators.clean import TARGET_CAP, add_stratum, clean_capped, normalize_missing
 from acreline.operators.contract import Contract
-from acreline.operators.models import Training, score, train
+from acreline.operators.models import (
+    Prepared,
+    Training,
+    fit_on,
+    gate,
+    score,
+    summarize,
+    validation_sets,
+)
+from acreline.operators.models import prepare as prepare_matrix
 from acreline.operators.split import require_strata, stratified_split
 from acreline.session import fresh_dir
 
@@ -40,6 +50,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@dataclass
+class _Run:
+    """One model on its way through validation, gate, refit and test."""
+
+    name: str
+    settings: Mapping[str, Any] | None
+    folds: list[dict[str, float]] = field(default_factory=list)
+    summary: dict[str, float] = field(default_factory=dict)
+    test: dict[str, float] = field(default_factory=dict)
+    error: str | None = None
+
+    def attempt(self, step: Callable[[], None]) -> None:
+        """A failure ends this model's run and is reported; the other models go on."""
+        if self.error is None:
+            try:
+                step()
+            except Exception as problem:
+                self.error = str(problem)[:500]
+
+
 def train_all(
     parted: DataFrame,
     training: Training,
@@ -48,31 +78,54 @@ def train_all(
 ) -> DataFrame:
     """Train every named model on the same split rows; one that fails does not stop the others.
 
-    Returns one row per model: status, error, validation summary and test scores.
+    The features of a fold are learned once and serve all models. Returns one row per model:
+    status, error, validation summary and test scores.
     """
     spark: SparkSession = parted.sparkSession
     require_rows(parted, "split table")
-    train_rows, test_rows = parted.filter("part = 'train'"), parted.filter("part = 'test'")
-    train_rows.persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
+    train_rows = parted.filter("part = 'train'").persist(StorageLevel.MEMORY_AND_DISK)
+    test_rows = parted.filter("part = 'test'")
+    runs = [_Run(name, settings) for name, settings in models.items()]
+    kept = {} if keep is None else keep
+
+    def validate(run: _Run, ready: Prepared, set_name: str, val_rows: DataFrame) -> None:
+        model = fit_on(ready, run.name, training, run.settings)
+        run.folds.append(score(model, val_rows, set_name, training))
+
+    def pass_gate(run: _Run) -> None:
+        run.summary = summarize(run.folds)
+        gate(run.summary, training)
+
+    def refit(run: _Run, ready: Prepared) -> None:
+        kept[run.name] = fit_on(ready, run.name, training, run.settings)
+        run.test = score(kept[run.name], test_rows, "test", training)
+
     try:
-        for name, settings in models.items():
-            try:
-                model, summary = train(train_rows, name, training, settings)
-                scores = score(model, test_rows, "test", training)
-                rows.append((name, "ok", None, *_numbers(summary, scores, training.metrics)))
-                if keep is not None:
-                    keep[name] = model
-            except Exception as problem:  # any failure of one model is a row of the report
-                rows.append((name, "failed", str(problem)[:500], *[None] * (3 * len(training.metrics))))
+        for set_name, fit_rows, val_rows in validation_sets(train_rows, training):
+            ready = prepare_matrix(fit_rows, training)
+            for run in runs:
+                run.attempt(lambda run=run: validate(run, ready, set_name, val_rows))
+            ready.release()
+        for run in runs:
+            run.attempt(lambda run=run: pass_gate(run))
+        if any(run.error is None for run in runs):
+            ready = prepare_matrix(train_rows, training)
+            for run in runs:
+                run.attempt(lambda run=run: refit(run, ready))
+            ready.release()
     finally:
         train_rows.unpersist()
-    names = [f"validation_{k}_{m}" for m in training.metrics for k in ("mean", "std")]
-    names += [f"test_{m}" for m in training.metrics]
-    schema = "model string, status string, error string" + "".join(f", {n} double" for n in names)
+    keys = [f"validation_{k}_{m}" for m in training.metrics for k in ("mean", "std")]
+    schema = "model string, status string, error string"
+    schema += "".join(f", {k} double" for k in keys) + "".join(f", test_{m} double" for m in training.metrics)
+    rows = [
+        (
+            run.name,
+            "ok" if run.error is None else "failed",
+            run.error,
+            *[run.summary.get(k) for k in keys],
+            *[run.test.get(m) for m in training.metrics],
+        )
+        for run in runs
+    ]
     return spark.createDataFrame(rows, schema)
-
-
-def _numbers(summary: Mapping[str, float], scores: Mapping[str, float], metrics: Sequence[str]) -> list[float]:
-    fold = [summary[f"validation_{k}_{m}"] for m in metrics for k in ("mean", "std")]
-    return fold + [scores[m] for m in metrics]
