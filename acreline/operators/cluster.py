@@ -68,7 +68,7 @@ def fit_centres(
             best = None
             for turn in range(restarts):
                 model = KMeans(
-                    k=clusters, seed=seed + turn, weightCol="w", featuresCol="point", maxIter=max_iter, tol=stop
+                    k=clusters, seed=seed + turn, weightCol="w", featuresCol="point", maxIter=max_iter, tol=stop, solver="block"
                 ).fit(table)
                 cost = model.summary.trainingCost
                 if best is None or cost < best[0]:
