@@ -186,7 +186,7 @@ def _corr_sql() -> str:
 
 @query("corr_matrix", f"WITH {DISTRICT}\n{_corr_sql()}")
 def corr_matrix(spark, sf_dir):
-    return round_all(profile.correlations(district(spark, sf_dir), NUMERIC))
+    return round_all(profile.correlations(several_passes(district(spark, sf_dir)), NUMERIC))
 
 
 RATIOS = {
