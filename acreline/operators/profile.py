@@ -253,7 +253,15 @@ def category_share(df: DataFrame, column: str) -> DataFrame:
     return known.withColumn("pct", F.col("n_rows") * 100.0 / F.lit(total)).orderBy(F.desc("n_rows"), column)
 
 
-def correlations(df: DataFrame, columns: Sequence[str], batch: int = 12) -> DataFrame:
+def pearson(a: str, b: str) -> Column:
+    """r over the rows where both are known; missing when one of them does not vary there (the
+    built-in ``corr`` divides by zero then, an error in ANSI mode)."""
+    x, y = F.col(a), F.col(b)
+    spread = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
+    return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
+
+
+def correlations(df: DataFrame, columns: Sequence[str], batch: int = 6) -> DataFrame:
     """Pearson's r of every pair, both ways and with itself, over the rows where both are known.
 
     Pairs go ``batch`` to an aggregation: one aggregation of dozens of pairs compiles to code too
@@ -272,7 +280,7 @@ def correlations(df: DataFrame, columns: Sequence[str], batch: int = 12) -> Data
     result = spread.select(F.inline(F.array(*own)))
     for start in range(0, len(pairs), batch):
         part = pairs[start : start + batch]
-        row = df.agg(*[F.corr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
+        row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
         cells = [c for i, (a, b) in enumerate(part) for c in (cell(a, b, F.col(f"r{i}")), cell(b, a, F.col(f"r{i}")))]
         result = result.unionByName(row.select(F.inline(F.array(*cells))))
     return result
@@ -284,7 +292,7 @@ def target_correlations(
     """r of each column and of each added ratio with the target, largest first."""
     wide = df.withColumns({name: safe_ratio(F.col(a), F.col(b)) for name, (a, b) in ratios.items()})
     names = [*columns, *ratios]
-    row = wide.agg(*[F.corr(n, target).alias(f"r{i}") for i, n in enumerate(names)])
+    row = wide.agg(*[pearson(n, target).alias(f"r{i}") for i, n in enumerate(names)])
     return _unpivot(row, names, {"r": "r"}).orderBy(F.desc_nulls_last("r"), "column")
 
 
