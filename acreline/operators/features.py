@@ -43,7 +43,7 @@ from acreline.operators.impute import (
     fill_values,
     require_filled,
 )
-from acreline.operators.quantiles import modes, vocabulary
+from acreline.operators.quantiles import categories as category_counts
 
 UNKNOWN_MODES = ("error", "ignore", "infrequent_if_exist")
 
@@ -117,9 +117,21 @@ def _scale(found: Mapping[str, Any], tag: str) -> list[float]:
     return [float(found[f"{tag}_mean"] or 0.0), float(found[f"{tag}_std"] or 0.0)]
 
 
+def _point(spec: FeatureSpec) -> list[Column]:
+    return [F.col(f"__scaled_{i}") for i in range(len(spec.geo))]
+
+
+def with_point(df: DataFrame, spec: FeatureSpec, learned: Mapping[str, Any]) -> DataFrame:
+    """Adds the scaled coordinates, so that the similarities to all centres share them."""
+    fills, scales = learned["fills"], learned["scales"]
+    return df.withColumns(
+        {f"__scaled_{i}": _scaled(_filled(c, fills), scales[f"geo:{c}"]) for i, c in enumerate(spec.geo)}
+    )
+
+
 def feature_columns(spec: FeatureSpec, learned: Mapping[str, Any]) -> dict[str, Column]:
-    """All feature expressions by sanitised name, in branch order: ratios, logs, geo, categories,
-    remainder."""
+    """All feature expressions on a frame ``with_point``, by sanitised name, in branch order:
+    ratios, logs, geo, categories, remainder."""
     fills, scales = learned["fills"], learned["scales"]
     named: list[tuple[str, Column]] = []
     for name, pair in spec.ratios.items():
@@ -128,8 +140,7 @@ def feature_columns(spec: FeatureSpec, learned: Mapping[str, Any]) -> dict[str,
     for name in spec.logs:
         named.append((f"log__{name}", _scaled(log_plus_one(_filled(name, fills)), scales[f"log:{name}"])))
     if spec.geo:
-        point = [_scaled(_filled(c, fills), scales[f"geo:{c}"]) for c in spec.geo]
-        for name, value in similarity_columns(point, learned["centres"], spec.gamma).items():
+        for name, value in similarity_columns(_point(spec), learned["centres"], spec.gamma).items():
             named.append((f"geo__{name}", _scaled(value, scales[f"sim:{name}"])))
     for name in learned["categories"]:
         value = F.coalesce(_category(name, spec.merges), F.lit(learned["category_fills"][name]))
@@ -181,13 +192,15 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     if found.get("bad_weights"):
         raise DataValidationError(f"{found['bad_weights']} targets are no usable cluster weights")
     merged = {c: _category(c, spec.merges) for c in categories}
-    words = {c: vocabulary(train, merged[c], spec.max_categories) for c in categories}
+    counts = category_counts(train, merged, spec.max_categories)
+    words = {c: list(n) for c, n in counts.items()}
     if spec.category_strategy == "constant":
-        gaps = train.agg(*[F.count_if(merged[c].isNull()).alias(c) for c in categories]).first() if categories else {}
         category_fills = {c: CONSTANT_CATEGORY for c in categories}
-        words = {c: sorted({*w, *([CONSTANT_CATEGORY] if gaps[c] else [])}) for c, w in words.items()}
+        gappy = [c for c in categories if sum(counts[c].values()) < rows]
+        words |= {c: sorted({*words[c], CONSTANT_CATEGORY}) for c in gappy}
     else:
-        category_fills = modes(train, merged, "string")
+        # The first of the most frequent values in sorted order.
+        category_fills = {c: max(n, key=n.get) for c, n in counts.items() if n}
     require_filled(category_fills, categories)
 
     # Pass 2
@@ -206,9 +219,9 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     centres = []
     similar: dict[str, Column] = {}
     if spec.geo:
-        point = [_scaled(geo[f"geo:{c}"], scales[f"geo:{c}"]) for c in spec.geo]
-        centres = fit_centres(train, *point, weight, spec.clusters, seed, check=False)
-        similar = {f"sim:{n}": c for n, c in similarity_columns(point, centres, spec.gamma).items()}
+        train = with_point(train, spec, {"fills": fills, "scales": scales})
+        centres = fit_centres(train, *_point(spec), weight, spec.clusters, seed, check=False)
+        similar = {f"sim:{n}": c for n, c in similarity_columns(_point(spec), centres, spec.gamma).items()}
 
     # Pass 4
     imputed = {f"ratio:{n}": F.coalesce(c, F.lit(float(ratio_fills[n]))) for n, c in ratios.items()}
@@ -277,7 +290,7 @@ class TabularFeatures(Estimator, _FeatureParams, DefaultParamsReadable, DefaultP
 
 
 class TabularFeaturesModel(Model, _FeatureParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Adds the feature columns to a frame: map-only, one projection."""
+    """Adds the feature columns to a frame: map-only."""
 
     learned = Param(Params._dummy(), "learned", "learned statistics", TypeConverters.identity)
 
@@ -291,8 +304,9 @@ class TabularFeaturesModel(Model, _FeatureParams, DefaultParamsReadable, Default
         return list(self.columns())
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumns(self.columns())
+        return self.select_features(dataset, *dataset.columns)
 
     def select_features(self, dataset: DataFrame, *keep: str) -> DataFrame:
         """Only the feature matrix, and the columns to keep beside it."""
-        return dataset.select(*keep, *[c.alias(n) for n, c in self.columns().items()])
+        ready = with_point(dataset, self.feature_spec(), self.statistics())
+        return ready.select(*[F.col(f"`{k}`") for k in keep], *[c.alias(n) for n, c in self.columns().items()])

@@ -234,14 +234,29 @@ def modes(df: DataFrame, columns: Mapping[str, Column], type_name: str) -> dict[
     return {row["column"]: row["mode"] for row in best.collect()}
 
 
+def categories(df: DataFrame, columns: Mapping[str, Column], max_size: int = 1_000) -> dict[str, dict[str, int]]:
+    """Rows per value of each text column, values sorted; all columns in one shuffle.
+
+    A column per value follows, so a column with more than ``max_size`` values is an error. The
+    check comes before anything is collected.
+    """
+    if not columns:
+        return {}
+    counts = value_counts(df, columns, "string")
+    rows = counts.limit(max_size * len(columns) + 1).collect()
+    found: dict[str, dict[str, int]] = {name: {} for name in columns}
+    for row in sorted(rows, key=lambda r: r["value"]):
+        found[row["column"]][row["value"]] = row["n"]
+    large = [name for name, words in found.items() if len(words) > max_size]
+    if large:
+        raise ValueError(f"more than {max_size} categories in {large}: a column per category is no use here")
+    return found
+
+
 def vocabulary(df: DataFrame, column: str | Column, max_size: int = 1_000) -> list[str]:
-    """Sorted distinct values. One output column per value follows, hence the error on too many."""
+    """Sorted distinct values of one text column."""
     value = F.col(column) if isinstance(column, str) else column
-    found = df.select(value.alias("value")).filter("value IS NOT NULL").distinct()
-    values = [row["value"] for row in found.limit(max_size + 1).collect()]
-    if len(values) > max_size:
-        raise ValueError(f"more than {max_size} categories: a column per category is no use here")
-    return sorted(values)
+    return list(categories(df, {"value": value}, max_size)["value"])
 
 
 def quantiles_by(
@@ -262,9 +277,10 @@ def quantiles_by(
     """
     known = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
     sizes = known.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    hot = [row[by] for row in sizes.filter(F.col("n") > interior_limit).collect()]
+    large = sizes.filter(F.col("n") > interior_limit).select(by)
+    hot = [row[by] for row in large.collect()]
     cold = (
-        (known.filter(~F.col(by).isin(hot)) if hot else known)
+        (known.join(large, by, "left_anti") if hot else known)
         .groupBy(by)
         .agg(F.percentile(F.col(value).cast("double"), list(probs)).alias("q"))
         .select(by, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])

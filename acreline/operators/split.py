@@ -22,6 +22,8 @@ MAX_STRATA = 10_000
 PREFIX_STEP = 3
 BUCKET_LIMIT = 50_000
 COPY_BLOCK = 100_000
+# A hash text per cell: 100,000 cells are some 5 MB. Larger cut tables are joined as Spark sees fit.
+BROADCAST_CELLS = 100_000
 
 
 # --- how many rows each slice gets -----------------------------------------------------------
@@ -164,7 +166,8 @@ def assign_slices(
     for n in names:
         number = number + (F.col("__h") > F.col(n)).cast("int")
     if stratum:
-        placed = keyed.join(F.broadcast(cut_table), "__s")
+        small = len(table) * slices <= BROADCAST_CELLS
+        placed = keyed.join(F.broadcast(cut_table) if small else cut_table, "__s")
     else:
         only = next(iter(table.values()), [])
         placed = keyed.withColumns({n: F.lit(v) for n, v in zip(names, only)})
