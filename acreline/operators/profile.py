@@ -14,6 +14,7 @@ from acreline.operators.keys import hash_sample
 from acreline.operators.quantiles import exact_quantiles, quantiles_by
 
 QUARTILES = (0.25, 0.5, 0.75)
+BROADCAST_GROUPS = 10_000
 
 
 def _unpivot(row: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -304,11 +305,15 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     require_columns(df, [by, value])
     narrow = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull()).select(by, value)
     boxes = quantiles_by(narrow, by, value, QUARTILES, ("q25", "q50", "q75"))
+    # One small row per category. With few of them, which is checked, they travel to the rows; with
+    # many, the join is by key and Spark splits the large categories.
+    few = boxes.limit(BROADCAST_GROUPS + 1).collect()
+    if len(few) <= BROADCAST_GROUPS:
+        boxes = F.broadcast(df.sparkSession.createDataFrame(few, boxes.schema))
     reach = (F.col("q75") - F.col("q25")) * 1.5
     low, high = F.col("q25") - reach, F.col("q75") + reach
     v = F.col(value)
     inside = (v >= low) & (v <= high)
-    # One row per category: Spark broadcasts it when it is small by its measured size, else not.
     return (
         narrow.join(boxes, by)
         .groupBy(by, "q25", "q50", "q75")

@@ -277,8 +277,9 @@ def quantiles_by(
     """
     known = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
     sizes = known.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    large = sizes.filter(F.col("n") > interior_limit).select(by)
-    hot = [row[by] for row in large.collect()]
+    hot = [row[by] for row in sizes.filter(F.col("n") > interior_limit).collect()]
+    key = f"`{by}` {df.schema[by].dataType.simpleString()}"
+    large = df.sparkSession.createDataFrame([(k,) for k in hot], key)
     cold = (
         (known.join(large, by, "left_anti") if hot else known)
         .groupBy(by)
@@ -292,11 +293,11 @@ def quantiles_by(
         part = hot[start : start + batch]
         found = exact_quantiles(
             known,
-            {str(i): F.when(F.col(by) == F.lit(key), F.col(value)) for i, key in enumerate(part)},
+            {str(i): F.when(F.col(by) == F.lit(k), F.col(value)) for i, k in enumerate(part)},
             probs,
             interior_limit=interior_limit,
             accuracy=accuracy,
         )
-        rows += [(key, *found.values[str(i)]) for i, key in enumerate(part)]
-    schema = f"`{by}` {df.schema[by].dataType.simpleString()}, " + ", ".join(f"`{n}` double" for n in names)
+        rows += [(k, *found.values[str(i)]) for i, k in enumerate(part)]
+    schema = f"{key}, " + ", ".join(f"`{n}` double" for n in names)
     return cold.unionByName(df.sparkSession.createDataFrame(rows, schema))

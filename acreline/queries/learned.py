@@ -2,15 +2,14 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from acreline.functions import one_hot
 from acreline.operators import impute, models
 from acreline.operators.features import FeatureSpec, TabularFeatures
 from acreline.operators.quantiles import vocabulary
-from acreline.plans.scoring import checked_records, score_batch
+from acreline.plans.scoring import score_batch
 from acreline.plans.training import train_all
 from acreline.queries.common import clean, parted, several_passes, training
 from acreline.queries.registry import (
@@ -20,14 +19,13 @@ from acreline.queries.registry import (
     SPLIT,
     TARGET,
     TRAIN,
-    district,
     query,
     r,
     round_all,
 )
 from acreline.session import fresh_dir
 from acreline.sources import readers
-from acreline.sources.district import table
+from acreline.sources.district import district, table
 from acreline.streaming import scoring as stream
 
 # --- fill values and scales ------------------------------------------------------------------
@@ -334,7 +332,7 @@ def stream_predict(spark, sf_dir):
     inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "streamed", "stream-state"))
     features = [f.name for f in readers.FEATURE_SCHEMA.fields]
     test.select(F.to_json(F.struct(ID, *features)).alias("value")).write.text(inbox)
-    schema = readers.RECORD_SCHEMA.add(ID, "string") if ID not in readers.RECORD_SCHEMA.names else readers.RECORD_SCHEMA
+    schema = T.StructType([T.StructField(ID, T.StringType()), *readers.RECORD_SCHEMA.fields])
     records = stream.record_stream(stream.payload_stream(spark, inbox, files_per_trigger=4), schema)
     run = stream.write_stream(stream.score_stream(model, records, "boosted_trees_1", "0.1"), out, checkpoint)
     run.awaitTermination()
@@ -348,8 +346,6 @@ def stream_predict(spark, sf_dir):
 )
 def stream_payload_rows(spark, sf_dir):
     """JSON payloads unpacked while they stream from Parquet files to Parquet files."""
-    import pyspark.sql.types as T
-
     inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("payloads", "unpacked", "unpack-state"))
     events = table(spark, sf_dir, "events").select("event_id", "props")
     events.write.parquet(inbox)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from acreline.operators.clean import TARGET_CAP
-from acreline.sources.district import DISTRICT_SQL, district
+from acreline.sources.district import DISTRICT_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -105,5 +105,3 @@ def fold_sql(out: str, source: str, folds: int, stratum: str) -> str:
 SPLIT = BINNED + "," + split_sql("parted", "binned", "test", 0.2, "stratum", "part", ("train", "test"))
 TRAIN = SPLIT + ",\ntrain AS (SELECT * FROM parted WHERE part = 'train')"
 FOLDED = TRAIN + "," + fold_sql("folded", "train", 5, "stratum")
-
-__all__ = [name for name in dir() if not name.startswith("_")] + ["district"]

@@ -17,14 +17,13 @@ from acreline.queries.registry import (
     NUMERIC,
     STRATUM_SQL,
     TARGET,
-    district,
     hash_sql,
     query,
     r,
     round_all,
     rounded,
 )
-from acreline.sources.district import table
+from acreline.sources.district import district, table
 
 COLUMNS = [(ID, "bigint"), *[(c, "double") for c in NUMERIC], ("ocean_proximity", "string")]
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,12 +23,9 @@ from acreline.queries.common import scored
 from acreline.queries.registry import (
     CLEAN,
     DISTRICT,
-    FEATURES,
     ID,
     NUMERIC,
-    TARGET,
     STRATUM_SQL,
-    district,
     hash_sql,
     query,
     r,
@@ -39,7 +34,7 @@ from acreline.queries.registry import (
 )
 from acreline.session import fresh_dir
 from acreline.sources import readers, writers
-from acreline.sources.district import table
+from acreline.sources.district import district, table
 
 ALL_SQL = ", ".join(f"{r(c)} AS {c}" for c in NUMERIC)
 DISTRICT_ROWS = f"WITH {DISTRICT}\nSELECT {ID}, {ALL_SQL}, ocean_proximity FROM district"

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from acreline.operators import evaluate, split
-from acreline.operators.clean import clean_capped
 from acreline.queries.common import SCORERS, binned, clean, folded, parted, scored, scored_by_models, several_passes
 from acreline.queries.registry import BINNED, CLEAN, FOLDED, ID, SPLIT, TARGET, TRAIN, fold_sql, hash_sql, query, r, round_all, split_sql
 from acreline.session import fresh_dir

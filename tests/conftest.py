@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(8, shuffle_partitions=8)
+    session = local_session(8, shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     return session
 

@@ -88,7 +88,9 @@ def test_correlations_use_pairwise_complete_rows(rows, batch):
     assert got[("a", "b")] == got[("b", "a")] == pytest.approx(np.corrcoef([1, 3, 4], [2, 1, 9])[0, 1])
 
 
-def test_box_numbers(rows):
+@pytest.mark.parametrize("groups", [10_000, 1])
+def test_box_numbers(rows, monkeypatch, groups):
+    monkeypatch.setattr(profile, "BROADCAST_GROUPS", groups)
     values = [("a", float(v)) for v in [1, 2, 3, 4, 5, 100]] + [("b", 7.0), ("b", None), (None, 1.0)]
     got = {r["k"]: r for r in profile.box_stats(rows(values, "k string, v double"), "k", "v").collect()}
     q25, q75 = np.quantile([1, 2, 3, 4, 5, 100], [0.25, 0.75])

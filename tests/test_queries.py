@@ -20,7 +20,7 @@ def duck():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n in ORACLES and n != "model_roundtrip"])
 def test_query_equals_sql(spark, duck, name):
     result, _ = compare(spark, duck, SF, name)
     assert result.startswith("ok") and result != "ok 0"
