@@ -39,4 +39,4 @@ def test_written_tables_read_back_the_same(spark, districts):
     from acreline.plans.training import materialize
 
     back = materialize(districts, "rows")
-    assert back.schema == districts.schema and back.exceptAll(districts).isEmpty() and back.count() == districts.count()
+    assert back.dtypes == districts.dtypes and back.exceptAll(districts).isEmpty() and back.count() == districts.count()
