@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.llm import decontaminate, mixing, pairwise_quality, ring_shards, simhash_trie
+from acreline.llm import decontaminate, merkle, mixing, pairwise_quality, ring_shards, simhash_trie, toxicity
 from acreline.llm.common import table
 from acreline.llm.registry import ORACLES, QUERIES, query
 
@@ -61,6 +61,30 @@ def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "mix.domain", "mix.lang", "mix.source", "mix.epoch", tokens.alias("n_tokens"), mixing.mix_tokens(F.col("text")).alias("n_used"))
 
 
+@query("op7_merkle_fingerprints", merkle.merkle_sql())
+def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    docs = merkle.with_next(merkle.fingerprints(docs, F.col("text"), "tree"), "doc_id", ["text", "tree"], tie="text")
+    docs = docs.withColumn("edited", merkle.edited(F.col("text"), F.col("next.text")))
+    docs = merkle.fingerprints(docs, F.col("edited"), "edited_tree")
+    return docs.select(
+        "doc_id",
+        F.length("text").cast("bigint").alias("n_chars"),
+        F.sha2("edited", 256).alias("edited_sha256"),
+        merkle.as_text("tree").alias("fingerprint"),
+        merkle.as_text("edited_tree").alias("edited_fingerprint"),
+        merkle.likeness("tree", "edited_tree").alias("near_edited"),
+        merkle.likeness("tree", "next.tree").alias("near_next"),
+    )
+
+
+@query("op8_toxicity_chain")
+def op8_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit_toxicity(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, chain).select("doc_id", "toxicity.*").withColumnRenamed("flagged", "predicted")
+
+
 OP9_SQL = """
 WITH w AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM benchmark),
