@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.llm import decontaminate, merkle, mixing, pairwise_quality, ring_shards, simhash_trie, toxicity
+from acreline.llm import arc_to_warc, decontaminate, merkle, mixing, pairwise_quality, ring_shards, simhash_trie, toxicity
 from acreline.llm.common import table
 from acreline.llm.registry import ORACLES, QUERIES, query
+from acreline.session import fresh_dir
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -30,6 +31,19 @@ def op4_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", F.col("slot").cast("bigint").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "home_shard")
 
 
+@query("op5_arc_to_warc")
+def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as ARC files of both versions, converted to WARC files, which are read back."""
+    arc, warc = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    arc_to_warc.write_arc(pages, arc, version=F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(2)) + 1)
+    arc_to_warc.write_warc(arc_to_warc.arc_to_warc(arc_to_warc.read_arc(spark, arc)), warc)
+    back = arc_to_warc.read_warc(spark, warc)
+    return back.select(
+        F.col("key").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "record_id", "error"
+    )
+
+
 # The tables have no domain column; sources are dealt to four domains by their number.
 DOMAINS = ("web", "news", "books", "forum")
 WEIGHTS = {
