@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.llm import arc_to_warc, decontaminate, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, toxicity
+from acreline.llm import arc_to_warc, decontaminate, line_winnow, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, toxicity
 from acreline.llm.common import table
 from acreline.llm.registry import ORACLES, QUERIES, query
 from acreline.session import fresh_dir
@@ -19,6 +19,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select(F.col("id").alias("doc_id"), simhash_trie.hex_fingerprint(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
+@query("op2_line_winnowing")
+def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_winnow.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op3_pii_semicrf")
 def op3_pii_semicrf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
