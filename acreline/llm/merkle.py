@@ -22,6 +22,8 @@ range, which sorts and spills but is not split.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -79,14 +81,19 @@ def edits(one: str, two: str) -> Column:
     )
 
 
-def with_next(df: DataFrame, key: str, columns: list[str], tie: str, rows_per_range: int = RANGE) -> DataFrame:
-    """``df`` plus a struct ``next`` of ``columns`` of the row that follows; key has to be a whole number."""
+def with_next(
+    df: DataFrame, key: str, columns: list[str], tie: str, prepare: Callable[[DataFrame], DataFrame] = lambda x: x, rows_per_range: int = RANGE
+) -> DataFrame:
+    """``df`` plus a struct ``next`` of ``columns`` of the row that follows; key has to be a whole number.
+
+    ``prepare`` adds columns where the rows of a range have met, so that they need no shuffle.
+    """
     k, part, last = (free_name(df, f"__{x}") for x in ("key", "range", "copy"))
     low = -(2**63)
     keyed = df.withColumn(k, F.coalesce(F.col(key).cast("bigint"), F.lit(low)))
     n = keyed.count()
     if not n:
-        return df.withColumn("next", F.struct(*columns))
+        return (df := prepare(df)).withColumn("next", F.struct(*columns))
     ranges = max(1, min(RANGES, -(-n // rows_per_range)))
     shares = [i / ranges for i in range(1, ranges)]
     found = keyed.agg(F.min(k).alias("low"), (F.percentile_approx(k, shares, max(10_000, 10 * ranges)) if shares else F.array().cast("array<bigint>")).alias("cuts")).first()
@@ -105,10 +112,12 @@ def with_next(df: DataFrame, key: str, columns: list[str], tie: str, rows_per_ra
     before = F.pmod(F.col(part) - 1, F.lit(len(starts)))
     here = F.struct(F.col(part).alias("r"), F.lit(0).alias("c"))
     ahead = F.struct(before.alias("r"), F.lit(1).alias("c"))
-    laid = laid.withColumn(last, F.explode(F.when(begins, F.array(here, ahead)).otherwise(F.array(here))))
-    order = W.partitionBy(f"{last}.r").orderBy(f"{last}.c", k, tie)
-    row = F.lead(F.struct(*columns)).over(order)
-    return laid.withColumn("next", row).filter(F.col(f"{last}.c") == 0).drop(k, part, last)
+    copies = free_name(df, "__copies")
+    laid = laid.withColumn(copies, F.explode(F.when(begins, F.array(here, ahead)).otherwise(F.array(here))))
+    laid = laid.withColumn(part, F.col(f"{copies}.r")).withColumn(last, F.col(f"{copies}.c")).drop(copies)
+    met = prepare(laid.repartition(part))
+    row = F.lead(F.struct(*columns)).over(W.partitionBy(part).orderBy(last, k, tie))
+    return met.withColumn("next", row).filter(F.col(last) == 0).drop(k, part, last)
 
 
 def edited(text: Column, following: Column) -> Column:

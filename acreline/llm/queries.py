@@ -89,7 +89,8 @@ def op6_mix_to_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_merkle_fingerprints", merkle.merkle_sql())
 def op7_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    docs = merkle.with_next(merkle.fingerprints(docs, F.col("text"), "tree"), "doc_id", ["text", "tree"], tie="text")
+    grow = lambda rows: merkle.fingerprints(rows, F.col("text"), "tree")
+    docs = merkle.with_next(docs, "doc_id", ["text", "tree"], tie="text", prepare=grow)
     docs = docs.withColumn("edited", merkle.edited(F.col("text"), F.col("next.text")))
     docs = merkle.fingerprints(docs, F.col("edited"), "edited_tree")
     return docs.select(
