@@ -12,11 +12,11 @@ unit by unit. Runs that touch are merged, and the later run is deleted when it h
 more. Every deleted unit has an equal unit earlier in the corpus, so a first occurrence always stays.
 Immediate repeats of a unit count as a run of their own and are taken out before the grams are made.
 
-Each step is one shuffle of narrow rows: hashes of fingerprints, then the unit hashes of the texts that
-take part. A first text that very many others match makes a skewed join, which AQE splits.
+The texts are cut once, into a table of unit hashes and sizes; each step after that is a shuffle of narrow
+rows and texts never move. A first text that very many others match makes a skewed join, which AQE splits.
 
-Defined results: a null text stays null and an empty one empty; rows without id come last; of equal rows the
-first in the written table stays; a text that is all repeats becomes empty; an empty table gives an
+Defined results: a null text stays null and an empty one empty; rows without id come last, rows with one id
+in the order of their text's hash; of rows with one id and one text one stays; a text that is all repeats becomes empty; an empty table gives an
 empty table; other columns stay.
 """
 
@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acreline.llm.common import checkpointed, free_name, texts, written
@@ -48,8 +49,8 @@ def units(text: str) -> list[str]:
     return out
 
 
-def _hash(unit: str) -> int:
-    return xxhash.xxh64_intdigest(" ".join(unit.split()).encode(), 2) - (1 << 63)
+def _hash(words: list[str]) -> int:
+    return xxhash.xxh64_intdigest(" ".join(words).encode(), 2) - (1 << 63)
 
 
 def squeezed(h: np.ndarray) -> np.ndarray:
@@ -75,14 +76,17 @@ def winnow(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return gram[at].view(np.int64), at
 
 
-_CUT = pa.struct([("h", pa.list_(pa.int64())), ("g", pa.list_(pa.int64())), ("p", pa.list_(pa.int32()))])
+_CUT = pa.struct([("h", pa.list_(pa.int64())), ("chars", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("g", pa.list_(pa.int64())), ("p", pa.list_(pa.int32()))])
+_CUT_SCHEMA = "struct<h: array<bigint>, chars: array<int>, words: array<int>, g: array<bigint>, p: array<int>>"
 
 
-def _cut(text: str | None) -> dict:
-    h = np.fromiter((_hash(u) for u in units(text or "")), np.int64)
-    s = h[squeezed(h)]
-    g, p = winnow(s)
-    return {"h": s, "g": g, "p": p.astype(np.int32)}
+def _cut(text: str) -> dict:
+    """Hash, code points and words of each unit; fingerprints and their places among squeezed units."""
+    parts = units(text)
+    split = list(map(str.split, parts))
+    h = np.fromiter((_hash(ws) for ws in split), np.int64, len(parts))
+    g, p = winnow(h[squeezed(h)])
+    return {"h": h, "chars": list(map(len, parts)), "words": list(map(len, split)), "g": g, "p": p.astype(np.int32)}
 
 
 def matched_runs(later: np.ndarray, first: np.ndarray, shift: int) -> list[tuple[int, int]]:
@@ -97,68 +101,111 @@ def matched_runs(later: np.ndarray, first: np.ndarray, shift: int) -> list[tuple
     return [(lo + a, lo + b) for a, b in zip(starts.tolist(), ends.tolist()) if b - a >= short]
 
 
-def kept_units(text: str, runs: list[tuple[int, int]], min_words: int) -> list[bool]:
-    """Which units stay. ``runs`` are in squeezed places; immediate repeats join the run they follow."""
-    parts = units(text)
-    h = np.fromiter((_hash(u) for u in parts), np.int64)
+def deleted_units(h: np.ndarray, words: np.ndarray, runs: list[tuple[int, int]], min_words: int) -> np.ndarray:
+    """Which units go. ``runs`` are in squeezed places; immediate repeats join the run they follow."""
     place = squeezed(h)
-    gone = np.ones(len(parts), bool)
+    gone = np.ones(len(h), bool)
     gone[place] = False  # immediate repeats
-    ends = np.append(place[1:], len(parts)) if len(place) else place
+    ends = np.append(place[1:], len(h)) if len(place) else place
     for a, b in runs:
         gone[place[a] : ends[b - 1]] = True
+    total = np.concatenate(([0], np.cumsum(words)))
     edge = np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))
     for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
-        if sum(len(u.split()) for u in parts[a:b]) < min_words:
+        if total[b] - total[a] < min_words:
             gone[a:b] = False
-    return (~gone).tolist()
+    return gone
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with repeated runs deleted, plus ``n_units`` and ``n_deleted``."""
-    row, cut = free_name(docs, "__row"), free_name(docs, "__cut")
+_FOUND = [("n_units", pa.int32()), ("n_deleted", pa.int32()), ("deleted", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))]
+_FOUND_SCHEMA = "struct<n_units: int, n_deleted: int, deleted: array<struct<start: int, stop: int>>>"
+_NUMPY = {"zero_copy_only": False}
+
+
+def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """(id, digest, n_units, n_deleted, deleted, sources) per row: the ranges of code points to delete, and
+    the ids of the texts in which the matched runs occur first. ``digest`` is the hash of the text.
+
+    Rows with one id and one text are one text here; ``dedup_lines`` tells the copies apart.
+    """
 
-    @F.arrow_udf("struct<h: array<bigint>, g: array<bigint>, p: array<int>>")
-    def fingerprint(column: pa.Array) -> pa.Array:
+    @F.arrow_udf(_CUT_SCHEMA)
+    def cut(column: pa.Array) -> pa.Array:
         return pa.array([_cut(t) for t in texts(column)], _CUT)
 
-    laid = docs.withColumn(row, F.monotonically_increasing_id()).withColumn(cut, fingerprint(F.col(text_col)))
-    laid = written(laid, "winnow")  # from here on row numbers are fixed
-    order = F.struct(F.col(id_col).isNull().alias("lone"), F.col(id_col).alias("id"), F.col(row).alias("row"))
-    zipped = F.explode(F.arrays_zip(F.col(f"{cut}.g").alias("g"), F.col(f"{cut}.p").alias("p"))).alias("x")
-    prints = laid.select(order.alias("o"), zipped).select("x.g", F.struct("o.*", F.col("x.p").alias("at")).alias("o"))
-    firsts = prints.groupBy("g").agg(F.count("*").alias("n"), F.min("o").alias("first")).filter("n > 1").select("g", "first")
-    later = prints.join(firsts, "g").filter("o > first")
+    laid = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), cut(F.col(text_col)).alias("cut"))
+    laid = written(laid.select("id", "digest", "cut.*"), "winnow")
+    place = F.explode(F.arrays_zip("g", "p")).alias("x")
+    prints = laid.select("id", "digest", place).select("x.g", "id", "digest", F.col("x.p").alias("at"))
+    order = F.struct(F.col("id").isNull().alias("lone"), "id", "digest", "at")
+    firsts = prints.groupBy("g").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("g", "first")
+    later = prints.join(firsts, "g").filter(order > F.col("first"))
     diagonals = later.select(
-        F.col("o.row").alias("row"), F.col("first.row").alias("first"), (F.col("o.at") - F.col("first.at")).alias("shift")
+        "id", "digest", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"), (F.col("at") - F.col("first.at")).alias("shift")
     ).distinct()
     diagonals = checkpointed(diagonals)
-    hashes = laid.select(F.col(row).alias("r"), F.col(f"{cut}.h").alias("h"))
-    mine = diagonals.join(hashes, F.col("row") == F.col("r")).select("row", "first", "shift", F.col("h").alias("later"))
-    both = mine.join(hashes, F.col("first") == F.col("r")).select("row", "shift", "later", "h")
+    hashes = laid.select(F.col("id").alias("i"), F.col("digest").alias("d"), F.col("h").alias("other")).dropDuplicates(["i", "d"])
+    firsts_of = diagonals.join(hashes, F.col("first_id").eqNullSafe(F.col("i")) & (F.col("first_digest") == F.col("d"))).drop("i", "d", "first_digest")
+    gathered = firsts_of.select(F.col("id").alias("i"), F.col("digest").alias("d"), "first_id", "shift", "other")
 
     @F.arrow_udf("array<struct<a: int, b: int>>")
     def runs(shift: pa.Array, later: pa.Array, first: pa.Array) -> pa.Array:
         out = []
         for s, x, y in zip(shift, later, first):
-            found = matched_runs(x.values.to_numpy(zero_copy_only=False), y.values.to_numpy(zero_copy_only=False), s.as_py())
-            out.append([{"a": a, "b": b} for a, b in found])
+            x, y = x.values.to_numpy(**_NUMPY), y.values.to_numpy(**_NUMPY)
+            out.append([{"a": a, "b": b} for a, b in matched_runs(x[squeezed(x)], y[squeezed(y)], s.as_py())])
         return pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
 
-    spans = both.select("row", F.explode(runs("shift", "later", "h")).alias("s")).distinct()
-    spans = spans.groupBy(F.col("row").alias("r")).agg(F.collect_list("s").alias("s"))
+    same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
+    mine = laid.select("id", "digest", "h").dropDuplicates(["id", "digest"])
+    spans = gathered.join(mine, same).select("id", "digest", "first_id", F.explode(runs("shift", "h", "other")).alias("s"))
+    spans = spans.groupBy(F.col("id").alias("i"), F.col("digest").alias("d")).agg(
+        F.collect_set("s").alias("s"), F.array_sort(F.collect_set("first_id")).alias("sources")
+    )
 
-    @F.arrow_udf("struct<text: string, n_units: int, n_deleted: int>")
-    def clean(column: pa.Array, found: pa.Array) -> pa.Array:
+    @F.arrow_udf(_FOUND_SCHEMA)
+    def judge(h: pa.Array, chars: pa.Array, words: pa.Array, found: pa.Array) -> pa.Array:
+        rows = []
+        for x, c, w, s in zip(h, chars, words, found):
+            pairs = [(y["a"], y["b"]) for y in s.as_py() or ()]
+            gone = deleted_units(x.values.to_numpy(**_NUMPY), w.values.to_numpy(**_NUMPY), pairs, min_words)
+            border = np.concatenate(([0], np.cumsum(c.values.to_numpy(**_NUMPY))))
+            edge = border[np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))].tolist()
+            ranges = [{"start": a, "stop": b} for a, b in zip(edge[::2], edge[1::2])]
+            rows.append({"n_units": len(gone), "n_deleted": int(gone.sum()), "deleted": ranges})
+        return pa.array(rows, pa.struct(_FOUND))
+
+    joined = laid.join(spans, same, "left").select("id", "digest", judge("h", "chars", "words", "s").alias("f"), "sources")
+    sources = F.when(F.size("f.deleted") > 0, F.coalesce("sources", F.array().cast(spans.schema["sources"].dataType))).otherwise(F.array())
+    return joined.select("id", "digest", "f.*", sources.alias("sources"))
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+    """The documents with the repeated runs cut out. Of rows with one id and one text the first keeps what the
+    others lose; whether they lose anything depends on ``min_words`` too."""
+    digest, many = free_name(docs, "__digest"), free_name(docs, "__copy")
+    found = find_repeats(docs, id_col, text_col, min_words).dropDuplicates(["id", "digest"])
+    found = found.select(F.struct("id", "digest", "deleted").alias(many))
+    laid = docs.withColumn(digest, F.xxhash64(text_col))
+    same = F.col(id_col).eqNullSafe(F.col(f"{many}.id")) & (F.col(digest) == F.col(f"{many}.digest"))
+    copy = F.row_number().over(W.partitionBy(id_col, digest).orderBy(digest))
+    joined = laid.join(found, same)
+    nth = free_name(docs, "__nth")
+    joined = joined.withColumn(nth, copy)
+
+    @F.arrow_udf("string")
+    def cut(column: pa.Array, ranges: pa.Array, copy: pa.Array) -> pa.Array:
         rows = []
-        for x, s in zip(column, found):
-            t = x.as_py()
-            stay = kept_units(t or "", [(y["a"], y["b"]) for y in s.as_py() or ()], min_words)
-            left = t if all(stay) else "".join(u for u, k in zip(units(t), stay) if k)
-            rows.append({"text": left, "n_units": len(stay), "n_deleted": len(stay) - sum(stay)})
-        return pa.array(rows, pa.struct([("text", pa.string()), ("n_units", pa.int32()), ("n_deleted", pa.int32())]))
-
-    joined = laid.drop(cut).join(spans, F.col(row) == F.col("r"), "left")
-    done = joined.withColumn(cut, clean(F.col(text_col), F.col("s")))
-    columns = [F.col(f"{cut}.text").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return done.select(*columns, F.col(f"{cut}.n_units").alias("n_units"), F.col(f"{cut}.n_deleted").alias("n_deleted"))
+        for x, r, n in zip(column, ranges, copy):
+            t, r = x.as_py(), r.as_py()
+            if t is None:
+                rows.append(None)
+            elif n.as_py() > 1 and len(t.split()) >= min_words:
+                rows.append("")
+            else:
+                stops = [0, *(y["stop"] for y in r)]
+                rows.append("".join(t[a:b] for a, b in zip(stops, [*(y["start"] for y in r), len(t)])))
+        return pa.array(rows, pa.string())
+
+    clean = cut(F.col(text_col), F.col(f"{many}.deleted"), F.col(nth)).alias(text_col)
+    return joined.select(*(clean if c == text_col else F.col(c) for c in docs.columns))

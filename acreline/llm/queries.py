@@ -21,7 +21,10 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_line_winnowing")
 def op2_line_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_winnow.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """What is deleted where (code points, end exclusive), and the documents that have it first."""
+    found = line_winnow.find_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ranges = F.transform("deleted", lambda x: F.concat_ws(":", x["start"].cast("string"), x["stop"].cast("string")))
+    return found.select(F.col("id").alias("doc_id"), "n_units", "n_deleted", F.array_join(ranges, ",").alias("deleted"), "sources")
 
 
 @query("op3_pii_semicrf")
