@@ -41,8 +41,7 @@ _PIECE = re.compile(r"(?:\S++\s*+){1,%d}|\s++" % WORDS)
 def units(text: str) -> list[str]:
     """The text in units; joined they are the text again."""
     out = []
-    for m in _UNIT.finditer(text):
-        u = m.group()
+    for u in _UNIT.findall(text):
         if u:
             # a sentence of more than WORDS words is cut; most are not, and counting blanks is cheap
             out += [u] if u.count(" ") < WORDS else _PIECE.findall(u)
@@ -77,16 +76,22 @@ def winnow(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 _CUT = pa.struct([("h", pa.list_(pa.int64())), ("chars", pa.list_(pa.int32())), ("words", pa.list_(pa.int32())), ("g", pa.list_(pa.int64())), ("p", pa.list_(pa.int32()))])
-_CUT_SCHEMA = "struct<h: array<bigint>, chars: array<int>, words: array<int>, g: array<bigint>, p: array<int>>"
+_RANGES = pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())]))
+_CUT = pa.struct([*_CUT, ("n_deleted", pa.int32()), ("deleted", _RANGES)])
+_CUT_SCHEMA = """struct<h: array<bigint>, chars: array<int>, words: array<int>, g: array<bigint>, p: array<int>,
+    n_deleted: int, deleted: array<struct<start: int, stop: int>>>"""
 
 
-def _cut(text: str) -> dict:
-    """Hash, code points and words of each unit; fingerprints and their places among squeezed units."""
+def _cut(text: str, min_words: int = MIN_WORDS) -> dict:
+    """Hash, code points and words of each unit; fingerprints and their places among squeezed units; what
+    goes if no other text matches."""
     parts = units(text)
     split = list(map(str.split, parts))
     h = np.fromiter((_hash(ws) for ws in split), np.int64, len(parts))
     g, p = winnow(h[squeezed(h)])
-    return {"h": h, "chars": list(map(len, parts)), "words": list(map(len, split)), "g": g, "p": p.astype(np.int32)}
+    chars, words = np.array(list(map(len, parts)), np.int32), np.array(list(map(len, split)), np.int32)
+    out = {"h": h, "chars": chars, "words": words, "g": g, "p": p.astype(np.int32), "n_deleted": 0, "deleted": []}
+    return out if len(g) and len(np.unique(h)) == len(h) else out | _judged(h, chars, words, [], min_words)
 
 
 def matched_runs(later: np.ndarray, first: np.ndarray, shift: int) -> list[tuple[int, int]]:
@@ -117,8 +122,15 @@ def deleted_units(h: np.ndarray, words: np.ndarray, runs: list[tuple[int, int]],
     return gone
 
 
-_FOUND = [("n_units", pa.int32()), ("n_deleted", pa.int32()), ("deleted", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))]
-_FOUND_SCHEMA = "struct<n_units: int, n_deleted: int, deleted: array<struct<start: int, stop: int>>>"
+def _judged(h: np.ndarray, chars: np.ndarray, words: np.ndarray, runs: list[tuple[int, int]], min_words: int) -> dict:
+    gone = deleted_units(h, words, runs, min_words)
+    border = np.concatenate(([0], np.cumsum(chars)))
+    edge = border[np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))].tolist()
+    return {"n_deleted": int(gone.sum()), "deleted": [{"start": a, "stop": b} for a, b in zip(edge[::2], edge[1::2])]}
+
+
+_FOUND = pa.struct([("n_deleted", pa.int32()), ("deleted", _RANGES)])
+_FOUND_SCHEMA = "struct<n_deleted: int, deleted: array<struct<start: int, stop: int>>>"
 _NUMPY = {"zero_copy_only": False}
 
 
@@ -131,7 +143,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     @F.arrow_udf(_CUT_SCHEMA)
     def cut(column: pa.Array) -> pa.Array:
-        return pa.array([_cut(t) for t in texts(column)], _CUT)
+        return pa.array([_cut(t, min_words) for t in texts(column)], _CUT)
 
     laid = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), cut(F.col(text_col)).alias("cut"))
     laid = written(laid.select("id", "digest", "cut.*"), "winnow")
@@ -140,25 +152,28 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     order = F.struct(F.col("id").isNull().alias("lone"), "id", "digest", "at")
     firsts = prints.groupBy("g").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("g", "first")
     later = prints.join(firsts, "g").filter(order > F.col("first"))
-    diagonals = later.select(
-        "id", "digest", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"), (F.col("at") - F.col("first.at")).alias("shift")
-    ).distinct()
-    diagonals = checkpointed(diagonals)
-    hashes = laid.select(F.col("id").alias("i"), F.col("digest").alias("d"), F.col("h").alias("other")).dropDuplicates(["i", "d"])
-    firsts_of = diagonals.join(hashes, F.col("first_id").eqNullSafe(F.col("i")) & (F.col("first_digest") == F.col("d"))).drop("i", "d", "first_digest")
-    gathered = firsts_of.select(F.col("id").alias("i"), F.col("digest").alias("d"), "first_id", "shift", "other")
+    pairs = later.groupBy("id", "digest", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+    pairs = checkpointed(pairs.agg(F.collect_set(F.col("at") - F.col("first.at")).alias("shifts")))  # its diagonals
+
+    # one row a text; texts under one id that are equal are rare, so the plan looks for them first
+    one = laid
+    if not laid.groupBy("id", "digest").count().filter("count > 1").isEmpty():
+        one = written(laid.dropDuplicates(["id", "digest"]), "winnow")
+    other = one.select(F.col("id").alias("i"), F.col("digest").alias("d"), F.col("h").alias("other"))
+    pairs = pairs.join(other, F.col("first_id").eqNullSafe(F.col("i")) & (F.col("first_digest") == F.col("d")))
+    pairs = pairs.select(F.col("id").alias("i"), F.col("digest").alias("d"), "first_id", "shifts", "other")
 
     @F.arrow_udf("array<struct<a: int, b: int>>")
-    def runs(shift: pa.Array, later: pa.Array, first: pa.Array) -> pa.Array:
+    def runs(shifts: pa.Array, later: pa.Array, first: pa.Array) -> pa.Array:
         out = []
-        for s, x, y in zip(shift, later, first):
+        for s, x, y in zip(shifts, later, first):
             x, y = x.values.to_numpy(**_NUMPY), y.values.to_numpy(**_NUMPY)
-            out.append([{"a": a, "b": b} for a, b in matched_runs(x[squeezed(x)], y[squeezed(y)], s.as_py())])
+            x, y = x[squeezed(x)], y[squeezed(y)]
+            out.append([{"a": a, "b": b} for k in s.as_py() for a, b in matched_runs(x, y, k)])
         return pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
 
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
-    mine = laid.select("id", "digest", "h").dropDuplicates(["id", "digest"])
-    spans = gathered.join(mine, same).select("id", "digest", "first_id", F.explode(runs("shift", "h", "other")).alias("s"))
+    spans = pairs.join(one.select("id", "digest", "h"), same).select("id", "digest", "first_id", F.explode(runs("shifts", "h", "other")).alias("s"))
     spans = spans.groupBy(F.col("id").alias("i"), F.col("digest").alias("d")).agg(
         F.collect_set("s").alias("s"), F.array_sort(F.collect_set("first_id")).alias("sources")
     )
@@ -166,18 +181,17 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     @F.arrow_udf(_FOUND_SCHEMA)
     def judge(h: pa.Array, chars: pa.Array, words: pa.Array, found: pa.Array) -> pa.Array:
         rows = []
-        for x, c, w, s in zip(h, chars, words, found):
-            pairs = [(y["a"], y["b"]) for y in s.as_py() or ()]
-            gone = deleted_units(x.values.to_numpy(**_NUMPY), w.values.to_numpy(**_NUMPY), pairs, min_words)
-            border = np.concatenate(([0], np.cumsum(c.values.to_numpy(**_NUMPY))))
-            edge = border[np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0]))))].tolist()
-            ranges = [{"start": a, "stop": b} for a, b in zip(edge[::2], edge[1::2])]
-            rows.append({"n_units": len(gone), "n_deleted": int(gone.sum()), "deleted": ranges})
-        return pa.array(rows, pa.struct(_FOUND))
-
-    joined = laid.join(spans, same, "left").select("id", "digest", judge("h", "chars", "words", "s").alias("f"), "sources")
-    sources = F.when(F.size("f.deleted") > 0, F.coalesce("sources", F.array().cast(spans.schema["sources"].dataType))).otherwise(F.array())
-    return joined.select("id", "digest", "f.*", sources.alias("sources"))
+        for *arrays, s in zip(h, chars, words, found):
+            x, c, w = (a.values.to_numpy(**_NUMPY) for a in arrays)
+            rows.append(_judged(x, c, w, [(y["a"], y["b"]) for y in s.as_py()], min_words))
+        return pa.array(rows, _FOUND)
+
+    judged = one.select("id", "digest", "h", "chars", "words").join(spans, same)
+    judged = judged.select("i", "d", judge("h", "chars", "words", "s").alias("f"), "sources")
+    joined = laid.select("id", "digest", F.size("h").alias("n_units"), "n_deleted", "deleted").join(judged, same, "left")
+    deleted = F.coalesce("f.deleted", "deleted")
+    sources = F.when(F.size(deleted) > 0, F.coalesce("sources", F.array().cast(spans.schema["sources"].dataType))).otherwise(F.array())
+    return joined.select("id", "digest", "n_units", F.coalesce("f.n_deleted", "n_deleted").alias("n_deleted"), deleted.alias("deleted"), sources.alias("sources"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
