@@ -33,6 +33,8 @@ from acreline.llm.common import checkpointed, free_name, written
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Hexadecimal digits of the order hash that name its bucket: 4,096 buckets a leaf.
 DIGITS = 3
+#: Leaves whose plan is broadcast.
+SENT = 50_000
 
 
 def token_count(text: Column) -> Column:
@@ -122,10 +124,12 @@ def select_mix(
     budgets = leaf_budgets(leaves.filter("tokens > 0"), path, kinds, budget, max_epochs)
     plan = budgets.select(*path, F.expr("given div tokens").alias("whole"), (F.col("given") % F.col("tokens")).alias("rest"))
     plan = checkpointed(plan)
+    # a row a leaf: sent to the texts while small, else a join whose hot leaves AQE splits
+    near = F.broadcast if plan.count() <= SENT else lambda x: x
 
     # where each leaf's prefix ends: the bucket, and the tokens before it
     h = order_hash(F.col("id"), F.col("whole"), seed)
-    cells = rows.join(plan.filter("rest > 0"), path).groupBy(*path, "rest", F.substring(h, 1, DIGITS).alias("bucket"))
+    cells = rows.join(near(plan.filter("rest > 0")), path).groupBy(*path, "rest", F.substring(h, 1, DIGITS).alias("bucket"))
     cells = cells.agg(F.sum("tokens").alias("n"))
     upto = W.partitionBy(*path).orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     cells = cells.withColumn("start", F.sum("n").over(upto) - F.col("n"))
@@ -135,7 +139,7 @@ def select_mix(
     mine, leaf = free_name(docs, "__row"), free_name(docs, "__leaf")
     here = docs.withColumn(leaf, F.struct(*names))
     plan = plan.select(F.struct(*path).alias("l"), F.struct("whole", "rest", "bucket", "start").alias(mine))
-    here = here.join(plan, F.col(leaf) == F.col("l")).drop("l")  # plan: a row a leaf
+    here = here.join(near(plan), F.col(leaf) == F.col("l")).drop("l")
     p = lambda c: F.col(f"{mine}.{c}")
     epoch, used = free_name(docs, "__epoch"), free_name(docs, "__used")
     copies = here.withColumn(epoch, F.explode(F.sequence(F.lit(0).cast("bigint"), p("whole")))).filter((F.col(epoch) < p("whole")) | (p("rest") > 0))
