@@ -13,8 +13,9 @@ digests. Of records with equal payloads of at least ``SHARED`` bytes the one wit
 ``response``, the others are ``revisit`` records that refer to it and carry no payload.
 
 Files are written by Spark's text writer with its commit protocol: the end of a record is the line
-separator, and every file holds whole records. Files are dealt by size (``FILE_BYTES``), so a task holds
-one file at most when reading back. Files are gzip-compressed.
+separator, and every file holds whole records. A file has about ``FILE_BYTES`` of payload, so a task holds
+one file and at most one record more. Payloads are never shuffled uncompressed: the digests decide which
+records are revisits, and a file meets the list of its own. Files are gzip-compressed.
 
 Defined results: a null payload is empty; a null URL is written as ``-``; blanks and control characters in
 URLs become %20; the page's key travels in the URL's fragment; repeated rows give a record each, and of
@@ -26,11 +27,12 @@ from __future__ import annotations
 import gzip
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from acreline.llm.common import written
@@ -49,36 +51,69 @@ _HEADER = re.compile(rb"\n(?=\S+ \S+ \d{14} [^\n]* \d+\n)")
 # --- writing ---------------------------------------------------------------------------------
 
 
-def _write(df: DataFrame, path: str, end: str) -> None:
-    """``df(archive, n, record)``: a folder per archive, its records in the order of ``n``."""
-    laid = df.repartition("archive").sortWithinPartitions("archive", "n").select("archive", "record")
+def _write(rows: DataFrame, path: str, end: str) -> None:
+    """``rows(archive, n, record)``: a folder per archive with one file, its records in the order of ``n``.
+    Every archive lies in one partition, so nothing is shuffled."""
+    laid = rows.sortWithinPartitions("archive", "n").select("archive", "record")
     laid.write.partitionBy("archive").option("lineSep", end).option("compression", "gzip").text(path)
 
 
+_OUT, _OUT_SCHEMA = pa.schema([("archive", pa.string()), ("n", pa.int64()), ("record", pa.string())]), "archive string, n bigint, record string"
+
+
+def _batched(rows: Iterator[tuple[int, dict]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Batches of about 8 MB from (size, row) pairs."""
+    held, size = [], 0
+    for n, row in rows:
+        held.append(row)
+        size += n
+        if size > 8 << 20:
+            yield pa.RecordBatch.from_pylist(held, schema)
+            held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_pylist(held, schema)
+
+
+def version_block(name: str, version: int, date: str) -> str:
+    body = f"{version} 0 acreline\n{_NAMES[version]}\n"
+    more = "" if version == 1 else f"200 - - 0 {name} "
+    return f"filedesc://{name} 0.0.0.0 {date} text/plain {more}{len(body)}\n{body}"
+
+
+def arc_record(link: str, html: bytes, name: str, version: int, date: str) -> str:
+    more = "" if version == 1 else f"200 {hashlib.md5(html).hexdigest()} - 0 {name} "
+    return f"{link} 0.0.0.0 {date} text/html {more}{len(html)}\n{html.decode()}"
+
+
 def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", version: Column | None = None, date: str = "20200101000000") -> None:
-    """ARC files of ``pages``. ``version`` (1 or 2) may differ by row; each archive has one version."""
-    html = F.coalesce(F.col(payload), F.lit(""))
-    size = F.octet_length(html)
-    link = F.regexp_replace(F.coalesce(F.col(url), F.lit("-")), "[\\x00-\\x20]", "%20")
-    link = F.when(link == "", "-").otherwise(link)
-    name = F.coalesce(F.col(key).cast("string"), F.lit("-"))
+    """ARC files of ``pages``. ``version`` (1 or 2) may differ by row; each archive has one version. A task
+    fills archives of its own up to ``FILE_BYTES``, one open per version."""
     rows = pages.select(
-        (version if version is not None else F.lit(1)).cast("int").alias("version"), name.alias("name"), link.alias("link"), html.alias("html"), size.alias("size")
+        (version if version is not None else F.lit(1)).cast("int").alias("v"),
+        F.coalesce(F.col(key).cast("string"), F.lit("-")).alias("k"), F.col(url).cast("string").alias("u"), F.col(payload).alias("h"),
     )
-    total = rows.agg(F.sum("size")).first()[0] or 0
-    files = max(1, -(-2 * total // FILE_BYTES))
-    rows = rows.withColumn("archive", F.concat_ws("-", F.lit("v"), "version", F.pmod(F.xxhash64("name", "link"), F.lit(files))))
-    head = F.concat_ws(" ", "link", F.lit("0.0.0.0"), F.lit(date), F.lit("text/html"))
-    more = F.concat_ws(" ", F.lit("200"), F.md5("html"), F.lit("-"), F.lit("0"), F.concat("archive", F.lit(".arc")))
-    line = F.when(F.col("version") == 1, F.concat_ws(" ", head, "size")).otherwise(F.concat_ws(" ", head, more, "size"))
-    # the key travels in the URL's fragment, which a crawler never sends
-    records = rows.withColumn("link", F.concat("link", F.lit("#key="), "name"))
-    records = records.select("archive", F.lit(1).alias("n"), F.concat(line, F.lit("\n"), "html").alias("record"))
-    block = F.concat(F.col("version").cast("string"), F.lit(" 0 acreline\n"), F.when(F.col("version") == 1, _NAMES[1]).otherwise(_NAMES[2]), F.lit("\n"))
-    tail = F.when(F.col("version") == 1, F.lit("text/plain")).otherwise(F.concat(F.lit("text/plain 200 - - 0 "), "archive", F.lit(".arc")))
-    first = F.concat(F.lit("filedesc://"), "archive", F.lit(f".arc 0.0.0.0 {date} "), tail, F.lit(" "), F.length(block).cast("string"), F.lit("\n"), block)
-    starts = rows.select("archive", "version").distinct().select("archive", F.lit(0).alias("n"), first.alias("record"))
-    _write(starts.union(records), path, ARC_END)
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, filled, used = TaskContext.get().partitionId(), {1: 0, 2: 0}, {1: FILE_BYTES, 2: FILE_BYTES}
+
+        def lines():
+            n = 0
+            for batch in batches:
+                for v, k, u, h in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3).cast(pa.large_binary())):
+                    html, link = h.as_py() or b"", re.sub(r"[\x00-\x20]", "%20", u.as_py() or "") or "-"
+                    if used[v] >= FILE_BYTES:
+                        filled[v], used[v] = filled[v] + 1, 0
+                        name = f"v{v}-{task}-{filled[v]}.arc"
+                        yield 200, {"archive": name, "n": -1, "record": version_block(name, v, date)}
+                    name = f"v{v}-{task}-{filled[v]}.arc"
+                    used[v] += len(html)
+                    n += 1
+                    # the key travels in the URL's fragment, which a crawler never sends
+                    yield len(html), {"archive": name, "n": n, "record": arc_record(f"{link}#key={k.as_py()}", html, name, v, date)}
+
+        return _batched(lines(), _OUT)
+
+    _write(rows.mapInArrow(fill, _OUT_SCHEMA), path, ARC_END)
 
 
 # --- reading ARC -----------------------------------------------------------------------------
@@ -124,31 +159,26 @@ def parse_arc(data: bytes) -> Iterator[dict]:
         }
 
 
-_ARC = pa.schema([("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("type", pa.string()), ("version", pa.int32()), ("payload", pa.binary()), ("error", pa.string())])
-ARC_SCHEMA = "url string, ip string, date string, type string, version int, payload binary, error string"
+_ARC = pa.schema([("path", pa.string()), ("n", pa.int64()), ("url", pa.string()), ("ip", pa.string()), ("date", pa.string()), ("type", pa.string()), ("version", pa.int32()), ("payload", pa.binary()), ("error", pa.string())])
+ARC_SCHEMA = "path string, n bigint, url string, ip string, date string, type string, version int, payload binary, error string"
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
 
 
+def _opened(name: str, data: bytes) -> bytes:
+    return gzip.decompress(data) if name.endswith(".gz") else data
+
+
 def _rows(parse, schema: pa.Schema):
-    """Batches of about 8 MB of records, one file in memory at a time."""
+    """One file in memory at a time."""
 
-    def run(batches):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column(0), batch.column(1)):
-                data, name = content.as_py(), name.as_py()
-                data = gzip.decompress(data) if name.endswith(".gz") else data
-                held, size = [], 0
-                for row in parse(data):
-                    held.append(row)
-                    size += len(row.get("payload") or b"")
-                    if size > 8 << 20:
-                        yield pa.RecordBatch.from_pylist(held, schema)
-                        held, size = [], 0
-                if held:
-                    yield pa.RecordBatch.from_pylist(held, schema)
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
+                found = enumerate(parse(_opened(name, content.as_py())))
+                yield from _batched(((len(row.get("payload") or b""), {"path": name, "n": n} | row) for n, row in found), schema)
 
     return run
 
@@ -160,80 +190,83 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
 # --- converting ------------------------------------------------------------------------------
 
+_KEY = re.compile(r"#key=(?:-|(-?[0-9]+))$")
+_META = pa.schema([("path", pa.string()), ("n", pa.int64()), ("key", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("bytes", pa.int64()), ("digest", pa.string())])
+_META_SCHEMA = "path string, n bigint, key bigint, url string, date string, bytes bigint, digest string"
+
+
+def _target(row: dict) -> tuple[int | None, str, str]:
+    """Key, URL and ISO date of an ARC row; a date that is none becomes the start of 1970."""
+    m = _KEY.search(row["url"])
+    d = row["date"]
+    iso = f"{d[:4]}-{d[4:6]}-{d[6:8]}T{d[8:10]}:{d[10:12]}:{d[12:14]}Z" if re.fullmatch(r"[0-9]{14}", d) else "1970-01-01T00:00:00Z"
+    return (int(m.group(1)) if m and m.group(1) else None), _KEY.sub("", row["url"]), iso
+
+
+def _meta(data: bytes) -> Iterator[dict]:
+    for row in parse_arc(data):
+        if row["error"] is None:
+            key, url, date = _target(row)
+            yield {"key": key, "url": url, "date": date, "bytes": len(row["payload"]), "digest": hashlib.sha256(row["payload"]).hexdigest()}
+        else:
+            yield {}  # keeps the numbering
+
+
+def revisits(spark: SparkSession, path: str) -> DataFrame:
+    """(path, n, key, url, date): the records of the ARC files that repeat an earlier payload, and the record
+    they refer to. Payloads stay in their tasks; only digests are shuffled."""
+    meta = written(_files(spark, path).mapInArrow(_rows(_meta, _META), _META_SCHEMA).filter("digest is not null"), "arc-records")
+    order = F.struct(F.col("key").isNull().alias("lone"), "key", "url", "path", "n", "date")
+    firsts = meta.filter(F.col("bytes") >= SHARED).groupBy(F.col("digest").alias("d"))
+    firsts = firsts.agg(F.count("*").alias("copies"), F.min(order).alias("first")).filter("copies > 1")
+    later = meta.join(firsts, F.col("digest") == F.col("d")).filter((F.col("path") != F.col("first.path")) | (F.col("n") != F.col("first.n")))
+    return later.select("path", "n", "first.key", "first.url", "first.date")
+
+
+def warc_record(row: dict, refers_to: dict | None) -> str:
+    key, url, date = _target(row)
+    body, digest = row["payload"], hashlib.sha256(row["payload"]).hexdigest()
+    head = [
+        "WARC/1.1",
+        f"WARC-Type: {'revisit' if refers_to else 'response'}",
+        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest} {key}')}>",
+        f"WARC-Target-URI: {url}",
+        f"WARC-Date: {date}",
+        f"WARC-IP-Address: {row['ip']}",
+        f"WARC-Payload-Digest: sha256:{digest}",
+    ]
+    if refers_to:
+        head += [
+            "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To-Target-URI: {refers_to['url']}",
+            f"WARC-Refers-To-Date: {refers_to['date']}",
+            f"X-Refers-To-Key: {'-' if refers_to['key'] is None else refers_to['key']}",
+        ]
+    kept = b"" if refers_to else body
+    head += [f"X-Key: {'-' if key is None else key}", f"X-Payload-Length: {len(body)}", f"Content-Type: {row['type']}", f"Content-Length: {len(kept)}"]
+    return "\r\n".join(head) + "\r\n\r\n" + kept.decode("utf-8", "replace")
+
+
+def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
+    """A WARC file for every ARC file. The list of a file's revisits meets the file as one row; payloads that
+    are not UTF-8 would need a binary writer, which Spark has not: their broken bytes are replaced."""
+    again = revisits(spark, arc_path).groupBy(F.col("path").alias("p")).agg(F.collect_list(F.struct("n", "key", "url", "date")).alias("again"))
+    files = _files(spark, arc_path).join(again, F.col("path") == F.col("p"), "left").select("path", "content", "again")
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content, again in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+                refers = {x["n"]: x for x in again.as_py() or ()}
+                archive = name.rstrip("/").split("/")[-2].removeprefix("archive=").removesuffix(".arc") + ".warc"
+                found = ((n, row) for n, row in enumerate(parse_arc(_opened(name, content.as_py()))) if row["error"] is None)
+                rows = ((len(row["payload"]), {"archive": archive, "n": n, "record": warc_record(row, refers.get(n))}) for n, row in found)
+                yield from _batched(rows, _OUT)
 
-def arc_to_warc(records: DataFrame) -> DataFrame:
-    """Columns of WARC records from ``read_arc`` rows. One shuffle of digests decides the revisits; the
-    digests meet the payloads again by a join, whose hot digests AQE splits."""
-    sound = records.filter("error is null")
-    key = F.regexp_extract("url", "#key=(-?[0-9]+)$", 1)
-    sound = sound.select(
-        F.when(key != "", key.cast("bigint")).alias("key"),
-        F.regexp_replace("url", "#key=(-|-?[0-9]+)$", "").alias("url"),
-        F.date_format(F.to_timestamp("date", "yyyyMMddHHmmss"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("date"),
-        "type", "ip", "payload", F.octet_length("payload").cast("bigint").alias("bytes"), F.sha2("payload", 256).alias("digest"),
-    )
-    sound = written(sound, "arc-records")
-    firsts = sound.filter(F.col("bytes") >= SHARED).groupBy(F.col("digest").alias("d"))
-    firsts = firsts.agg(F.count("*").alias("copies"), F.min("key").alias("first"), F.min_by(F.struct("url", "date"), F.struct("key", "url")).alias("of")).filter("copies > 1")
-    joined = sound.join(firsts, F.col("digest") == F.col("d"), "left").drop("d")
-    # copies under one key: exactly one of them is the response
-    twin = F.row_number().over(W.partitionBy("digest", "key").orderBy("url"))
-    same = joined.filter(F.col("copies").isNotNull() & F.col("key").eqNullSafe(F.col("first"))).withColumn("twin", twin)
-    rest = joined.filter(F.col("copies").isNull() | ~F.col("key").eqNullSafe(F.col("first"))).withColumn("twin", F.when(F.col("copies").isNotNull(), 2).otherwise(1))
-    both = same.unionByName(rest)
-    revisit = F.col("twin") > 1
-    return both.select(
-        "key", "url", "date", "ip", F.col("type").alias("mime"), "bytes", "digest",
-        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("first")).alias("refers_to"),
-        F.when(revisit, F.col("of.url")).alias("refers_to_url"),
-        F.when(revisit, F.col("of.date")).alias("refers_to_date"),
-        F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
-    )
-
-
-def _uuid(seed: Column) -> Column:
-    """A name-based UUID (version 5 layout) from a SHA-1."""
-    h = F.sha1(seed)
-    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.concat(F.lit("5"), F.substring(h, 14, 3)), F.concat(F.lit("8"), F.substring(h, 18, 3)), F.substring(h, 21, 12))
-
-
-def write_warc(records: DataFrame, path: str) -> None:
-    """WARC 1.1 files of ``arc_to_warc`` rows."""
-    total = records.agg(F.sum("bytes")).first()[0] or 0
-    files = max(1, -(-2 * total // FILE_BYTES))
-    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("-"))
-    revisit = F.col("record_type") == "revisit"
-    line = lambda head, value: F.concat(F.lit(f"\r\n{head}: "), value)
-    none = F.lit("")
-    header = F.concat(
-        F.lit("WARC/1.1"),
-        line("WARC-Type", F.col("record_type")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:uuid:"), _uuid(F.concat_ws(" ", name("url"), name("date"), "digest", name("key"))), F.lit(">"))),
-        line("WARC-Target-URI", name("url")),
-        F.when(F.col("date").isNotNull(), line("WARC-Date", name("date"))).otherwise(none),
-        line("WARC-IP-Address", name("ip")),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest")),
-        F.when(revisit, F.concat(
-            line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-            line("WARC-Refers-To-Target-URI", name("refers_to_url")),
-            line("WARC-Refers-To-Date", name("refers_to_date")),
-            line("X-Refers-To-Key", name("refers_to")),
-        )).otherwise(none),
-        line("X-Key", name("key")),
-        line("X-Payload-Length", F.col("bytes").cast("string")),
-        line("Content-Type", name("mime")),
-        line("Content-Length", F.octet_length("payload").cast("string")),
-        F.lit("\r\n\r\n"),
-    )
-    rows = records.select(
-        F.pmod(F.xxhash64(name("key"), "url"), F.lit(files)).alias("archive"), F.lit(0).alias("n"), F.concat(header, F.col("payload").cast("string")).alias("record")
-    )
-    _write(rows, path, WARC_END)
+    _write(files.mapInArrow(build, _OUT_SCHEMA), warc_path, WARC_END)
 
 
-_WARC = pa.schema([("type", pa.string()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("key", pa.int64()), ("refers_to", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
-WARC_SCHEMA = "type string, record_id string, url string, date string, key bigint, refers_to bigint, bytes bigint, digest string, payload binary, error string"
+_WARC = pa.schema([("path", pa.string()), ("type", pa.string()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("key", pa.int64()), ("refers_to", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
+WARC_SCHEMA = "path string, type string, record_id string, url string, date string, key bigint, refers_to bigint, bytes bigint, digest string, payload binary, error string"
 
 
 def parse_warc(data: bytes) -> Iterator[dict]:

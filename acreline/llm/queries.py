@@ -51,7 +51,7 @@ def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     arc, warc = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
     pages = table(spark, sf_dir, "pages")
     arc_to_warc.write_arc(pages, arc, version=F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(2)) + 1)
-    arc_to_warc.write_warc(arc_to_warc.arc_to_warc(arc_to_warc.read_arc(spark, arc)), warc)
+    arc_to_warc.convert(spark, arc, warc)
     back = arc_to_warc.read_warc(spark, warc)
     return back.select(
         F.col("key").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "record_id", "error"
