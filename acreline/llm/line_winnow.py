@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from acreline.llm.common import checkpointed, free_name, texts, written
 
 WORDS, GRAM, WINDOW, MIN_WORDS = 16, 2, 3, 30
-_UNIT = re.compile(r"[^\n.!?]*+[.!?]*+\n*+")
+_UNIT = re.compile(r"[^\n.!?]*+[.!?]*+\s*+")
 _PIECE = re.compile(r"(?:\S++\s*+){1,%d}|\s++" % WORDS)
 
 

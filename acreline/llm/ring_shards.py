@@ -93,7 +93,7 @@ def placement(counts: DataFrame, shards: int, vnodes: int, load_factor: float =
 
     arcs = laid.groupBy("node", "shard").agg(F.sum("extra").alias("extra"), F.max("spare").alias("spare"))
     taken = _clockwise(arcs)
-    line = W.orderBy("place").rowsBetween(W.unboundedPreceding, W.currentRow)
+    line = W.orderBy("node", "place").rowsBetween(W.unboundedPreceding, W.currentRow)
     queue = laid.filter("extra > 0").withColumn("at", F.sum("extra").over(line) - F.col("extra"))
     # places and takers both cut the queue [0, total) into stretches; overlay the two
     none = lambda kind: F.lit(None).cast(kind)

@@ -172,7 +172,7 @@ def links(prints: DataFrame, budget: int = 4, subtrie: int = SUBTRIE) -> DataFra
     bounds = [64 * i // blocks for i in range(blocks + 1)]
     keys = [
         # the sign bit is part of the first block, hence the unsigned shift
-        F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1)) * blocks + F.lit(i)
+        F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)) * blocks + F.lit(i)
         for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))
     ]
     tries = prints.select("fp", F.explode(F.array(*keys)).alias("trie"))
