@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from acreline.functions.expressions import safe_ratio
+from acreline.functions.expressions import finite, safe_ratio
 from acreline.operators.checks import require_columns
 from acreline.operators.keys import hash_sample
 from acreline.operators.quantiles import exact_quantiles, quantiles_by
@@ -92,12 +92,8 @@ def describe(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     require_columns(df, columns)
     extra: dict[str, Column] = {}
     for i, c in enumerate(columns):
-        extra |= {
-            f"mean{i}": F.avg(c).cast("double"),
-            f"std{i}": F.stddev_samp(c),
-            f"min{i}": F.min(c).cast("double"),
-            f"max{i}": F.max(c).cast("double"),
-        }
+        v = finite(F.col(c).cast("double"))
+        extra |= {f"mean{i}": F.avg(v), f"std{i}": F.stddev_samp(v), f"min{i}": F.min(v), f"max{i}": F.max(v)}
     found = exact_quantiles(df.select(*columns), {c: F.col(c) for c in columns}, QUARTILES, extra)
     rows = []
     for i, c in enumerate(columns):
@@ -112,7 +108,7 @@ def approx_describe(df: DataFrame, columns: Sequence[str], accuracy: int = 10_00
     """The same in a single scan; quartiles within rows / accuracy ranks."""
     aggs = []
     for i, c in enumerate(columns):
-        v = F.col(c).cast("double")
+        v = finite(F.col(c).cast("double"))
         aggs += [
             F.count(v).alias(f"n{i}"),
             F.avg(v).alias(f"a{i}"),
@@ -244,15 +240,16 @@ def cardinality(df: DataFrame, columns: Sequence[str], exact: bool = True) -> Da
 def category_share(df: DataFrame, column: str) -> DataFrame:
     """Rows per category and percent of all rows (missing ones count in the total), most frequent first."""
     require_columns(df, [column])
-    total = df.count()
-    known = df.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
-    return known.withColumn("pct", F.col("n_rows") * 100.0 / F.lit(total)).orderBy(F.desc("n_rows"), column)
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))  # one scan; the total is theirs
+    total = F.sum("n_rows").over(Window.partitionBy())  # over one row a category
+    shares = counts.withColumn("pct", F.col("n_rows") * 100.0 / total).filter(F.col(column).isNotNull())
+    return shares.orderBy(F.desc("n_rows"), column)
 
 
 def pearson(a: str, b: str) -> Column:
     """r over the rows where both are known; missing when one of them does not vary there (the
     built-in ``corr`` divides by zero then, an error in ANSI mode)."""
-    x, y = F.col(a), F.col(b)
+    x, y = finite(F.col(a).cast("double")), finite(F.col(b).cast("double"))
     spread = F.var_pop(F.when(y.isNotNull(), x)) * F.var_pop(F.when(x.isNotNull(), y))
     return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
 
@@ -292,6 +289,12 @@ def target_correlations(
     return _unpivot(row, names, {"r": "r"}).orderBy(F.desc_nulls_last("r"), "column")
 
 
+def pair_rows(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
+    """All rows of the chosen columns for a scatter matrix: a projection, nothing is left out."""
+    require_columns(df, [*columns, *id_cols])
+    return df.select(*dict.fromkeys([*id_cols, *columns]))
+
+
 def pair_sample(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str], rows: int = 1_000, seed: int = 42) -> DataFrame:
     """Rows for a scatter matrix of the chosen columns: a repeatable sample of fixed size."""
     require_columns(df, [*columns, *id_cols])

@@ -18,6 +18,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
+from acreline.functions.expressions import finite
+
 INTERIOR_LIMIT = 1_000_000
 ACCURACY = 10_000
 
@@ -50,10 +52,16 @@ def _position(count: int, prob: float) -> tuple[int, float]:
     return base, place - base
 
 
-def _disc(column: str, prob: float, condition: str) -> Column:
-    return F.expr(
-        f"percentile_disc({prob!r}D) WITHIN GROUP (ORDER BY CASE WHEN {condition} THEN {column} END)"
-    )
+def _between(count: int, prob: float, low: float, high: float) -> float:
+    """The value between two neighbours in the arithmetic of the built-in percentile, so that both ways
+    to the neighbours end at the same double."""
+    place = (count - 1) * prob
+    base, top = math.floor(place), math.ceil(place)
+    return low if top == base or low == high else (top - place) * low + (place - base) * high
+
+
+def _disc(column: str, prob: float) -> Column:
+    return F.expr(f"percentile_disc({prob!r}D) WITHIN GROUP (ORDER BY {column})")
 
 
 def _sketch(frame: DataFrame, names: Sequence[str], probs: Sequence[float], accuracy: int, extra: Mapping[str, Column]) -> Row:
@@ -80,7 +88,8 @@ def exact_quantiles(
     accuracy: int = ACCURACY,
     known_rows: int | None = None,
 ) -> Quantiles:
-    """Exact ``probs`` quantiles of every expression in ``columns``; missing values are skipped.
+    """Exact ``probs`` quantiles of every expression in ``columns``; missing values, NaN and infinities
+    are skipped. ``interior_limit`` only chooses the way, never the result.
 
     ``extra`` aggregates of the same frame ride along in the first pass. A column without any value
     has count 0 and no quantiles. ``known_rows``, when the caller has counted already, saves the
@@ -92,7 +101,7 @@ def exact_quantiles(
         return Quantiles({}, {}, row.asDict() if row else {})
     names = list(columns)
     tagged = {name: f"__v{i}" for i, name in enumerate(names)}
-    frame = df.withColumns({tagged[n]: columns[n].cast("double") for n in names})
+    frame = df.withColumns({tagged[n]: finite(columns[n].cast("double")) for n in names})
     if known_rows is not None and known_rows <= interior_limit:
         row = frame.agg(
             *[c.alias(f"x_{k}") for k, c in extra.items()],
@@ -137,7 +146,7 @@ def exact_quantiles(
             base, part = _position(counts[name], prob)
             low = wanted[(name, base)].found
             high = wanted[(name, base + 1)].found if part else low
-            result.values[name].append(low + (high - low) * part)
+            result.values[name].append(_between(counts[name], prob, low, high))
     return result
 
 
@@ -156,15 +165,15 @@ def _settle(
         aggs = []
         for i, s in enumerate(ready):
             # (rank + 1/2) / rows hits exactly this rank and is safe from rounding.
-            aggs.append(_disc(s.column, (s.inner_rank + 0.5) / s.inner_rows, _inside(s)).alias(f"r{i}"))
+            aggs.append(_disc(f"__in{i}", (s.inner_rank + 0.5) / s.inner_rows).alias(f"r{i}"))
         slack = 2.0 / accuracy
         for i, s in enumerate(wide):
             middle = (s.inner_rank + 0.5) / s.inner_rows
             ends = [max(middle - slack, 0.0), min(middle + slack, 1.0)]
-            inside = F.when(F.expr(_inside(s)), F.col(s.column))
+            inside = F.when(_inside(s), F.col(s.column))
             aggs.append(F.percentile_approx(inside, ends, accuracy).alias(f"w{i}"))
         if aggs:
-            row = frame.agg(*aggs).first()
+            row = frame.withColumns({f"__in{i}": F.when(_inside(s), F.col(s.column)) for i, s in enumerate(ready)}).agg(*aggs).first()
             for i, s in enumerate(ready):
                 s.found = row[f"r{i}"]
             for i, s in enumerate(wide):
@@ -172,8 +181,8 @@ def _settle(
         open_searches = wide
 
 
-def _inside(s: _Search) -> str:
-    return f"{s.column} > {s.low!r}D AND {s.column} < {s.high!r}D"
+def _inside(s: _Search) -> Column:
+    return (F.col(s.column) > F.lit(s.low)) & (F.col(s.column) < F.lit(s.high))
 
 
 def _place(frame: DataFrame, searches: list[_Search], bounds: Mapping[str, tuple[float, float]]) -> None:
@@ -184,7 +193,7 @@ def _place(frame: DataFrame, searches: list[_Search], bounds: Mapping[str, tuple
         aggs += [
             F.count_if(value < F.lit(s.low)).alias(f"b{i}"),
             F.count_if(value == F.lit(s.low)).alias(f"l{i}"),
-            F.count_if(F.expr(_inside(s))).alias(f"i{i}"),
+            F.count_if(_inside(s)).alias(f"i{i}"),
             F.count_if(value == F.lit(s.high)).alias(f"h{i}"),
         ]
     row = frame.agg(*aggs).first()
@@ -275,7 +284,8 @@ def quantiles_by(
     rows (never more than rows / limit of them) are solved by the bracket search, ``batch`` groups
     per pass.
     """
-    known = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
+    known = df.withColumn(value, finite(F.col(value).cast("double")))
+    known = known.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
     sizes = known.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
     hot = [row[by] for row in sizes.filter(F.col("n") > interior_limit).collect()]
     key = f"`{by}` {df.schema[by].dataType.simpleString()}"

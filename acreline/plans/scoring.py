@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from acreline.errors import DataValidationError
@@ -30,6 +32,13 @@ def checked_records(df: DataFrame, contract: Contract = INFERENCE, mode: str = "
     return contract.validate(df), None
 
 
+def run_observed_count(df: DataFrame, action: Callable[[DataFrame], None]) -> int:
+    """The rows that ``action`` sees, counted on the way."""
+    seen = Observation()
+    action(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return seen.get["n"]
+
+
 def score_batch(
     model: PipelineModel,
     df: DataFrame,
@@ -40,6 +49,8 @@ def score_batch(
     bad_path: str | None = None,
 ) -> dict[str, float]:
     """Score and write a batch; returns its telemetry. Predictions that are not finite stop it."""
+    if mode == "quarantine" and not bad_path:
+        raise ValueError("quarantine needs bad_path: bad records have to go somewhere")
     good, bad = checked_records(df, mode=mode)
     value = F.col("prediction")
     # A prediction that is not finite fails the write, which then leaves no file behind.
@@ -49,6 +60,7 @@ def score_batch(
         scored,
         lambda seen: write_predictions(stamp(seen, "prediction", model_version, service_version), path),
     )
-    if bad is not None and bad_path:
-        bad.write.mode("append").parquet(bad_path)
+    telemetry["n_rejected"] = 0
+    if bad is not None:
+        telemetry["n_rejected"] = run_observed_count(bad, lambda seen: seen.write.mode("append").parquet(bad_path))
     return telemetry

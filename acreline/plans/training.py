@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from typing import Any
 
@@ -23,7 +24,7 @@ from acreline.operators.models import (
     validation_sets,
 )
 from acreline.operators.models import prepare as prepare_matrix
-from acreline.operators.split import require_strata, stratified_split
+from acreline.operators.split import random_split, require_strata, stratified_split
 from acreline.session import fresh_dir
 
 
@@ -32,13 +33,17 @@ def prepare(df: DataFrame, training: Training, contract: Contract | None = None,
     into the scan."""
     checked = contract.validate(df) if contract else df
     rows = normalize_missing(clean_capped(checked, training.label, cap))
-    strata = add_stratum(rows, out=training.stratum or "stratum")
-    require_strata(strata, training.stratum or "stratum", min_rows)
+    if training.stratum is None:
+        return rows
+    strata = add_stratum(rows, out=training.stratum)
+    require_strata(strata, training.stratum, min_rows)
     return strata
 
 
 def split(df: DataFrame, training: Training, test_size: float = 0.2) -> DataFrame:
-    """Adds ``part``."""
+    """Adds ``part``; without strata the rows are split as one."""
+    if training.stratum is None:
+        return random_split(df, training.id_cols, test_size, training.seed)
     return stratified_split(df, training.stratum, training.id_cols, test_size, training.seed)
 
 
@@ -67,7 +72,23 @@ class _Run:
             try:
                 step()
             except Exception as problem:
-                self.error = str(problem)[:500]
+                self.error = str(problem)
+
+
+@contextmanager
+def _prepared(runs: list[_Run], rows: DataFrame, training: Training) -> Iterator[Prepared | None]:
+    """The matrix of a fold, released at the end; if it cannot be made, that is every run's error."""
+    ready = None
+    try:
+        ready = prepare_matrix(rows, training)
+    except Exception as problem:
+        for run in runs:
+            run.error = run.error or str(problem)
+    try:
+        yield ready
+    finally:
+        if ready is not None:
+            ready.release()
 
 
 def train_all(
@@ -102,17 +123,15 @@ def train_all(
 
     try:
         for set_name, fit_rows, val_rows in validation_sets(train_rows, training):
-            ready = prepare_matrix(fit_rows, training)
-            for run in runs:
-                run.attempt(lambda run=run: validate(run, ready, set_name, val_rows))
-            ready.release()
+            with _prepared(runs, fit_rows, training) as ready:
+                for run in runs:
+                    run.attempt(lambda run=run: validate(run, ready, set_name, val_rows))
         for run in runs:
             run.attempt(lambda run=run: pass_gate(run))
         if any(run.error is None for run in runs):
-            ready = prepare_matrix(train_rows, training)
-            for run in runs:
-                run.attempt(lambda run=run: refit(run, ready))
-            ready.release()
+            with _prepared(runs, train_rows, training) as ready:
+                for run in runs:
+                    run.attempt(lambda run=run: refit(run, ready))
     finally:
         train_rows.unpersist()
     keys = [f"validation_{k}_{m}" for m in training.metrics for k in ("mean", "std")]

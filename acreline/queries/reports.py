@@ -57,13 +57,18 @@ def profile_nulls(spark, sf_dir):
     return profile.null_counts(district(spark, sf_dir))
 
 
+@query("pair_rows", f"WITH {DISTRICT}\nSELECT {ID}, {', '.join(f'{r(c)} AS {c}' for c in PAIR_COLUMNS)} FROM district")
+def pair_rows(spark, sf_dir):
+    return round_all(profile.pair_rows(district(spark, sf_dir), PAIR_COLUMNS, [ID]))
+
+
 @query(
     "profile_duplicates",
     "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_distinct, CAST(sum(n - 1) AS BIGINT) AS n_duplicates\n"
-    "FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)",
+    "FROM (SELECT count(*) AS n, l.* FROM lineitem l GROUP BY ALL)",
 )
 def profile_duplicates(spark, sf_dir):
-    return profile.duplicate_rows(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
+    return profile.duplicate_rows(table(spark, sf_dir, "lineitem"))
 
 
 @query(
@@ -245,7 +250,7 @@ def geo_grid(spark, sf_dir):
 @query("geo_hotspots")
 def geo_hotspots(spark, sf_dir):
     df = several_passes(district(spark, sf_dir))
-    return round_all(hotspots(df, restarts=3).select(ID, "longitude", "latitude", "max_similarity"))
+    return round_all(hotspots(df).select(ID, "longitude", "latitude", "max_similarity"))
 
 
 @query(

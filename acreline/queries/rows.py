@@ -70,7 +70,7 @@ def scan_json(spark, sf_dir):
 )
 def json_payload_rows(spark, sf_dir):
     schema = T.StructType([T.StructField("k", T.LongType())])
-    return readers.payload_rows(table(spark, sf_dir, "events"), "props", schema, keep=("event_id",))
+    return readers.payload_rows(table(spark, sf_dir, "events"), "props", schema, keep=("event_id",), strict=True)
 
 
 SCORED_SQL = f"WITH {CLEAN},\nscored AS (SELECT *, CAST(20000 AS DOUBLE) + CAST(42000 AS DOUBLE) * median_income AS prediction FROM clean)"

@@ -107,11 +107,15 @@ def read_database(spark: SparkSession, url: str, table: str, key: str, low: int,
     return spark.read.format("jdbc").options(**jdbc_options(url, table, key, low, high, parts)).load()
 
 
-def payload_rows(df: DataFrame, payload: str | Column, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
-    """JSON text per row -> one row per record: a list gives many, a single object one, text that
-    is no JSON none."""
+def payload_rows(df: DataFrame, payload: str | Column, schema: T.StructType, keep: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+    """JSON text per row -> one row per record: a list gives many, a single object one. Text that is no
+    JSON stops a ``strict`` batch; otherwise, as in streams, it is left to ``unreadable_payloads``."""
     text = F.col(payload) if isinstance(payload, str) else payload
-    records = F.from_json(text, T.ArrayType(schema))
+    kind = T.ArrayType(schema)
+    records = F.from_json(text, kind)
+    if strict:
+        refused = F.raise_error(F.concat(F.lit("no JSON: "), text)).cast(kind)
+        records = F.when(records.isNull() & text.isNotNull(), refused).otherwise(records)
     return df.select(*keep, F.inline(records))
 
 

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from acreline.operators.contract import INFERENCE, Contract
 from acreline.operators.models import predict
-from acreline.sources.readers import payload_rows
+from acreline.sources.readers import payload_rows, unreadable_payloads
 from acreline.sources.writers import stamp
 
 
@@ -23,10 +23,16 @@ def payload_stream(spark: SparkSession, path: str, files_per_trigger: int | None
 
 
 def record_stream(lines: DataFrame, schema: T.StructType) -> DataFrame:
-    """Records out of the JSON text, list or single object."""
+    """Records out of the JSON text, list or single object; see ``unreadable_lines`` for the rest."""
     return payload_rows(lines, "value", schema)
 
 
+def unreadable_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """The lines that are no JSON, as they came, with the time they were seen; write them beside
+    ``bad_records`` so that every line of a stream ends up somewhere."""
+    return unreadable_payloads(lines, "value", schema).withColumn("seen_at", F.current_timestamp())
+
+
 def score_stream(
     model: PipelineModel, records: DataFrame, model_version: str, service_version: str, contract: Contract = INFERENCE
 ) -> DataFrame:

@@ -228,3 +228,31 @@ def test_metrics_sink(spark, tmp_path):
         writers.write_metrics(writers.metrics_frame(spark, "gbt", "test", run, {"rmse": 2.0, "mae": 1.0}), path)
     back = spark.read.json(path).collect()
     assert {(r["run_id"], r["rmse"], r["model"], r["set_name"]) for r in back} == {("r1", 2.0, "gbt", "test"), ("r2", 2.0, "gbt", "test")}
+
+
+def test_quarantine_needs_a_place(fitted, districts):
+    with pytest.raises(ValueError, match="bad_path"):
+        scoring.score_batch(fitted, districts, "unused", "m1", "0.1", mode="quarantine")
+
+
+def test_payloads_that_are_no_json(rows):
+    from pyspark.sql import types as T
+
+    from acreline.sources import readers
+
+    df = rows([('{"k": 1}',), ("oops",)], "value string")
+    schema = T.StructType().add("k", T.LongType())
+    assert readers.payload_rows(df, "value", schema).count() == 1
+    with pytest.raises(Exception, match="no JSON"):
+        readers.payload_rows(df, "value", schema, strict=True).collect()
+
+
+def test_training_without_strata(districts):
+    from acreline.operators.models import Training
+    from acreline.plans import training
+
+    plan = Training(id_cols=("district_id",), stratum=None)
+    parted = training.split(training.prepare(districts.drop("stratum"), plan), plan)
+    assert "stratum" not in parted.columns
+    n = parted.count()
+    assert parted.filter("part = 'test'").count() == -(-n // 5)

@@ -103,3 +103,11 @@ def test_grid(rows):
     df = rows([(0.1, 0.1, 1.0, 10.0), (0.4, 0.2, 2.0, 20.0), (-0.1, 0.0, 5.0, 1.0)], "x double, y double, p double, v double")
     got = {(r["cell_lon"], r["cell_lat"]): (r["n_rows"], r["total_size"], r["mean_value"]) for r in profile.geo_grid(df, "x", "y", "p", "v").collect()}
     assert got == {(0, 0): (2, 3.0, 15.0), (-1, 0): (1, 5.0, 1.0)}
+
+
+def test_describe_skips_nan_and_infinity(rows):
+    from acreline.operators import profile
+
+    df = rows([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
+    r = profile.describe(df, ["v"]).first()
+    assert (r.n_rows, r.mean, r.min, r.q50, r.max) == (3, 2.0, 1.0, 2.0, 3.0)

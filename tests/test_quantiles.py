@@ -70,3 +70,15 @@ def test_vocabulary_is_sorted_and_bounded(rows):
     assert vocabulary(df, "s") == ["a", "b"]
     with pytest.raises(ValueError):
         vocabulary(df, "s", max_size=1)
+
+
+def test_nan_and_infinity_are_missing_on_both_ways(spark):
+    values = [(float(i * 37 % 101) / 7,) for i in range(400)] + [(float("nan"),)] * 50 + [(float("inf"),)] * 9 + [(float("-inf"),)] * 7
+    df = spark.createDataFrame(values, "v double")
+    probs = [0.1, 0.25, 0.5, 0.77, 0.9]
+    small = exact_quantiles(df, {"v": F.col("v")}, probs)
+    large = exact_quantiles(df, {"v": F.col("v")}, probs, interior_limit=10, accuracy=50)
+    assert small.counts == large.counts == {"v": 400}
+    assert small.values == large.values  # bit for bit
+    known = df.filter("v > -1e300 AND v < 1e300").agg(F.percentile("v", probs).alias("q")).first().q
+    assert small.values["v"] == known
