@@ -9,9 +9,9 @@ siblings. All sums are whole tokens; the rest of a division goes to the largest
 A leaf with budget b and T tokens gives b div T whole epochs and a token prefix of the next: its texts in
 the order of a seeded hash, a new order each epoch, up to the text in which the remaining tokens end.
 
-Counts per leaf decide the budgets, counts per leaf and hash bucket the prefixes. Only the texts in the
-one bucket of a leaf where its prefix ends are ordered row by row; no window holds a leaf, and a text
-is only shuffled if it lies in such a bucket.
+Counts per leaf decide the budgets, counts per leaf and hash bucket the prefixes, and counts inside that
+bucket narrow it down once more. Only the texts in the one fine bucket of a leaf where its prefix ends are
+ordered row by row; no window holds a leaf, and a text is only shuffled if it lies in such a bucket.
 
 Defined results: a null level is a node named ''; a null text has no tokens; a leaf without tokens
 gives nothing; texts without words are taken where they stand before the end of the prefix; a null id
@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from acreline.llm.common import checkpointed, free_name, written
 
 WORD = "[^\\x20\\x09-\\x0D]+"
-#: Hexadecimal digits of the order hash that name its bucket: 4,096 buckets a leaf.
-DIGITS = 3
+#: Hexadecimal digits of the order hash by which the end of a prefix is looked for, one step after the
+#: other: 4,096 buckets a leaf, then 4,096 inside the one that holds the end.
+DIGITS = (3, 6)
 #: Leaves whose plan is broadcast.
 SENT = 50_000
 
@@ -128,13 +129,16 @@ def select_mix(
     near = F.broadcast if plan.count() <= SENT else lambda x: x
 
     # where each leaf's prefix ends: the bucket, and the tokens before it
+    ends = plan.filter("rest > 0").select(*path, "whole", "rest", F.lit("").alias("bucket"), F.lit(0).cast("bigint").alias("start"))
     h = order_hash(F.col("id"), F.col("whole"), seed)
-    cells = rows.join(near(plan.filter("rest > 0")), path).groupBy(*path, "rest", F.substring(h, 1, DIGITS).alias("bucket"))
-    cells = cells.agg(F.sum("tokens").alias("n"))
     upto = W.partitionBy(*path).orderBy("bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    cells = cells.withColumn("start", F.sum("n").over(upto) - F.col("n"))
-    ends = cells.filter("start < rest AND start + n >= rest").groupBy(*path).agg(F.min("bucket").alias("bucket"), F.min_by("start", "bucket").alias("start"))
-    plan = checkpointed(plan.join(ends, path, "left"))
+    for digits in DIGITS:
+        cells = rows.join(near(ends), path).filter(h.startswith(F.col("bucket")))
+        cells = cells.groupBy(*path, "whole", "rest", "start", F.substring(h, 1, digits).alias("bucket")).agg(F.sum("tokens").alias("n"))
+        cells = cells.withColumn("start", F.col("start") + F.sum("n").over(upto) - F.col("n"))
+        cells = cells.filter("start < rest AND start + n >= rest").groupBy(*path, "whole", "rest")
+        ends = checkpointed(cells.agg(F.min("bucket").alias("bucket"), F.min_by("start", "bucket").alias("start")))
+    plan = checkpointed(plan.join(ends.select(*path, "bucket", "start"), path, "left"))
 
     mine, leaf = free_name(docs, "__row"), free_name(docs, "__leaf")
     here = docs.withColumn(leaf, F.struct(*names))
@@ -143,7 +147,7 @@ def select_mix(
     p = lambda c: F.col(f"{mine}.{c}")
     epoch, used = free_name(docs, "__epoch"), free_name(docs, "__used")
     copies = here.withColumn(epoch, F.explode(F.sequence(F.lit(0).cast("bigint"), p("whole")))).filter((F.col(epoch) < p("whole")) | (p("rest") > 0))
-    bucket = F.substring(order_hash(F.col(id_col), p("whole"), seed), 1, DIGITS)
+    bucket = F.substring(order_hash(F.col(id_col), p("whole"), seed), 1, DIGITS[-1])
     partial = F.col(epoch) == p("whole")
     unknown = F.lit(None).cast("bigint")
     inside = copies.filter(~partial | (bucket < p("bucket"))).withColumn(used, unknown)

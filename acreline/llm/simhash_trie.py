@@ -192,30 +192,35 @@ def links(prints: DataFrame, budget: int = 4, subtrie: int = SUBTRIE) -> DataFra
     return dealt.mapInArrow(lambda batches: _walk(batches, budget), "a long, b long")
 
 
+def _rooted(prints: DataFrame, low: Column, budget: int, subtrie: int) -> DataFrame:
+    """(fp, root, low) per distinct fingerprint: ``low`` is the smallest of its rows, ``root`` names its group."""
+    groups = prints.groupBy("fp").agg(F.min(low).alias("low"))
+    root = components(links(prints.select("fp").distinct(), budget, subtrie))
+    rooted = groups.join(root, groups["fp"] == root["node"], "left")
+    return rooted.select("fp", F.coalesce("root", "fp").alias("root"), "low")
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4, subtrie: int = SUBTRIE
 ) -> DataFrame:
     """(id, simhash long, component_id) per row: the smallest id that its links reach, itself included."""
     prints = written(docs.select(F.col(id_col).alias("id"), simhash(F.col(text_col), words).alias("fp")), "simhash")
-    groups = prints.groupBy("fp").agg(F.min("id").alias("low"))
-    root = components(links(prints.select("fp").distinct(), budget, subtrie))
-    rooted = groups.join(root, groups["fp"] == root["node"], "left")
-    rooted = rooted.select("fp", F.coalesce("root", "fp").alias("root"), "low")
+    rooted = _rooted(prints, F.col("id"), budget, subtrie)
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     named = rooted.join(lows, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("id", F.col("fp").alias("simhash"), "component_id")
 
 
-def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4) -> DataFrame:
-    """One row of each group stays: that of the smallest id. Of equal rows under that id, one stays.
-
-    Rows without an id cannot be told apart by it; each group without any id keeps one of its texts.
-    """
-    groups = near_duplicates(docs, id_col, text_col, words, budget)
-    flag = free_name(docs, "__stay")
-    stay = groups.filter(F.col("id") == F.col("component_id")).select(F.col("id").alias(flag)).distinct()
-    kept = docs.join(stay, docs[id_col] == stay[flag], "left_semi").dropDuplicates([id_col])
-    lone = groups.filter("component_id is null").select("simhash").distinct()
-    nameless = docs.filter(F.col(id_col).isNull()).withColumn(flag, simhash(F.col(text_col), words))
-    nameless = nameless.join(lone, nameless[flag] == lone["simhash"], "left_semi").dropDuplicates([flag]).drop(flag)
-    return kept.unionByName(nameless)
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, budget: int = 4, subtrie: int = SUBTRIE
+) -> DataFrame:
+    """One row of each group stays: that of the smallest id, and of rows with that id that of the smallest text
+    hash. Of rows equal in both, any one stays. A row without an id stays only where the group has no other."""
+    digest = F.xxhash64(text_col)
+    prints = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), simhash(F.col(text_col), words).alias("fp"))
+    order = F.struct(F.col("id").isNull().alias("lone"), "id", "digest")
+    rooted = _rooted(written(prints, "simhash"), order, budget, subtrie)
+    first, mine = free_name(docs, "__first"), free_name(docs, "__mine")
+    stay = rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.struct("low.id", "low.digest").alias(first))
+    keyed = docs.withColumn(mine, F.struct(F.col(id_col).alias("id"), digest.alias("digest")))
+    return keyed.join(stay, F.col(mine) == F.col(first), "left_semi").dropDuplicates([mine]).drop(mine)

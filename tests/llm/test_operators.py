@@ -111,6 +111,17 @@ def test_simhash_odd(odd):
     assert simhash_trie.near_duplicates(odd.limit(0)).count() == 0
 
 
+def test_one_row_of_each_group_under_equal_ids(spark):
+    """An id may carry texts of several groups: each group keeps its own row, whatever the layout."""
+    a, b, c = ("one two three four five six", "red green blue black white grey", "north south east west up down")
+    rows = [(5, a), (5, b), (3, b), (5, c), (5, c), (None, c), (None, "all alone here with no name"), (None, "all alone here with no name")]
+    want = {(5, a), (3, b), (5, c), (None, "all alone here with no name")}
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+        kept = [tuple(r) for r in simhash_trie.drop_near_duplicates(docs).collect()]
+        assert len(kept) == len(want) and set(kept) == want
+
+
 def test_components_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(chain).collect()}
@@ -334,6 +345,31 @@ def test_mix_odd(odd):
     assert twice.agg(F.sum(mixing.mix_tokens(F.col("text")))).first()[0] == 2 * total
 
 
+@pytest.mark.parametrize("digits", [(0,), (1, 2), mixing.DIGITS, (31, 32)])
+def test_prefix_end_at_any_fineness(spark, monkeypatch, digits):
+    """However finely the end is looked for, the rows are those of a plain walk in hash order."""
+    monkeypatch.setattr(mixing, "DIGITS", digits)
+    rows = [(i // 2, "w " * (i % 7), f"s{i % 3}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = Counter((r.doc_id, r.text, r.source, r.n) for r in mixing.select_mix(docs, ("source",), {"source": {"s1": 3}}, "1/3").withColumn("n", mixing.mix_tokens(F.col("text"))).collect())
+    size = {s: sum(len(t.split()) for _, t, x in rows if x == s) for s in ("s0", "s1", "s2")}
+    budget = sum(size.values()) // 3
+    given = dict.fromkeys(size, 0)
+    share = {s: budget * w / 5 for s, w in (("s0", 1), ("s1", 3), ("s2", 1))}
+    want = Counter()
+    for s in size:
+        given[s] = sum(n for (*_, x, n), k in got.items() if x == s for _ in range(k))
+        assert given[s] == size[s] or abs(given[s] - share[s]) <= max(0, share["s1"] - size["s1"]) + 1
+        left = given[s]
+        mine = sorted((hashlib.md5(f"6:0:{d}".encode()).hexdigest(), t, d) for d, t, x in rows if x == s)
+        for _, t, d in mine:
+            if left > 0:
+                want[d, t, s, min(left, len(t.split()))] += 1
+            left -= len(t.split())
+    assert sum(given.values()) == budget
+    assert got == want
+
+
 # --- 7: Merkle trees -------------------------------------------------------------------------
 
 
