@@ -284,7 +284,7 @@ def validate_holdout(spark, sf_dir):
 @query("validate_kfold")
 def validate_kfold(spark, sf_dir):
     train = _rows(spark, sf_dir).filter("part = 'train'")
-    plan = models.Training(id_cols=(ID,), validation="cross_validation", folds=3)
+    plan = models.Training(id_cols=(ID,), validation="cross_validation")
     settings = models.shorten("boosted_trees", 5, 4)
     scores = models.validation_scores(train, "boosted_trees", plan, settings)
     rows = [(f"validation_fold_{i + 1}", *[s[m] for m in ("rmse", "mae", "r2", "mse")]) for i, s in enumerate(scores)]
@@ -298,6 +298,33 @@ def train_all_models(spark, sf_dir):
     return train_all(_rows(spark, sf_dir), training(), {**short, "no_such_model": None})
 
 
+@query(
+    "fit_pipeline",
+    f"WITH {SPLIT}\nSELECT count(*) AS n_scored, TRUE AS beats_mean FROM parted WHERE part = 'test'",
+)
+def fit_pipeline(spark, sf_dir):
+    """Features and learner as one object: it scores every test row, closer than the rows' own mean."""
+    model, test = _fitted(spark, sf_dir, "boosted_trees")
+    value, guess = F.col(TARGET), F.col("prediction")
+    mean_error = F.var_pop(value) * F.count(value)
+    return models.predict(model, test).agg(
+        F.count(guess).alias("n_scored"), (F.sum((guess - value) * (guess - value)) < mean_error).alias("beats_mean")
+    )
+
+
+@query(
+    "batch_accounts",
+    f"WITH {SPLIT}\nSELECT count(*) AS n_written, count(DISTINCT {ID}) AS n_records FROM parted WHERE part = 'test'",
+)
+def batch_accounts(spark, sf_dir):
+    """No record of a batch is lost: every one is either among the scores or among the bad records."""
+    model, test = _fitted(spark, sf_dir, "boosted_trees")
+    good, bad = fresh_dir(spark, "scored"), fresh_dir(spark, "bad")
+    score_batch(model, test.drop("stratum", "part", TARGET), good, "boosted_trees_1", "0.1", mode="quarantine", bad_path=bad)
+    ids = [readers.read_file(spark, path, fmt="parquet").select(ID) for path in (good, bad)]
+    return ids[0].unionByName(ids[1]).agg(F.count(F.lit(1)).alias("n_written"), F.countDistinct(ID).alias("n_records"))
+
+
 @query("batch_predict")
 def batch_predict(spark, sf_dir):
     """Score the test rows and write the payload; returns what was written."""
