@@ -222,5 +222,6 @@ def drop_near_duplicates(
     rooted = _rooted(written(prints, "simhash"), order, budget, subtrie)
     first, mine = free_name(docs, "__first"), free_name(docs, "__mine")
     stay = rooted.groupBy("root").agg(F.min("low").alias("low")).select(F.struct("low.id", "low.digest").alias(first))
-    keyed = docs.withColumn(mine, F.struct(F.col(id_col).alias("id"), digest.alias("digest")))
+    # of exactly the other side's type: else the join key is a cast of it, and the next step shuffles the texts again
+    keyed = docs.withColumn(mine, F.struct(F.col(id_col).alias("id"), digest.alias("digest")).cast(stay.schema[first].dataType))
     return keyed.join(stay, F.col(mine) == F.col(first), "left_semi").dropDuplicates([mine]).drop(mine)
