@@ -262,6 +262,11 @@ def categories(df: DataFrame, columns: Mapping[str, Column], max_size: int = 1_0
     return found
 
 
+def distinct_values(df: DataFrame, value: Column, name: str = "category") -> DataFrame:
+    """The distinct values as rows, however many there are; nothing is collected."""
+    return df.select(value.alias(name)).filter(F.col(name).isNotNull()).distinct()
+
+
 def vocabulary(df: DataFrame, column: str | Column, max_size: int = 1_000) -> list[str]:
     """Sorted distinct values of one text column."""
     value = F.col(column) if isinstance(column, str) else column

@@ -352,21 +352,42 @@ def model_roundtrip(spark, sf_dir):
     )
 
 
+def _arriving(spark, test):
+    """The test rows as a stream of records out of JSON text files."""
+    inbox = fresh_dir(spark, "inbox")
+    features = [f.name for f in readers.FEATURE_SCHEMA.fields]
+    test.select(F.to_json(F.struct(ID, *features)).alias("value")).write.text(inbox)
+    schema = T.StructType([T.StructField(ID, T.StringType()), *readers.RECORD_SCHEMA.fields])
+    return stream.record_stream(stream.payload_stream(spark, inbox, files_per_trigger=4), schema)
+
+
 @query("stream_predict")
 def stream_predict(spark, sf_dir):
     """Records arrive as JSON text files, are checked, scored and appended to a Parquet folder."""
     model, test = _fitted(spark, sf_dir, "boosted_trees")
-    inbox, out, checkpoint = (fresh_dir(spark, n) for n in ("inbox", "streamed", "stream-state"))
-    features = [f.name for f in readers.FEATURE_SCHEMA.fields]
-    test.select(F.to_json(F.struct(ID, *features)).alias("value")).write.text(inbox)
-    schema = T.StructType([T.StructField(ID, T.StringType()), *readers.RECORD_SCHEMA.fields])
-    records = stream.record_stream(stream.payload_stream(spark, inbox, files_per_trigger=4), schema)
+    records = _arriving(spark, test)
+    out, checkpoint = fresh_dir(spark, "streamed"), fresh_dir(spark, "stream-state")
     run = stream.write_stream(stream.score_stream(model, records, "boosted_trees_1", "0.1"), out, checkpoint)
     run.awaitTermination()
     back = readers.read_file(spark, out, fmt="parquet")
     return back.select(F.col(ID).cast("bigint").alias(ID), "predicted_value", "model_version", "service_version")
 
 
+@query(
+    "stream_accounts",
+    f"WITH {SPLIT}\nSELECT count(*) AS n_written, count(DISTINCT {ID}) AS n_records FROM parted WHERE part = 'test'",
+)
+def stream_accounts(spark, sf_dir):
+    """No record of a stream is lost: every one is either among the scores or among the bad records."""
+    model, test = _fitted(spark, sf_dir, "boosted_trees")
+    records, ids = _arriving(spark, test), []
+    for name, part in (("streamed", stream.score_stream(model, records, "boosted_trees_1", "0.1")), ("refused", stream.bad_records(records))):
+        out = fresh_dir(spark, name)
+        stream.write_stream(part, out, fresh_dir(spark, f"{name}-state")).awaitTermination()
+        ids.append(spark.read.schema(part.schema).parquet(out).select(ID))
+    return ids[0].unionByName(ids[1]).agg(F.count(F.lit(1)).alias("n_written"), F.countDistinct(ID).alias("n_records"))
+
+
 @query(
     "stream_payload_rows",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from acreline.operators import profile
 from acreline.operators.clean import add_stratum
 from acreline.operators.cluster import hotspots
-from acreline.operators.quantiles import vocabulary
+from acreline.operators.quantiles import distinct_values
 from acreline.functions import merge_values
 from acreline.queries.common import several_passes
 from acreline.queries.registry import (
@@ -259,5 +259,4 @@ def geo_hotspots(spark, sf_dir):
     "FROM district WHERE ocean_proximity IS NOT NULL",
 )
 def category_vocab(spark, sf_dir):
-    words = vocabulary(district(spark, sf_dir), merge_values(F.col("ocean_proximity"), {"ISLAND": "NEAR OCEAN"}))
-    return spark.createDataFrame([(w,) for w in words], "category string")
+    return distinct_values(district(spark, sf_dir), merge_values(F.col("ocean_proximity"), {"ISLAND": "NEAR OCEAN"}))
