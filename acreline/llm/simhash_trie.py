@@ -167,7 +167,6 @@ def _walk(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordB
 
 def links(prints: DataFrame, budget: int = 4, subtrie: int = SUBTRIE) -> DataFrame:
     """(a, b): a spanning forest of the links between the distinct longs of column ``fp``."""
-    spark = prints.sparkSession
     blocks = budget + 1
     bounds = [64 * i // blocks for i in range(blocks + 1)]
     keys = [
@@ -175,20 +174,26 @@ def links(prints: DataFrame, budget: int = 4, subtrie: int = SUBTRIE) -> DataFra
         F.shiftrightunsigned("fp", lo).bitwiseAND(F.lit((1 << (hi - lo)) - 1 if hi - lo < 64 else -1)) * blocks + F.lit(i)
         for i, (lo, hi) in enumerate(zip(bounds, bounds[1:]))
     ]
-    tries = prints.select("fp", F.explode(F.array(*keys)).alias("trie"))
-    hot = tries.groupBy("trie").count().filter(F.col("count") > subtrie).withColumn("chunks", F.ceil(F.col("count") / subtrie))
+    return walked(prints.select("fp", F.explode(F.array(*keys)).alias("trie")), budget, subtrie)
+
+
+def chunk_cells(rows: DataFrame, tries: DataFrame, key: str, most: int) -> DataFrame:
+    """``rows`` with column trie, those of a trie above ``most`` rows of ``tries`` dealt to pairs of chunks by ``key``."""
+    hot = tries.groupBy("trie").count().filter(F.col("count") > most).withColumn("chunks", F.ceil(F.col("count") / most))
     hot = checkpointed(hot.select("trie", "chunks"))
     if hot.isEmpty():
-        dealt = tries.select(F.col("trie"), "fp")
-    else:
-        chunk = F.pmod(F.xxhash64("fp"), "chunks")
-        cell = lambda j: F.xxhash64("trie", F.least(chunk, j), F.greatest(chunk, j))
-        cells = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cell)
-        dealt = tries.join(hot, "trie", "left").select(
-            F.explode(F.when(F.col("chunks").isNull(), F.array("trie")).otherwise(cells)).alias("trie"), "fp"
-        )
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = dealt.repartition(parts, "trie").sortWithinPartitions("trie")
+        return rows
+    chunk = F.pmod(F.xxhash64(key), "chunks")
+    cell = lambda j: F.xxhash64("trie", F.least(chunk, j), F.greatest(chunk, j))
+    cells = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), cell)
+    cells = F.explode(F.when(F.col("chunks").isNull(), F.array("trie")).otherwise(cells)).alias("trie")
+    return rows.join(hot, "trie", "left").select(cells, *(c for c in rows.columns if c != "trie"))
+
+
+def walked(tries: DataFrame, budget: int, subtrie: int) -> DataFrame:
+    """(a, b): a spanning forest of the links inside each trie of ``tries(trie, fp)``."""
+    parts = int(tries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = chunk_cells(tries, tries, "fp", subtrie).select("trie", "fp").repartition(parts, "trie").sortWithinPartitions("trie")
     return dealt.mapInArrow(lambda batches: _walk(batches, budget), "a long, b long")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.llm import decontaminate, mixing, pairwise_quality, ring_shards, simhash_trie
+from acreline.llm import decontaminate, mixing, pairwise_quality, ring_shards, similar_texts
 from acreline.llm.common import free_name, table, written
 from acreline.llm.queries import WEIGHTS, domain
 
@@ -27,8 +27,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays: that with the smallest doc_id."""
-    return simhash_trie.drop_near_duplicates(docs).select(*docs.columns)
+    """One document of each group of 5-word Jaccard 0.8 or more stays: that with the smallest doc_id."""
+    return similar_texts.drop_similar_texts(docs, words=5).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from acreline.llm import arc_to_warc, decontaminate, line_winnow, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, toxicity
+from acreline.llm import arc_to_warc, decontaminate, line_winnow, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, similar_texts, toxicity
 from acreline.llm.common import components, fresh_dir
 from acreline.llm.queries import QUERIES
 
@@ -122,6 +122,28 @@ def test_one_row_of_each_group_under_equal_ids(spark):
         assert len(kept) == len(want) and set(kept) == want
 
 
+@pytest.mark.parametrize("chunk", [3, 1024])
+def test_near_dedup_stage_by_brute_force(spark, monkeypatch, chunk):
+    import corpus_pipeline
+
+    monkeypatch.setattr(similar_texts, "CHUNK", chunk)
+    rng, rows = random.Random(8), [(90, "", "x"), (91, None, "x"), (92, "one two", "x"), (None, "one two", "x")]
+    for k in range(12):
+        words = [f"w{rng.randrange(900)}" for _ in range(rng.choice((30, 120)))]
+        for j in range(6):
+            new = list(words)
+            for at in rng.sample(range(len(new)), j):
+                new[at] = "x%d" % rng.randrange(900)
+            rows.append((100 + 6 * k + j, " ".join(new), "x"))
+    sets = [{tuple((r[1] or "").split()[i : i + 5]) for i in range(max(1, len((r[1] or "").split()) - 4))} for r in rows]
+    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    groups = defaultdict(list)
+    for i, r in enumerate(roots(len(rows), pairs)):
+        groups[r].append(rows[i][0] if rows[i][0] is not None else 10**9)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == sorted(map(min, groups.values()))
+
+
 def test_components_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(chain).collect()}
