@@ -2,10 +2,12 @@
 
 A paragraph is a line of the text; it is cut into blocks at sentence ends and after ``BLOCK`` code points
 without one, so a change inside a sentence touches the blocks of that sentence only. A section is a run
-of ``SECTION`` paragraphs. Block, paragraph and section digests are 8 hexadecimal digits, each
-node the digest of its children's digests; the root has 32.
+of ``SECTION`` paragraphs. Every digest is a whole md5, each node the digest of its children's digests.
 
-``fingerprint`` is the whole tree as text: root|sections|paragraphs|blocks. Equal texts have equal roots,
+``as_text`` is the tree in the form of the SQL twin: root|sections|paragraphs|blocks, where blocks, paragraphs
+and sections have 8 hexadecimal digits and each node is the digest of its children's short digests. It holds
+32 bits a section, so it does not tell texts apart in a large corpus: ``root`` does, and all comparisons
+here use the whole digests. Equal texts have equal roots,
 and trees with different roots are compared branch by branch: a branch that both have is done, and
 only the blocks below the others are looked at. The likeness of two trees is the share of their
 distinct blocks that both have (Jaccard), 1 for equal roots.
@@ -36,26 +38,51 @@ BLOCKS = f"[^\\n.!?]{{1,{BLOCK}}}[.!?]*|[.!?]+"
 RANGE, RANGES = 2_000, 1 << 16
 
 
-def _digest(x: Column) -> Column:
-    return F.substring(F.md5(x), 1, 8)
+def _short(x: Column) -> Column:
+    return F.substring(x, 1, 8)
+
+
+def _above(nodes: Column) -> Column:
+    return F.md5(F.array_join(nodes, ","))
+
+
+def _sections(paragraphs: Column) -> Column:
+    firsts = F.sequence(F.lit(1), F.size(paragraphs), F.lit(SECTION))
+    return F.transform(firsts, lambda i: _above(F.slice(paragraphs, i, F.lit(SECTION))))
 
 
 def fingerprints(df: DataFrame, text: Column, out: str) -> DataFrame:
     """``df`` plus ``out``: struct<root, sections, paragraphs, leaves>, leaves being an array per paragraph."""
     a, b, c = (free_name(df, f"__{x}") for x in ("leaves", "paragraphs", "sections"))
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
-    df = df.withColumn(a, F.transform(lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(BLOCKS), F.lit(0)), _digest)))
-    df = df.withColumn(b, F.transform(a, lambda x: _digest(F.array_join(x, ","))))
-    firsts = F.sequence(F.lit(1), F.size(b), F.lit(SECTION))
-    df = df.withColumn(c, F.transform(firsts, lambda i: _digest(F.array_join(F.slice(b, i, F.lit(SECTION)), ","))))
-    root = F.md5(F.array_join(c, ","))
+    df = df.withColumn(a, F.transform(lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(BLOCKS), F.lit(0)), F.md5)))
+    df = df.withColumn(b, F.transform(a, _above))
+    df = df.withColumn(c, _sections(F.col(b)))
+    root = _above(F.col(c))
     node = F.struct(root.alias("root"), F.col(c).alias("sections"), F.col(b).alias("paragraphs"), F.col(a).alias("leaves"))
     return df.withColumn(out, node).drop(a, b, c)
 
 
 def as_text(t: str) -> Column:
-    parts = [F.col(f"{t}.root"), F.array_join(f"{t}.sections", ","), F.array_join(f"{t}.paragraphs", ",")]
-    return F.concat_ws("|", *parts, F.array_join(F.flatten(f"{t}.leaves"), ","))
+    """The tree with short digests; nodes above the blocks are made anew from the short digests below them."""
+    blocks = F.transform(f"{t}.leaves", lambda p: F.transform(p, _short))
+
+    def shown(leaves: Column) -> Column:
+        def joined(paragraphs: Column) -> Column:
+            def rooted(sections: Column) -> Column:
+                parts = [F.array_join(x, ",") for x in (sections, paragraphs, F.flatten(leaves))]
+                return F.concat_ws("|", _above(sections), *parts)
+
+            return _once(F.transform(_sections(paragraphs), _short), rooted)
+
+        return _once(F.transform(leaves, lambda x: _short(_above(x))), joined)
+
+    return _once(blocks, shown)
+
+
+def _once(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x), with x evaluated once."""
+    return F.get(F.transform(F.array(x), f), F.lit(0))
 
 
 def likeness(one: str, two: str) -> Column:
