@@ -1,9 +1,11 @@
 """Line dedup by winnowing over line hashes.
 
-A text is cut into units: lines, long lines at sentence ends, and sentences after ``WORDS`` words. A gram is
+A text is cut into units: lines, long lines at sentence ends, and sentences of more than ``WORDS`` words after
+each word whose hash is below those of the ``NEAR`` words on both sides, so that a shared passage is cut at the
+same words wherever it stands; pieces without such a word are cut after ``WORDS`` words. A gram is
 ``GRAM`` consecutive units. Of every ``WINDOW`` consecutive grams the one with the smallest hash (the last of
 equals) is kept as a fingerprint, so a run of ``GRAM + WINDOW - 1`` units that two texts share always has a
-common fingerprint. Texts with fewer units are one gram, or one window.
+common fingerprint; a run of ``MIN_WORDS`` words has as many units. Texts with fewer units are one gram, or one window.
 
 Fingerprints that occur twice or more are joined with their first occurrence in corpus order (id, then
 row, then place), never with each other, so a group of n occurrences gives n - 1 pairs. Pairs on one
@@ -33,9 +35,22 @@ from pyspark.sql import functions as F
 
 from acreline.llm.common import checkpointed, free_name, texts, written
 
-WORDS, GRAM, WINDOW, MIN_WORDS = 16, 2, 3, 30
+WORDS, NEAR, GRAM, WINDOW, MIN_WORDS = 16, 2, 2, 1, 30
 _UNIT = re.compile(r"[^\n.!?]*+[.!?]*+\s*+")
-_PIECE = re.compile(r"(?:\S++\s*+){1,%d}|\s++" % WORDS)
+_WORD = re.compile(r"\s*+\S++\s*+")
+
+
+def _pieces(sentence: str, words: list[str]) -> list[str]:
+    """A long sentence cut after the words of locally smallest hash, and after ``WORDS`` words without one."""
+    spaced = _WORD.findall(sentence)
+    h = [xxhash.xxh64_intdigest(w, 3) for w in words]
+    out, start = [], 0
+    for i, x in enumerate(h):
+        low = x < min(h[max(0, i - NEAR) : i] + h[i + 1 : i + 1 + NEAR])
+        if low or i + 1 - start == WORDS:
+            out.append("".join(spaced[start : i + 1]))
+            start = i + 1
+    return out + ["".join(spaced[start:])] if start < len(h) else out
 
 
 def units(text: str) -> list[str]:
@@ -43,8 +58,8 @@ def units(text: str) -> list[str]:
     out = []
     for u in _UNIT.findall(text):
         if u:
-            # a sentence of more than WORDS words is cut; most are not, and counting blanks is cheap
-            out += [u] if u.count(" ") < WORDS else _PIECE.findall(u)
+            words = u.split()
+            out += [u] if len(words) <= WORDS else _pieces(u, words)
     return out
 
 

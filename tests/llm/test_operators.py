@@ -182,6 +182,26 @@ def test_winnowing_finds_every_shared_run():
         assert set(line_winnow.winnow(a)[0].tolist()) & set(line_winnow.winnow(b)[0].tolist())
 
 
+def test_long_sentences_by_words(spark):
+    rng, rows, held = random.Random(6), [], {}
+    word = lambda: "v%d" % rng.randrange(10**6)
+    for k in range(120):
+        shared = [word() for _ in range(60)]
+        for j in range(2):
+            before, after = ([word() for _ in range(rng.randrange(1, 40))] for _ in "ab")
+            rows.append((2 * k + j, " ".join(before + shared + after)))
+        start = len(" ".join(before)) + 1
+        held[2 * k + 1] = (start, start + len(" ".join(shared)))
+    found = line_winnow.find_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    gone = {r.id: r.deleted for r in found}
+    half = 0
+    for k, (a, b) in held.items():
+        assert all(a <= x.start and x.stop <= b + 1 for x in gone[k])  # only words that brute force finds
+        half += 2 * sum(x.stop - x.start for x in gone[k]) >= b - a
+    assert half >= 0.97 * len(held) and not any(gone[k - 1] for k in held)
+    assert line_winnow.GRAM + line_winnow.WINDOW - 1 <= -(-line_winnow.MIN_WORDS // line_winnow.WORDS)
+
+
 def test_lines_odd(odd):
     clean = line_winnow.dedup_lines(odd)
     assert clean.columns == odd.columns
@@ -404,6 +424,16 @@ def test_merkle_odd(spark, odd):
     assert merkle.with_next(merkle.fingerprints(odd.limit(0), F.col("text"), "tree"), "doc_id", ["tree"], tie="text").count() == 0
 
 
+def test_merkle_of_blocks_with_equal_short_digests(spark):
+    seen, k = {}, 0
+    while (short := hashlib.md5(b"block %d" % k).hexdigest()[:8]) not in seen:
+        seen[short], k = k, k + 1
+    two = spark.createDataFrame([(f"block {seen[short]}", f"block {k}")], "a string, b string")
+    two = merkle.fingerprints(merkle.fingerprints(two, F.col("a"), "ta"), F.col("b"), "tb")
+    r = two.select(merkle.edits("ta", "tb").alias("e"), merkle.likeness("ta", "tb").alias("l"), "ta.root", "tb.root").toDF("e", "l", "x", "y").first()
+    assert r.e == [0] and r.l == 0.0 and r.x != r.y
+
+
 def test_merkle_ranges_and_edits(spark):
     docs = spark.range(500).select((F.col("id") * 7 % 500).alias("doc_id"), F.col("id").cast("string").alias("text"))
     rows = merkle.with_next(docs, "doc_id", ["doc_id"], tie="text", rows_per_range=9)
