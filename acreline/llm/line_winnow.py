@@ -3,9 +3,9 @@
 A text is cut into units: lines, long lines at sentence ends, and sentences of more than ``WORDS`` words after
 each word whose hash is below those of the ``NEAR`` words on both sides, so that a shared passage is cut at the
 same words wherever it stands; pieces without such a word are cut after ``WORDS`` words. A gram is
-``GRAM`` consecutive units. Of every ``WINDOW`` consecutive grams the one with the smallest hash (the last of
-equals) is kept as a fingerprint, so a run of ``GRAM + WINDOW - 1`` units that two texts share always has a
-common fingerprint; a run of ``MIN_WORDS`` words has as many units. Texts with fewer units are one gram, or one window.
+``GRAM`` consecutive units. Of the grams of each shortest run of ``MIN_WORDS`` words the one with the smallest hash
+(the last of equals) is kept as a fingerprint, so a run of ``MIN_WORDS`` words in whole units that two texts share
+always has a common fingerprint (immediate repeats counted once). Texts with fewer words are one window.
 
 Fingerprints that occur twice or more are joined with their first occurrence in corpus order (id, then
 row, then place), never with each other, so a group of n occurrences gives n - 1 pairs. Pairs on one
@@ -72,8 +72,9 @@ def squeezed(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
 
 
-def winnow(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of a squeezed hash sequence: gram hashes and their places in it."""
+def winnow(h: np.ndarray, words: np.ndarray | None = None, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of a squeezed hash sequence: gram hashes and their places in it. With the ``words`` of the
+    units, a window is each shortest run of ``min_words`` words instead of ``WINDOW`` grams."""
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     n = max(1, len(h) - GRAM + 1)
@@ -82,7 +83,20 @@ def winnow(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     for k in range(1, min(GRAM, len(h))):
         gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + wide[k : k + n]
     gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    if n <= WINDOW:
+    if words is not None:
+        total = np.concatenate(([0], np.cumsum(words)))
+        first = np.arange(n)[total[-1] - total[:n] >= min_words]
+        if not len(first):
+            first = np.zeros(1, np.int64)
+        # the last gram of the run that begins at a unit
+        last = np.clip(np.searchsorted(total, total[first] + min_words) - GRAM, first, n - 1)
+        at = first.copy()
+        for d in range(1, int((last - first).max()) + 1):
+            better = first + d <= last
+            there = np.minimum(first + d, last)
+            at = np.where(better & (gram[there] <= gram[at]), there, at)
+        at = np.unique(at)
+    elif n <= WINDOW:
         at = np.array([n - 1 - int(np.argmin(gram[::-1]))])
     else:
         views = np.lib.stride_tricks.sliding_window_view(gram, WINDOW)
@@ -103,8 +117,9 @@ def _cut(text: str, min_words: int = MIN_WORDS) -> dict:
     parts = units(text)
     split = list(map(str.split, parts))
     h = np.fromiter((_hash(ws) for ws in split), np.int64, len(parts))
-    g, p = winnow(h[squeezed(h)])
+    place = squeezed(h)
     chars, words = np.array(list(map(len, parts)), np.int32), np.array(list(map(len, split)), np.int32)
+    g, p = winnow(h[place], words[place], min_words)
     out = {"h": h, "chars": chars, "words": words, "g": g, "p": p.astype(np.int32), "n_deleted": 0, "deleted": []}
     return out if len(g) and len(np.unique(h)) == len(h) else out | _judged(h, chars, words, [], min_words)
 

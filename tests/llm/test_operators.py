@@ -199,7 +199,14 @@ def test_long_sentences_by_words(spark):
         assert all(a <= x.start and x.stop <= b + 1 for x in gone[k])  # only words that brute force finds
         half += 2 * sum(x.stop - x.start for x in gone[k]) >= b - a
     assert half >= 0.97 * len(held) and not any(gone[k - 1] for k in held)
-    assert line_winnow.GRAM + line_winnow.WINDOW - 1 <= -(-line_winnow.MIN_WORDS // line_winnow.WORDS)
+    for _ in range(300):
+        parts = [np.array([[rng.randrange(1 << 62), rng.randrange(1, 17)] for _ in range(rng.randrange(9))], np.int64).reshape(-1, 2) for _ in range(4)]
+        shared = []
+        while sum(w for _, w in shared) < line_winnow.MIN_WORDS:
+            shared.append([rng.randrange(1 << 62), rng.randrange(1, 17)])
+        a, b = (np.concatenate([x, shared, y]).astype(np.int64) for x, y in (parts[:2], parts[2:]))
+        g = [set(line_winnow.winnow(x[:, 0].copy(), x[:, 1])[0].tolist()) for x in (a, b)]
+        assert g[0] & g[1]
 
 
 def test_lines_odd(odd):
