@@ -42,6 +42,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def claim(df: DataFrame, *names: str) -> None:
+    """An operator's result columns must be free in its input: the one rule for clashing names."""
+    taken = {c.lower() for c in df.columns} & {n.lower() for n in names}
+    if taken:
+        raise ValueError(f"the input already has the result column(s) {sorted(taken)}: rename them, or choose another name")
+
+
 def texts(array: pa.Array) -> Iterator[str]:
     """Strings of an Arrow array, null as empty, one at a time."""
     return (x.as_py() or "" for x in array)

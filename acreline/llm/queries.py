@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from acreline.llm import arc_to_warc, decontaminate, line_winnow, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, toxicity
+from acreline.llm import arc_to_warc, decontaminate, line_winnow, merkle, mixing, pairwise_quality, pii_semicrf, ring_shards, simhash_trie, spelling, token_cache, toxicity, walsh_codes
 from acreline.llm.common import table
 from acreline.llm.registry import ORACLES, QUERIES, query
 from acreline.session import fresh_dir
@@ -158,3 +158,28 @@ def op10_pairwise_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= pairwise_quality.THRESHOLD).cast("int").alias("predicted"),
     )
+
+
+#: Where the tokenizer file of op11 is found, relative to the folder of public tokenizers.
+TOKENIZER, TOKEN_LIMIT = "piece_bpe_32k.model", 4096
+
+
+@query("op11_token_cache")
+def op11_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cache begins empty, so every distinct text is encoded once."""
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_cache.count_tokens(docs, token_cache.load_tokenizer(public_tokenizers.path(TOKENIZER)), fresh_dir(spark, "tokens"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
+@query("op12_walsh_codes", walsh_codes.codes_sql())
+def op12_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = walsh_codes.compress(table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
