@@ -6,18 +6,21 @@ import json
 import os
 from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.util import inheritable_thread_target
 
 from acreline.errors import DataValidationError
 from acreline.functions.metrics import SUPPORTED, check_metrics
+from acreline.operators.boosting import HistogramBoosting
 from acreline.operators.checks import check_choice, require_columns, require_rows
 from acreline.operators.evaluate import HIGHER_IS_BETTER, QUALITY_THRESHOLD, evaluate
 from acreline.operators.features import FeatureSpec, TabularFeatures, TabularFeaturesModel
@@ -57,6 +60,40 @@ PRESETS: dict[str, dict[str, Any]] = {
     },
 }
 
+#: Labelled rows that the boosting presets below learn from at most, in hash order of the row key: a thousand rounds
+#: take about a minute then. 0 in ``learn_rows`` learns from all rows.
+LEARN_ROWS = 20_000
+
+# The same settings with those that only ``boosting`` has (penalties, rows and columns drawn for a tree,
+# number of leaves). The leaf-wise learner names a row share, but no rounds between draws, so none are drawn.
+BOOSTING_PRESETS: dict[str, dict[str, Any]] = {
+    "regularised_boosting": {
+        "rounds": 1188,
+        "depth": 9,
+        "rate": 0.019655684599424853,
+        "row_share": 0.8827429375390468,
+        "column_share": 0.7693605922825478,
+        "child_rows": 3,
+        "gamma": 0.19744075908778486,
+        "l2": 1.0,
+        "learn_rows": LEARN_ROWS,
+    },
+    "leafwise_boosting": {
+        "rounds": 1000,
+        "depth": 11,
+        "leaves": 91,
+        "rate": 0.013057771348997228,
+        "row_share": 0.7483273008793065,
+        "row_every": 0,
+        "column_share": 0.7433862914177091,
+        "child_rows": 18,
+        "l1": 0.4494506741382034,
+        "l2": 0.09541011649041131,
+        "learn_rows": LEARN_ROWS,
+    },
+}
+ALL_PRESETS = PRESETS | BOOSTING_PRESETS
+
 _BUILDERS: dict[str, Callable[..., Any]] = {
     "random_forest": RandomForestRegressor,
     "boosted_trees": GBTRegressor,
@@ -67,8 +104,11 @@ _BUILDERS: dict[str, Callable[..., Any]] = {
 def shorten(name: str, rounds: int, max_depth: int | None = None) -> dict[str, Any]:
     """A preset with fewer trees or rounds; the learning rate grows so that rate x rounds is kept
     (at most 0.3)."""
-    check_choice(name, PRESETS, "model")
-    settings = dict(PRESETS[name])
+    check_choice(name, ALL_PRESETS, "model")
+    settings = dict(ALL_PRESETS[name])
+    if name in BOOSTING_PRESETS:
+        settings |= {"rounds": rounds, "rate": min(0.3, settings["rate"] * settings["rounds"] / rounds)}
+        return settings | ({"depth": min(max_depth, settings["depth"])} if max_depth else {})
     if "numTrees" in settings:
         settings["numTrees"] = rounds
     else:
@@ -81,7 +121,10 @@ def shorten(name: str, rounds: int, max_depth: int | None = None) -> dict[str, A
 
 def build_regressor(name: str, settings: Mapping[str, Any] | None = None, seed: int = 42, label: str = "median_house_value"):
     """The learner behind a model name. Spark grows trees to depth 30 at most."""
-    check_choice(name, _BUILDERS, "model")
+    check_choice(name, ALL_PRESETS, "model")
+    if name in BOOSTING_PRESETS:
+        chosen = BOOSTING_PRESETS[name] if settings is None else settings
+        return HistogramBoosting(labelCol=label, keyCol="row_key", settings=dict(chosen), seed=seed)
     values = dict(PRESETS[name] if settings is None else settings)
     values["maxDepth"] = min(int(values.get("maxDepth") or 30), 30)
     learner = _BUILDERS[name](
@@ -117,7 +160,7 @@ class Training:
 
 @dataclass
 class Prepared:
-    """Learned features and the kept training matrix; any number of learners can be fitted on it."""
+    """Learned features and the kept training matrix (features, label, row_key); any number of learners can be fitted on it."""
 
     features: TabularFeaturesModel
     assembler: VectorAssembler
@@ -138,7 +181,9 @@ def prepare(df: DataFrame, training: Training) -> Prepared:
     assembler = VectorAssembler(inputCols=features.feature_names(), outputCol="features")
     matrix = assembler.transform(features.select_features(df, *training.id_cols, training.label))
     laid = stable_layout(matrix.select(*training.id_cols, "features", training.label), training.id_cols)
-    return Prepared(features, assembler, laid.select("features", training.label).persist(StorageLevel.MEMORY_AND_DISK))
+    key = F.xxhash64(*training.id_cols) if training.id_cols else F.xxhash64("features", training.label)
+    table = laid.select("features", training.label, key.alias("row_key"))
+    return Prepared(features, assembler, table.persist(StorageLevel.MEMORY_AND_DISK))
 
 
 def fit_on(
@@ -150,6 +195,29 @@ def fit_on(
     return PipelineModel([prepared.features, prepared.assembler, learner])
 
 
+def fit_many(
+    prepared: Sequence[Prepared], name: str, training: Training, settings: Mapping[str, Any] | None = None
+) -> list[PipelineModel]:
+    """A model for each matrix, all at the same time: the same models as one after another.
+
+    Boosting on a bounded number of rows makes one job of them, a task a model. The other learners run their jobs from
+    threads of the driver, so that the short stages of one fit fill the gaps of another.
+    """
+    ensure_checkpoint_dir(prepared[0].table.sparkSession)
+    if name in BOOSTING_PRESETS:
+        learner = build_regressor(name, settings, training.seed, training.label)
+        fitted = learner.fit_all([p.table for p in prepared])
+        return [PipelineModel([p.features, p.assembler, m]) for p, m in zip(prepared, fitted)]
+    return _at_once([lambda p=p: fit_on(p, name, training, settings) for p in prepared])
+
+
+def _at_once(steps: Sequence[Callable[[], Any]]) -> list[Any]:
+    """Results of independent steps, each of which starts Spark jobs."""
+    spark = SparkSession.active()
+    with ThreadPool(len(steps)) as pool:
+        return pool.map(lambda step: inheritable_thread_target(spark)(step)(), steps, chunksize=1)
+
+
 def fit_full(
     df: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
 ) -> PipelineModel:
@@ -188,9 +256,19 @@ def validation_sets(train: DataFrame, training: Training) -> Iterator[tuple[str,
 
 
 def validation_scores(
-    train: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
+    train: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None, at_once: bool = False
 ) -> list[dict[str, float]]:
-    """One set of metrics per holdout or fold; features are learned again inside each of them."""
+    """One set of metrics per holdout or fold; features are learned again inside each of them. ``at_once`` works on all
+    folds at the same time, which needs room for all their matrices; the scores are the same."""
+    if at_once:
+        sets = list(validation_sets(train, training))
+        prepared = _at_once([lambda rows=rows: prepare(rows, training) for _, rows, _ in sets])
+        try:
+            fitted = fit_many(prepared, name, training, settings)
+            return _at_once([lambda m=m, s=s: score(m, s[2], s[0], training) for m, s in zip(fitted, sets)])
+        finally:
+            for p in prepared:
+                p.release()
     scores = []
     for set_name, fit_rows, val_rows in validation_sets(train, training):
         model = fit_full(fit_rows, name, training, settings)
