@@ -1,20 +1,32 @@
-"""Profiling reports. Each returns a small frame; each reads only the columns it needs."""
+"""Profiling reports. Each returns a small frame; each reads only the columns it needs.
+
+NaN and infinities count as missing in every number that is reported.
+"""
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from acreline.functions.expressions import finite, safe_ratio
 from acreline.operators.checks import require_columns
+from acreline.operators.comoments import comoments
 from acreline.operators.keys import hash_sample
 from acreline.operators.quantiles import exact_quantiles, quantiles_by
 
 QUARTILES = (0.25, 0.5, 0.75)
 BROADCAST_GROUPS = 10_000
+#: Highest power kept of a cell's rows for a density; see ``density_curves`` for the error.
+KERNEL_ORDER = 12
+
+
+def _number(column: str) -> Column:
+    """The column as a double that is missing where it is no finite number."""
+    return finite(F.col(f"`{column}`").cast("double"))
 
 
 def _unpivot(row: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
@@ -75,7 +87,7 @@ def top_values(df: DataFrame, column: str, top: int = 5) -> DataFrame:
 def cap_profile(df: DataFrame, column: str) -> DataFrame:
     """The maximum, the rows that sit on it and their percentage: the sign of a censored column."""
     require_columns(df, [column])
-    value = F.col(column)
+    value = _number(column)
     high = df.agg(F.max(value).alias("m")).first()["m"]
     at_cap = F.count_if(value == F.lit(high)) if high is not None else F.lit(0).cast("bigint")
     counted = df.agg(at_cap.alias("n_at_cap"), F.count(F.lit(1)).alias("n_rows"))
@@ -131,8 +143,8 @@ def _bin_index(value: Column, low: float, width: float, bins: int) -> Column:
 
 def _ranges(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[float, float]]:
     row = df.agg(
-        *[F.min(c).cast("double").alias(f"l{i}") for i, c in enumerate(columns)],
-        *[F.max(c).cast("double").alias(f"h{i}") for i, c in enumerate(columns)],
+        *[F.min(_number(c)).alias(f"l{i}") for i, c in enumerate(columns)],
+        *[F.max(_number(c)).alias(f"h{i}") for i, c in enumerate(columns)],
     ).first()
     return {c: (row[f"l{i}"], row[f"h{i}"]) for i, c in enumerate(columns) if row[f"l{i}"] is not None}
 
@@ -153,11 +165,12 @@ def _binned(df: DataFrame, bins: dict[str, int], ranges: dict[str, tuple[float,
     cells = []
     for c, (low, high) in ranges.items():
         width = (high - low) / bins[c]
-        index = _bin_index(F.col(c).cast("double"), low, width, bins[c])
+        value = _number(c)
+        index = _bin_index(value, low, width, bins[c])
         cells.append(
             F.struct(
                 F.lit(c).alias("column"),
-                F.when(F.col(c).isNotNull(), index).alias("bin"),
+                F.when(value.isNotNull(), index).alias("bin"),
                 (F.lit(low) + index * F.lit(width)).alias("bin_low"),
             )
         )
@@ -173,10 +186,8 @@ def _binned(df: DataFrame, bins: dict[str, int], ranges: dict[str, tuple[float,
 
 def auto_bins(df: DataFrame, column: str) -> tuple[int, float, float]:
     """(bins, min, max): the finer of the Sturges and the Freedman-Diaconis width."""
-    v = F.col(column)
-    found = exact_quantiles(
-        df.select(column), {column: v}, (0.25, 0.75), {"low": F.min(v).cast("double"), "high": F.max(v).cast("double")}
-    )
+    v = _number(column)
+    found = exact_quantiles(df.select(column), {column: v}, (0.25, 0.75), {"low": F.min(v), "high": F.max(v)})
     n = found.counts[column]
     if not n:
         raise ValueError(f"column {column!r} has no values")
@@ -198,36 +209,66 @@ def histogram_auto(df: DataFrame, column: str) -> DataFrame:
     return _binned(df.select(column), {column: bins}, {column: (low, high)})
 
 
-def density_curve(df: DataFrame, column: str, points: int = 200, bins: int = 1_000) -> DataFrame:
-    """Gaussian kernel density on a grid over the range, bandwidth by Scott's rule.
+def density_curves(df: DataFrame, columns: Sequence[str], points: int = 200) -> DataFrame:
+    """(column, point, x, density): Gaussian kernel density of each column on a grid over its range, bandwidth h by
+    Scott's rule. One scan for ranges and deviations, one for all densities.
 
-    The kernels sit on the centres of ``bins`` fine bins, so the work after one counting scan is
-    bins x points whatever the table size; a value moves by at most half a bin.
+    The second scan keeps, for each cell of width h / 4, the power sums S_k of (x - centre) / h up to ``KERNEL_ORDER``. The
+    kernels of a cell's rows add up to phi(z) sum_k He_k(z) S_k / k! at distance z h from the centre, by the generating
+    function of the Hermite polynomials He_k. As |He_k(z)| exp(-z^2 / 2) <= 1.09 sqrt(k!) and |x - centre| <= h / 8, what is
+    left out of a row's kernel is below 3e-17 of its peak, and so are rows more than 9 h away, which are passed over. Cells combine before the shuffle; they are at most 4 range / h.
     """
-    require_columns(df, [column])
-    v = F.col(column).cast("double")
-    row = df.agg(F.min(v).alias("low"), F.max(v).alias("high"), F.stddev_samp(v).alias("s"), F.count(v).alias("n")).first()
-    if not row["n"] or not row["s"]:
-        raise ValueError(f"column {column!r} has no spread")
-    low, span, n = row["low"], row["high"] - row["low"], row["n"]
-    band = row["s"] * n ** (-0.2)
-    width, step = span / bins, span / (points - 1)
-    counts = (
-        df.filter(v.isNotNull())
-        .groupBy(_bin_index(v, low, width, bins).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    centre = F.lit(low) + (F.col("bin") + F.lit(0.5)) * F.lit(width)
-    spread = counts.select("n", centre.alias("c"), F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    x = F.lit(low) + F.col("point") * F.lit(step)
-    z = (F.lit(low) + F.col("point") * F.lit(step) - F.col("c")) / F.lit(band)
-    scale = n * band * math.sqrt(2.0 * math.pi)
-    return (
-        spread.groupBy("point", x.alias("x"))
-        .agg((F.sum(F.col("n") * F.exp(z * z * F.lit(-0.5))) / F.lit(scale)).alias("density"))
+    require_columns(df, columns)
+    if points < 2:
+        raise ValueError("a curve has two points at least")
+    v = {c: _number(c) for c in columns}
+    aggs = [f(x).alias(f"{n}{i}") for i, x in enumerate(v.values()) for n, f in (("l", F.min), ("h", F.max), ("s", F.stddev_samp), ("n", F.count))]
+    row = df.agg(*aggs).first()
+    cells = []
+    for i, (c, x) in enumerate(v.items()):
+        low, high, spread, n = (row[f"{k}{i}"] for k in "lhsn")
+        if not n or not spread:
+            raise ValueError(f"column {c!r} has no spread")
+        band = spread * n ** (-0.2)
+        cell = F.floor((x - F.lit(low)) / F.lit(band / 4))
+        t = (x - F.lit(low)) / F.lit(band) - (cell + F.lit(0.5)) / F.lit(4.0)
+        step = (high - low) / (points - 1)
+        own = (F.lit(c).alias("column"), F.lit(float(low)).alias("low"), F.lit(band).alias("band"), F.lit(step).alias("step"), F.lit(n).alias("n"))
+        cells.append(F.struct(*own, cell.alias("cell"), t.alias("t")))
+    rows = df.select(F.inline(F.array(*cells))).filter("t IS NOT NULL")
+    power, sums = F.lit(1.0), []
+    for k in range(KERNEL_ORDER + 1):
+        sums.append(F.sum(power).alias(f"s{k}"))
+        power = power * F.col("t")
+    kept = rows.groupBy("column", "low", "band", "step", "n", "cell").agg(*sums)
+    centre = F.col("low") + (F.col("cell") + F.lit(0.5)) * F.col("band") / 4
+    first = F.greatest(F.ceil((centre - F.col("low") - 9 * F.col("band")) / F.col("step")), F.lit(0))
+    last = F.least(F.floor((centre - F.col("low") + 9 * F.col("band")) / F.col("step")), F.lit(points - 1))
+    near = kept.withColumns({"c": centre, "first": first, "last": last}).filter("first <= last")
+    near = near.withColumn("point", F.explode(F.sequence("first", "last")))
+    near = near.withColumn("x", F.col("low") + F.col("point") * F.col("step"))
+    near = near.withColumn("z", (F.col("x") - F.col("c")) / F.col("band"))
+    before, he, total = F.lit(0.0), F.lit(1.0), F.lit(0.0)
+    for k in range(KERNEL_ORDER + 1):
+        total = total + he * F.col(f"s{k}") / math.factorial(k)
+        before, he = he, F.col("z") * he - k * before
+    kernel = total * F.exp(F.col("z") * F.col("z") * F.lit(-0.5))
+    curve = near.groupBy("column", "low", "band", "step", "n", "point").agg((F.sum(kernel) / math.sqrt(2.0 * math.pi)).alias("k"))
+    grid = df.sparkSession.range(points).select(F.col("id").alias("point"))
+    known = [(c, float(row[f"l{i}"]), (row[f"h{i}"] - row[f"l{i}"]) / (points - 1)) for i, c in enumerate(columns)]
+    # every point of every curve, also where no row is near: columns x points rows
+    whole = df.sparkSession.createDataFrame(known, "`column` string, low double, step double").join(grid)
+    found = curve.select("column", "point", (F.col("k") / (F.col("n") * F.col("band"))).alias("density"))
+    return whole.join(found, ["column", "point"], "left").select(
+        "column", F.col("point").cast("int").alias("point"), (F.col("low") + F.col("point") * F.col("step")).alias("x"), F.coalesce("density", F.lit(0.0)).alias("density")
     )
 
 
+def density_curve(df: DataFrame, column: str, points: int = 200) -> DataFrame:
+    """(point, x, density) of one column."""
+    return density_curves(df, [column], points).drop("column")
+
+
 def cardinality(df: DataFrame, columns: Sequence[str], exact: bool = True) -> DataFrame:
     """Distinct values per column, all columns in one scan. Exact counting combines equal values
     before its shuffle; the approximate way has no shuffle to speak of."""
@@ -240,10 +281,10 @@ def cardinality(df: DataFrame, columns: Sequence[str], exact: bool = True) -> Da
 def category_share(df: DataFrame, column: str) -> DataFrame:
     """Rows per category and percent of all rows (missing ones count in the total), most frequent first."""
     require_columns(df, [column])
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))  # one scan; the total is theirs
-    total = F.sum("n_rows").over(Window.partitionBy())  # over one row a category
-    shares = counts.withColumn("pct", F.col("n_rows") * 100.0 / total).filter(F.col(column).isNotNull())
-    return shares.orderBy(F.desc("n_rows"), column)
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n_rows"))
+    total = F.broadcast(counts.agg(F.sum("n_rows").alias("__total")))  # one row, of the counts that are there already
+    shares = counts.join(total).withColumn("pct", F.col("n_rows") * 100.0 / F.col("__total")).drop("__total")
+    return shares.filter(F.col(column).isNotNull()).orderBy(F.desc("n_rows"), column)
 
 
 def pearson(a: str, b: str) -> Column:
@@ -254,29 +295,16 @@ def pearson(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(x, y), F.sqrt(spread))
 
 
-def correlations(df: DataFrame, columns: Sequence[str], batch: int = 6) -> DataFrame:
-    """Pearson's r of every pair, both ways and with itself, over the rows where both are known.
-
-    Pairs go ``batch`` to an aggregation: one aggregation of dozens of pairs compiles to code too
-    long for the JIT and takes more than twice the time. Each batch reads its own columns only.
-    """
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson's r of every pair, both ways and with itself, over the rows where both are known: one scan for any number
+    of columns. Missing where a column does not vary over those rows."""
     require_columns(df, columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :]]
-    if not pairs:
+    if len(columns) < 2:
         raise ValueError("at least two columns are needed")
-
-    def cell(a: str, b: str, r: Column) -> Column:
-        return F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), r.alias("r"))
-
-    spread = df.agg(*[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(columns)])
-    own = [cell(c, c, F.when(F.col(f"v{i}") > 0, F.lit(1.0))) for i, c in enumerate(columns)]
-    result = spread.select(F.inline(F.array(*own)))
-    for start in range(0, len(pairs), batch):
-        part = pairs[start : start + batch]
-        row = df.agg(*[pearson(a, b).alias(f"r{i}") for i, (a, b) in enumerate(part)])
-        cells = [c for i, (a, b) in enumerate(part) for c in (cell(a, b, F.col(f"r{i}")), cell(b, a, F.col(f"r{i}")))]
-        result = result.unionByName(row.select(F.inline(F.array(*cells))))
-    return result
+    r = comoments(df, columns).pearson()
+    np.fill_diagonal(r, np.where(np.isnan(r.diagonal()), np.nan, 1.0))
+    cells = [(a, b, None if np.isnan(r[i, j]) else float(r[i, j])) for i, a in enumerate(columns) for j, b in enumerate(columns)]
+    return df.sparkSession.createDataFrame(cells, "column_a string, column_b string, r double")
 
 
 def target_correlations(
@@ -306,7 +334,7 @@ def box_stats(df: DataFrame, by: str, value: str) -> DataFrame:
     """Box plot numbers per category: exact quartiles, whiskers at the last point within 1.5 IQR,
     points outside."""
     require_columns(df, [by, value])
-    narrow = df.filter(F.col(by).isNotNull() & F.col(value).isNotNull()).select(by, value)
+    narrow = df.select(by, _number(value).alias(value)).filter(F.col(by).isNotNull() & F.col(value).isNotNull())
     boxes = quantiles_by(narrow, by, value, QUARTILES, ("q25", "q50", "q75"))
     # One small row per category. With few of them, which is checked, they travel to the rows; with
     # many, the join is by key and Spark splits the large categories.
@@ -334,13 +362,13 @@ def geo_grid(df: DataFrame, lon: str, lat: str, size: str, value: str, step: flo
     require_columns(df, [lon, lat, size, value])
     if step <= 0:
         raise ValueError("step must be positive")
-    place = [F.floor(F.col(c) / F.lit(step)).alias(n) for c, n in ((lon, "cell_lon"), (lat, "cell_lat"))]
+    place = [F.floor(_number(c) / F.lit(step)).alias(n) for c, n in ((lon, "cell_lon"), (lat, "cell_lat"))]
     return (
-        df.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+        df.filter(_number(lon).isNotNull() & _number(lat).isNotNull())
         .groupBy(*place)
         .agg(
             F.count(F.lit(1)).alias("n_rows"),
-            F.sum(size).alias("total_size"),
-            F.avg(value).alias("mean_value"),
+            F.sum(_number(size)).alias("total_size"),
+            F.avg(_number(value)).alias("mean_value"),
         )
     )

@@ -133,22 +133,33 @@ def histogram_auto(spark, sf_dir):
     return round_all(profile.histogram_auto(several_passes(district(spark, sf_dir)), TARGET))
 
 
+def _density_sql(columns, cells: str) -> str:
+    """The plain kernel sum over all rows."""
+    one = """SELECT {out} FROM (SELECT point, lo, span, sum(exp(CAST(-0.5 AS DOUBLE) * pow((lo + point * (span / 199) - {c}) / h, 2))) / (n * h * sqrt(2 * pi())) AS density
+FROM district, (SELECT CAST(unnest(range(200)) AS INTEGER) AS point), (SELECT min({c}) AS lo, max({c}) - min({c}) AS span, count({c}) AS n,
+  stddev_samp({c}) * pow(count({c}), CAST(-0.2 AS DOUBLE)) AS h FROM district) WHERE {c} IS NOT NULL GROUP BY point, lo, span, n, h)"""
+    parts = [one.format(c=c, out=cells.format(c=c, x=r("lo + point * (span / 199)"))) for c in columns]
+    return f"WITH {DISTRICT}\n" + "\nUNION ALL ".join(parts)
+
+
 @query(
     "density_curve",
-    f"""WITH {DISTRICT}, s AS (SELECT min({TARGET}) AS lo, max({TARGET}) - min({TARGET}) AS span, count({TARGET}) AS n,
-  stddev_samp({TARGET}) * pow(count({TARGET}), CAST(-0.2 AS DOUBLE)) AS h FROM district),
-b AS (SELECT least(floor(({TARGET} - lo) / (span / 1000)), 999) AS bin, count(*) AS c FROM district, s GROUP BY 1),
-g AS (SELECT CAST(unnest(range(200)) AS INTEGER) AS point)
-SELECT point, {r('lo + point * (span / 199)')} AS x,
-  ROUND(sum(c * exp(CAST(-0.5 AS DOUBLE) * pow((lo + point * (span / 199) - (lo + (bin + 0.5) * (span / 1000))) / h, 2)))
-        / (n * h * sqrt(2 * pi())), 12) AS density
-FROM b, g, s GROUP BY point, lo, span, n, h""",
+    _density_sql((TARGET,), "point, {x} AS x, ROUND(density, 12) AS density"),
 )
 def density_curve(spark, sf_dir):
     curve = profile.density_curve(several_passes(district(spark, sf_dir)), TARGET)
     return curve.select("point", rounded("x").alias("x"), F.round("density", 12).alias("density"))
 
 
+@query("density_curves", _density_sql(NUMERIC, "'{c}' AS \"column\", point, {x} AS x, ROUND(density * span, 9) AS range_density"))
+def density_curves(spark, sf_dir):
+    """All numeric columns; densities as they are where a column's range counts as 1."""
+    curves = profile.density_curves(several_passes(district(spark, sf_dir)), NUMERIC)
+    span = F.max("x").alias("high"), F.min("x").alias("low")
+    spans = curves.groupBy("column").agg(*span).select("column", (F.col("high") - F.col("low")).alias("span"))
+    return curves.join(spans, "column").select("column", "point", rounded("x").alias("x"), F.round(F.col("density") * F.col("span"), 9).alias("range_density"))
+
+
 @query("bin_counts", f"WITH {DISTRICT}\nSELECT CAST({STRATUM_SQL} AS INTEGER) AS stratum, count(*) AS n_rows FROM district GROUP BY 1")
 def bin_counts(spark, sf_dir):
     return add_stratum(district(spark, sf_dir)).groupBy("stratum").agg(F.count(F.lit(1)).alias("n_rows"))

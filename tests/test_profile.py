@@ -68,9 +68,60 @@ def test_density_is_close_to_the_unbinned_one(rows):
     band = values.std(ddof=1) * 400 ** (-0.2)
     grid = np.linspace(values.min(), values.max(), 50)
     want = [np.exp(-0.5 * ((g - values) / band) ** 2).sum() / (400 * band * np.sqrt(2 * np.pi)) for g in grid]
-    np.testing.assert_allclose([r["density"] for r in got], want, atol=2e-3)
+    np.testing.assert_allclose([r["density"] for r in got], want, rtol=1e-11)
 
 
+def test_densities_with_far_rows_and_gaps(rows):
+    values = np.concatenate([np.random.default_rng(3).normal(size=300), [1e4, np.nan, np.inf]])
+    df = rows([(float(v), float(i)) for i, v in enumerate(values)], "x double, y double")
+    got = profile.density_curves(df, ["x", "y"], points=40).collect()
+    for name, v in (("x", values[np.isfinite(values)]), ("y", np.arange(303.0))):
+        band = v.std(ddof=1) * len(v) ** (-0.2)
+        want = [np.exp(-0.5 * ((g - v) / band) ** 2).sum() / (len(v) * band * np.sqrt(2 * np.pi)) for g in np.linspace(v.min(), v.max(), 40)]
+        mine = [r["density"] for r in sorted(got, key=lambda r: r["point"]) if r["column"] == name]
+        np.testing.assert_allclose(mine, want, rtol=1e-10, atol=1e-16)
+
+
+ODD = [*[(float(i % 40), "a", 1.0 + i % 7) for i in range(400)], *[(float("nan"), "a", 2.0)] * 20, *[(float("inf"), "a", float("-inf"))] * 3]
+
+
+def test_nan_and_infinity_are_missing_everywhere(rows):
+    df, plain = rows(ODD, "x double, s string, y double"), rows(ODD[:400], "x double, s string, y double")
+    same = lambda f: sorted(map(tuple, f(df).collect())) == sorted(map(tuple, f(plain).collect()))
+    assert same(lambda d: profile.histogram(d, ["x"], 8)) and same(lambda d: profile.histogram_auto(d, "x"))
+    assert same(lambda d: profile.density_curve(d, "x", 9)) and same(lambda d: profile.box_stats(d, "s", "x"))
+    assert same(lambda d: profile.describe(d, ["x"]))
+    assert tuple(profile.cap_profile(df, "x").first())[:2] == (39.0, 10)
+    assert sum(r["n_rows"] for r in profile.geo_grid(df, "x", "y", "y", "x").collect()) == 400
+    assert {r["r"] for r in profile.correlations(df.withColumn("z", F.col("x") * 2), ["x", "z"]).collect()} == {pytest.approx(1.0)}
+
+
+def test_correlations_take_one_scan_and_lose_no_digits(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 4)) @ rng.normal(size=(4, 4)) + [0, 1e9, -1e7, 5]
+    x[rng.random(x.shape) < 0.1] = np.nan
+    scanned = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            scanned.add(batch.num_rows)
+            yield batch
+
+    schema = "a double, b double, c double, d double"
+    df = spark.createDataFrame(x.tolist(), schema).repartition(13).mapInArrow(seen, schema)
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlations(df, list("abcd")).collect()}
+    assert scanned.value == 3000
+    for i, a in enumerate("abcd"):
+        for j, b in enumerate("abcd"):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            u, v = x[both, i] - x[both, i].mean(), x[both, j] - x[both, j].mean()
+            assert got[a, b] == pytest.approx((u @ v) / np.sqrt((u @ u) * (v @ v)), rel=1e-6)
+
+
+def test_shares_go_through_no_single_task(rows):
+    plan = profile.category_share(rows(GAPS, SCHEMA), "s")._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan
+
 def test_counts_of_values(rows):
     df = rows(GAPS, SCHEMA).withColumn("z", F.lit(None).cast("double"))
     want = {"x": 2, "s": 2, "y": 3, "z": 0}
@@ -79,11 +130,10 @@ def test_counts_of_values(rows):
     assert [tuple(r) for r in profile.category_share(df, "s").collect()] == [("a", 3, 60.0), ("b", 1, 20.0)]
 
 
-@pytest.mark.parametrize("batch", [1, 2, 12])
-def test_correlations_use_pairwise_complete_rows(rows, batch):
+def test_correlations_use_pairwise_complete_rows(rows):
     values = [(1.0, 2.0, 7.0), (2.0, None, 7.0), (3.0, 1.0, 7.0), (4.0, 9.0, 7.0)]
     df = rows(values, "a double, b double, c double")
-    got = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlations(df, list("abc"), batch).collect()}
+    got = {(r["column_a"], r["column_b"]): r["r"] for r in profile.correlations(df, list("abc")).collect()}
     assert len(got) == 9 and got[("a", "a")] == 1.0 and got[("c", "c")] is None and got[("a", "c")] is None
     assert got[("a", "b")] == got[("b", "a")] == pytest.approx(np.corrcoef([1, 3, 4], [2, 1, 9])[0, 1])
 
