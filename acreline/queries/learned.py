@@ -388,6 +388,64 @@ def stream_accounts(spark, sf_dir):
     return ids[0].unionByName(ids[1]).agg(F.count(F.lit(1)).alias("n_written"), F.countDistinct(ID).alias("n_records"))
 
 
+#: Lines of the inbox by the record's number: cut short, empty, a lone JSON null, a list of two records, no category.
+_LINES = {"cut short": 7, "empty": 11, "null": 13, "pair": 17, "refused": 19}
+
+
+def _kind(value: str) -> str:
+    return "CASE " + " ".join(f"WHEN {value} % {n} = 0 THEN '{k}'" for k, n in _LINES.items()) + " ELSE 'plain' END"
+
+
+def _routed(spark, sf_dir):
+    """A stream in two runs over one checkpoint, with broken lines among its records; returns its outputs."""
+    model, test = _fitted(spark, sf_dir, "boosted_trees")
+    features = [f.name for f in readers.FEATURE_SCHEMA.fields]
+    place = F.when(F.expr(_kind(ID)) != "refused", F.col("ocean_proximity")).alias("ocean_proximity")
+    record = F.struct(ID, *[c for c in features if c != "ocean_proximity"], place)
+    rows = test.select(ID, F.expr(_kind(ID)).alias("kind"), F.to_json(record).alias("one"), F.to_json(F.array(record, record)).alias("two"))
+    line = F.when(F.col("kind") == "cut short", F.substring("one", 1, 40)).when(F.col("kind") == "empty", "").when(F.col("kind") == "null", "null")
+    rows = several_passes(rows.select(ID, line.when(F.col("kind") == "pair", F.col("two")).otherwise(F.col("one")).alias("value")))
+    inbox, checkpoint, routes = fresh_dir(spark, "inbox"), fresh_dir(spark, "route-state"), stream.Routes.below(fresh_dir(spark, "routed"))
+    schema = T.StructType([T.StructField(ID, T.StringType()), *readers.RECORD_SCHEMA.fields])
+    for half in (0, 1):
+        rows.filter(F.col(ID) % 2 == half).select("value").write.mode("append").text(inbox)
+        lines = stream.payload_stream(spark, inbox, files_per_trigger=3)
+        stream.route_stream(model, lines, schema, routes, checkpoint, "boosted_trees_1", "0.1").awaitTermination()
+    return routes
+
+
+@query(
+    "stream_routes",
+    f"""WITH {SPLIT}, k AS (SELECT {ID}, {_kind(ID)} AS kind, ocean_proximity IS NULL AS none FROM parted WHERE part = 'test'),
+o AS (SELECT CASE WHEN kind IN ('cut short', 'empty', 'null') THEN 'unreadable' WHEN kind = 'refused' OR none THEN 'refused' ELSE 'scored' END AS output,
+  CASE WHEN kind = 'pair' THEN 2 ELSE 1 END AS n, CASE WHEN kind NOT IN ('cut short', 'empty', 'null') THEN {ID} END AS id FROM k)
+SELECT output, CAST(sum(n) AS BIGINT) AS n_rows, count(DISTINCT id) AS n_records FROM o GROUP BY output""",
+)
+def stream_routes(spark, sf_dir):
+    """Every line of a stream ends up somewhere, also after a restart: scored, refused or unreadable."""
+    routes = _routed(spark, sf_dir)
+    found = [
+        readers.read_file(spark, path, fmt="parquet").select(F.lit(name).alias("output"), id_.cast("string").alias("id"))
+        for name, path, id_ in (("scored", routes.scored, F.col(ID)), ("refused", routes.refused, F.col(ID)), ("unreadable", routes.unreadable, F.lit(None)))
+    ]
+    every = found[0].union(found[1]).union(found[2])
+    return every.groupBy("output").agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct("id").alias("n_records"))
+
+
+@query(
+    "stream_telemetry",
+    f"""WITH {SPLIT}, k AS (SELECT {_kind(ID)} AS kind, ocean_proximity IS NULL AS none FROM parted WHERE part = 'test')
+SELECT count(*) AS n_lines, CAST(count(*) FILTER (kind = 'plain' AND NOT none) + 2 * count(*) FILTER (kind = 'pair' AND NOT none) AS BIGINT) AS n_scored,
+  CAST(count(*) FILTER (kind = 'refused' OR (kind = 'plain' AND none)) + 2 * count(*) FILTER (kind = 'pair' AND none) AS BIGINT) AS n_refused,
+  count(*) FILTER (kind IN ('cut short', 'empty', 'null')) AS n_unreadable, TRUE AS timed FROM k""",
+)
+def stream_telemetry(spark, sf_dir):
+    """The rows that a stream's micro-batches report add up to its lines."""
+    rows = readers.read_file(spark, _routed(spark, sf_dir).telemetry, fmt="parquet")
+    names = ("n_lines", "n_scored", "n_refused", "n_unreadable")
+    return rows.agg(*[F.sum(n).alias(n) for n in names], (F.min("seconds") > 0).alias("timed"))
+
+
 @query(
     "stream_payload_rows",
     "SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events",
