@@ -36,6 +36,8 @@ from acreline.llm.common import utf8
 
 #: Labelled rows and preference pairs a fit may use.
 SAMPLE, PAIRS = 20_000, 200_000
+#: Pairs whose feature differences are held at a time.
+PAIR_BLOCK = 8_192
 #: Score at which a document is kept.
 THRESHOLD = 0.3
 RIDGE = 1e-3
@@ -132,25 +134,44 @@ class Ranker:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.raw(x) + self.shift, -35, 35)))
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 40) -> np.ndarray:
-    """Newton's method on the mean logistic loss plus a ridge."""
-    w = np.zeros(x.shape[1])
+def _newton(width: int, sums, ridge: float, steps: int = 40) -> np.ndarray:
+    """Newton's method on a mean logistic loss plus a ridge; ``sums(w)`` gives the loss's mean slope and curvature."""
+    w = np.zeros(width)
     for _ in range(steps):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        slope = x.T @ (p - y) / len(y) + ridge * w
-        curve = (x * (p * (1 - p))[:, None]).T @ x / len(y) + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(curve, slope)
+        slope, curve = sums(w)
+        step = np.linalg.solve(curve + ridge * np.eye(width), slope + ridge * w)
         w -= step / max(1.0, np.abs(step).max() / 4)
         if np.abs(step).max() < 1e-9:
             break
     return w
 
 
-def fit_preferences(better: np.ndarray, worse: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
-    """Bradley-Terry weights: rows of ``better`` are preferred to the same rows of ``worse``."""
-    diff = better - worse
-    # the mirrored pairs only fix the sign convention; the loss is the same
-    return _logistic(np.concatenate([diff, -diff]), np.repeat([1.0, 0.0], len(diff)), ridge)
+def _chance(raw: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> np.ndarray:
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        p = _chance(x @ w)
+        return x.T @ (p - y) / len(y), (x * (p * (1 - p))[:, None]).T @ x / len(y)
+
+    return _newton(x.shape[1], sums, ridge)
+
+
+def fit_preferences(z: np.ndarray, better: np.ndarray, worse: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
+    """Bradley-Terry weights: row ``better[k]`` of ``z`` is preferred to row ``worse[k]``. Differences exist a block of
+    ``PAIR_BLOCK`` pairs at a time."""
+
+    def sums(w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slope, curve = np.zeros(z.shape[1]), np.zeros((z.shape[1], z.shape[1]))
+        for at in range(0, len(better), PAIR_BLOCK):
+            diff = z[better[at : at + PAIR_BLOCK]] - z[worse[at : at + PAIR_BLOCK]]
+            p = _chance(diff @ w)
+            slope += diff.T @ (p - 1)
+            curve += (diff * (p * (1 - p))[:, None]).T @ diff
+        return slope / len(better), curve / len(better)
+
+    return _newton(z.shape[1], sums, ridge)
 
 
 def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 10, ridge: float = RIDGE, threshold: float = THRESHOLD) -> Ranker | None:
@@ -166,7 +187,7 @@ def fit(x: np.ndarray, good: np.ndarray, pairs: int = PAIRS, seed: int = 10, rid
     else:
         rng = np.random.default_rng(seed)
         i, j = rng.choice(a, pairs), rng.choice(b, pairs)
-    w = fit_preferences(z[i], z[j], ridge)
+    w = fit_preferences(z, i, j, ridge)
     raw = z @ w
     cut = float(np.quantile(raw, len(b) / len(x)))
     # the curve's steepness: logistic fit of the labels on the distance from the cut
@@ -186,10 +207,12 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_c
     known = F.broadcast(known.orderBy(F.xxhash64("k"), "k", "good").limit(sample))  # at most ``sample`` ids
     rows = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).join(known, "k")
     rows = rows.select("k", "good", feature_column(F.col("t")).alias("x")).groupBy("k", "good").agg(F.min("x").alias("x"))
-    rows = rows.orderBy("k", "good").collect()  # at most ``sample`` small rows
-    if not rows:
+    rows = rows.orderBy("k", "good").select("good", "x").toArrow()  # at most ``sample`` small rows
+    if not rows.num_rows:
         return None
-    return fit(np.array([r["x"] for r in rows]), np.array([r["good"] for r in rows]))
+    x = rows["x"].combine_chunks()
+    flat = pa.concat_arrays([c.flatten() for c in x.chunks]) if isinstance(x, pa.ChunkedArray) else x.flatten()
+    return fit(flat.to_numpy(zero_copy_only=False).reshape(rows.num_rows, -1), rows["good"].to_numpy())
 
 
 def score_quality(docs: DataFrame, ranker: Ranker | None, text_col: str = "text", out: str = "score") -> DataFrame:

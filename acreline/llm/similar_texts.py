@@ -1,17 +1,26 @@
 """Near-duplicates by word shingles: one row stays of the texts that links of Jaccard ``SIMILAR`` or more join.
 
 A text is the set of its ``words``-word shingles (lowered, split and hashed as in ``simhash_trie``; fewer words
-are one shingle, no words an empty set, and two empty sets are equal). Distinct texts are compared:
+are one shingle, no words an empty set, and two empty sets are equal). Distinct texts, told apart by 128 bits, are compared:
 
 1. Each text gives a SimHash over its distinct shingles and ``BANDS`` keys of ``ROWS`` minima each. Texts of
    similarity s share a key with probability 1 - (1 - s^ROWS)^BANDS: 0.99995 at 0.8.
 2. The trie walk of ``simhash_trie`` runs inside each key, with a ``BUDGET`` of differing bits sized for recall
    (at 0.8 the mean is 10 of 64, the deviation 3). Its forests join texts into clusters. A cluster is no
    group yet: it only says which texts have to be compared.
-3. The shingle sets of a cluster meet once, large clusters in pairs of chunks, and are searched through breadth
-   first with the exact Jaccard of all of them. Only links that hold there make groups.
+3. The shingle sets of a cluster meet once and are searched through breadth first with exact Jaccard. Only links
+   that hold there make groups.
+4. A cluster of more than ``CHUNK`` texts is searched in chunks, so each set is still sent once. What the chunks leave
+   apart is looked for key by key: first one text of each group a key still holds; then, where a key holds several
+   groups even so, the texts of all groups but its largest against all texts of the key. Texts of one group are never
+   compared again, so k near copies cost about k comparisons, and every two texts of a cluster that share a key are in one
+   group or have been compared.
 
 Rows stay linear: a walk and a search give out forests, never all pairs.
+
+Defined results: a null text is an empty one; rows without words are one group; rows with one id and one text are one
+row; of a group the smallest id stays, of rows with that id the smallest digest; a row without an id stays only where its
+group has no other; an empty table gives an empty table; other columns stay, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,16 +30,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreline.llm.common import checkpointed, components, free_name, utf8, written
+from acreline.llm.common import components, free_name, utf8, written
 from acreline.llm.simhash_trie import SHINGLES, chunk_cells, walked
 
 #: Links have a Jaccard similarity of at least SIMILAR[0] / SIMILAR[1].
 SIMILAR = (4, 5)
 BANDS, ROWS, BUDGET = 25, 5, 24
-#: Fingerprints of one key that a task may walk; texts of a chunk of a large cluster.
+#: Fingerprints of one key that a task may walk; texts that a task compares at a time.
 WALK, CHUNK = 2_048, 1_024
 #: Shingles whose minima are taken at a time.
 MINIMA = 1 << 12
@@ -71,28 +80,36 @@ def sketch(h: np.ndarray) -> tuple[int, np.ndarray]:
 
 
 def similar_forest(sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Pairs (member, first of its group) for the groups that links of exact similarity make."""
-    size = np.fromiter(map(len, sets), np.int64, len(sets))
+    """Pairs (member, first of its group) for the groups that links of exact similarity make.
+
+    The texts that share a shingle are looked up, so a text costs as much as it has in common with those that are still
+    without a group; the lookup is cut down to these whenever they have become half as many.
+    """
+    n = len(sets)
+    size = np.fromiter(map(len, sets), np.int64, n)
     names = np.unique(np.concatenate(sets), return_inverse=True)[1] if size.sum() else np.zeros(0, np.int64)
     begin = np.concatenate(([0], np.cumsum(size)))
-    of, flat = np.repeat(np.arange(len(sets)), size), names
-    mark = np.zeros(int(names.max()) + 1 if len(names) else 0, bool)
-    alone, out = np.ones(len(sets), bool), []
-    for first in range(len(sets)):
+    order = np.argsort(names, kind="stable")
+    post = np.repeat(np.arange(n), size)[order]
+    ends = np.concatenate(([0], np.cumsum(np.bincount(names)))) if len(names) else np.zeros(1, np.int64)
+    alone, left, known, out = np.ones(n, bool), n, n, []
+    for first in range(n):
         if not alone[first]:
             continue
-        alone[first], queue = False, [first]
-        while queue and alone.any():
+        alone[first], queue, left = False, [first], left - 1
+        while queue and left:
             x = queue.pop()
-            keep = alone[of]  # a text that has its group is not looked at again
-            of, flat = of[keep], flat[keep]
+            if 2 * left < known:
+                keep = alone[post]
+                ends = np.concatenate(([0], np.cumsum(keep)))[ends]
+                post, known = post[keep], left
             mine = names[begin[x] : begin[x + 1]]
-            mark[mine] = True
-            shared = np.bincount(of[mark[flat]], minlength=len(sets))
-            mark[mine] = False
-            close = alone & (SIMILAR[1] * shared >= SIMILAR[0] * (size + size[x] - shared))
-            found = np.flatnonzero(close).tolist()
+            many = ends[mine + 1] - ends[mine]
+            at = np.repeat(ends[mine] - (np.cumsum(many) - many), many) + np.arange(many.sum())
+            shared = np.bincount(post[at], minlength=n)
+            found = np.flatnonzero(alone & (SIMILAR[1] * shared >= SIMILAR[0] * (size + size[x] - shared))).tolist()
             alone[found] = False
+            left -= len(found)
             queue += found
             out += [(y, first) for y in found]
     return out
@@ -105,7 +122,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def done() -> pa.RecordBatch:
         pairs = similar_forest(sets)
         a, b = ([names[p[i]] for p in pairs] for i in (0, 1))
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     for batch in batches:
         values = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2))
@@ -120,26 +137,69 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def similar_links(docs: DataFrame, text_col: str, sketched: DataFrame, words: int = 5) -> DataFrame:
-    """(a, b): a forest of the links between distinct texts, named by their xxhash64. ``sketched`` has their
-    (digest, fp, keys)."""
+def text_digest(text: Column) -> Column:
+    """128 bits: among any number of texts that can be stored, no two different ones are expected to share them."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
+
+
+def _compared(docs: DataFrame, text_col: str, cells: DataFrame, words: int) -> DataFrame:
+    """(a, b): forests of the links between the texts of each of ``cells(trie, digest)``. A set is made once a text."""
 
     @F.arrow_udf("array<long>")
     def shingles(column: pa.Array) -> pa.Array:
         return pa.array([shingle_set(t, words).view(np.int64) for t in utf8(column)], pa.list_(pa.int64()))
 
+    text = docs.select(text_digest(F.col(text_col)).alias("digest"), F.col(text_col).alias("t"))
+    wanted = cells.groupBy("digest").agg(F.collect_list("trie").alias("tries"))
+    # texts of no cell go no further; copies of a text are one
+    sets = text.join(wanted, "digest").dropDuplicates(["digest"]).select("tries", "digest", shingles("t").alias("h"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = sets.select(F.explode("tries").alias("trie"), "digest", "h").repartition(parts, "trie").sortWithinPartitions("trie")
+    return dealt.select("trie", "digest", "h").mapInArrow(_search, "a binary, b binary")
+
+
+def similar_links(docs: DataFrame, text_col: str, sketched: DataFrame, words: int = 5) -> DataFrame:
+    """(a, b): a forest of the links between distinct texts, named by their digests. ``sketched`` has their
+    (digest, fp, keys)."""
     tries = sketched.select(F.explode("keys").alias("trie"), "fp").distinct()
     cluster = components(walked(tries, BUDGET, WALK))
     named = sketched.select("digest", "fp").distinct().join(cluster, F.col("fp") == F.col("node"), "left")
-    named = checkpointed(named.select("digest", F.coalesce("root", "fp").alias("trie")))
-    many = named.groupBy("trie").count().filter("count > 1")
-    named = checkpointed(named.join(many.select("trie"), "trie", "left_semi"))
-    # texts of no cluster go no further; copies of a text are one
-    text = docs.select(F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("t")).join(named, "digest")
-    sets = text.dropDuplicates(["digest"]).select("trie", "digest", shingles("t").alias("h"))
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = chunk_cells(sets, named, "digest", CHUNK).repartition(parts, "trie").sortWithinPartitions("trie")
-    return dealt.select("trie", "digest", "h").mapInArrow(_search, "a long, b long")
+    named = written(named.select("digest", F.coalesce("root", "fp").alias("trie")), "named")
+    sizes = written(named.groupBy("trie").count().filter("count > 1"), "clusters")
+    chunk = F.pmod(F.xxhash64("digest"), F.ceil(F.col("count") / CHUNK))
+    own = F.when(F.col("count") > CHUNK, F.xxhash64("trie", chunk)).otherwise(F.col("trie"))
+    links = written(_compared(docs, text_col, named.join(sizes, "trie").select(own.alias("trie"), "digest"), words), "links")
+    large = sizes.filter(F.col("count") > CHUNK).select("trie")
+    if large.isEmpty():
+        return links
+    # large clusters: (cell, digest) of each key there
+    keyed = sketched.select("digest", F.explode("keys").alias("key")).distinct()
+    keyed = keyed.join(named.join(large, "trie", "left_semi"), "digest")
+    keyed = written(keyed.select(F.xxhash64("trie", "key").alias("trie"), "digest"), "keyed")
+
+    def open_cells(found: DataFrame) -> DataFrame:
+        """(trie, digest, root) of the keys that hold more than one group."""
+        root = components(found)
+        rows = keyed.join(root, F.col("digest") == F.col("node"), "left").select("trie", "digest", F.coalesce("root", "digest").alias("root"))
+        several = rows.groupBy("trie").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("trie")
+        return written(rows.join(several, "trie", "left_semi"), "open")
+
+    heads = open_cells(links).groupBy("trie", "root").agg(F.min("digest").alias("digest")).select("trie", "digest")
+    links = written(links.union(_compared(docs, text_col, chunk_cells(heads, heads, "digest", CHUNK), words)), "links")
+    rest = open_cells(links)
+    groups = rest.groupBy("trie", "root").count()
+    most = groups.groupBy("trie").agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("n"))
+    most = most.select("trie", F.col("most.root").alias("big"), F.ceil(F.col("most.count") / CHUNK).alias("bigs"), F.ceil((F.col("n") - F.col("most.count")) / CHUNK).alias("smalls"))
+    rest = rest.join(most, "trie")
+    big = F.col("root") == F.col("big")
+    here = F.pmod(F.xxhash64("digest"), F.when(big, F.col("bigs")).otherwise(F.col("smalls")))
+    other = F.sequence(F.lit(0), F.when(big, F.col("smalls")).otherwise(F.col("bigs")) - 1)
+    # a chunk of the largest group meets every chunk of the others; the others meet each other, too
+    met = F.transform(other, lambda k: F.xxhash64("trie", F.when(big, here).otherwise(k), F.when(big, k).otherwise(here), F.lit("met")))
+    cells = rest.select(F.explode(met).alias("trie"), "digest")
+    small = rest.filter(~big).select("trie", "digest")
+    cells = cells.union(chunk_cells(small, small, "digest", CHUNK).select("trie", "digest"))
+    return written(links.union(_compared(docs, text_col, cells, words)), "links")
 
 
 def drop_similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
@@ -151,7 +211,7 @@ def drop_similar_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         kind = pa.struct([("fp", pa.int64()), ("keys", pa.list_(pa.int64()))])
         return pa.array([{"fp": a, "keys": b} for a, b in rows], kind)
 
-    digest = F.xxhash64(text_col)
+    digest = text_digest(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("id"), digest.alias("digest"), sketches(F.col(text_col)).alias("s"))
     rows = written(rows.select("id", "digest", "s.*"), "similar")
     root = components(similar_links(docs, text_col, rows.drop("id"), words))
