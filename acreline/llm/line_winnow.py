@@ -25,6 +25,8 @@ empty table; other columns stay.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,36 +37,98 @@ from pyspark.sql import functions as F
 
 from acreline.llm.common import checkpointed, free_name, texts, written
 
-WORDS, NEAR, GRAM, WINDOW, MIN_WORDS = 16, 2, 2, 1, 30
+WORDS, NEAR, GRAM, MIN_WORDS = 16, 2, 2, 30
+#: Words whose hashes a worker keeps.
+KNOWN = 1 << 18
+#: Code points that are cut at a time.
+GROUP = 1 << 18
 _UNIT = re.compile(r"[^\n.!?]*+[.!?]*+\s*+")
 _WORD = re.compile(r"\s*+\S++\s*+")
-
-
-def _pieces(sentence: str, words: list[str]) -> list[str]:
-    """A long sentence cut after the words of locally smallest hash, and after ``WORDS`` words without one."""
-    spaced = _WORD.findall(sentence)
-    h = [xxhash.xxh64_intdigest(w, 3) for w in words]
-    out, start = [], 0
-    for i, x in enumerate(h):
-        low = x < min(h[max(0, i - NEAR) : i] + h[i + 1 : i + 1 + NEAR])
-        if low or i + 1 - start == WORDS:
-            out.append("".join(spaced[start : i + 1]))
-            start = i + 1
-    return out + ["".join(spaced[start:])] if start < len(h) else out
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+
+
+class _Hashes(dict):
+    """Hashes of words, each made once; emptied when it has grown to ``KNOWN`` words."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word, 3)
+        return h
+
+
+_KNOWN = _Hashes()
+
+
+def _word_hashes(words: list[str]) -> np.ndarray:
+    if len(_KNOWN) > KNOWN:
+        _KNOWN.clear()
+    return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
+
+
+def _cut_places(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Words (in ``h``, the words of all sentences) after which the long sentences [start, stop) are cut: those of locally
+    smallest hash, and each ``WORDS``th word since the last cut."""
+    sentence = np.repeat(np.arange(len(start)), stop - start)
+    at = np.arange(len(sentence)) + np.repeat(start - np.concatenate(([0], np.cumsum(stop - start)[:-1])), stop - start)
+    x, low = h[at], np.ones(len(at), bool)
+    for d in range(1, NEAR + 1):
+        same = sentence[d:] == sentence[:-d]
+        low[d:] &= ~same | (x[d:] < x[:-d])
+        low[:-d] &= ~same | (x[:-d] < x[d:])
+    cut = np.unique(np.concatenate([at[low] + 1, start, stop]))  # pieces so far begin here
+    # pieces lie inside one sentence, or between two; only those inside are cut again
+    size = np.diff(cut)
+    inside = np.searchsorted(start, cut[:-1], "right") - 1
+    extra = np.where((inside >= 0) & (cut[:-1] < stop[np.maximum(inside, 0)]), (size - 1) // WORDS, 0)
+    more = np.repeat(cut[:-1], extra) + (np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1) * WORDS
+    return np.unique(np.concatenate([cut, more]))
+
+
+def _unit_sizes(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of all words, words of each unit, code points of each unit, units of each text), all texts at once."""
+    found = list(map(_UNIT.findall, rows))  # the last match of a text is empty
+    sentences = [u for units_ in found for u in units_ if u]
+    split = list(map(str.split, sentences))
+    words = np.fromiter(map(len, split), np.int64, len(split))
+    chars = np.fromiter(map(len, sentences), np.int64, len(split))
+    h = _word_hashes(list(chain.from_iterable(split)))
+    total, begin = np.concatenate(([0], np.cumsum(words))), np.concatenate(([0], np.cumsum(chars)))
+    word_at, char_at = total[:-1], begin[:-1]
+    long = np.flatnonzero(words > WORDS)
+    if len(long):
+        cut = _cut_places(h, total[long], total[long + 1])
+        # code points before each word of the long sentences, counted from the first of them
+        size = np.fromiter(map(len, chain.from_iterable(_WORD.findall(sentences[k]) for k in long.tolist())), np.int64)
+        before = np.concatenate(([0], np.cumsum(size)))
+        base = np.concatenate(([0], np.cumsum(words[long])))
+        which = np.searchsorted(total[long], cut, "right") - 1
+        inner = (cut > total[long[which]]) & (cut < total[long[which] + 1])
+        cut, which = cut[inner], which[inner]
+        place = begin[long[which]] + before[base[which] + cut - total[long[which]]] - before[base[which]]
+        order = np.argsort(np.concatenate([char_at, place]), kind="stable")
+        word_at, char_at = np.concatenate([word_at, cut])[order], np.concatenate([char_at, place])[order]
+    ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
+    per_text = np.diff(np.concatenate(([0], np.searchsorted(char_at, ends))))
+    return h, np.diff(np.append(word_at, total[-1])), np.diff(np.append(char_at, begin[-1])), per_text
 
 
 def units(text: str) -> list[str]:
     """The text in units; joined they are the text again."""
-    out = []
-    for u in _UNIT.findall(text):
-        if u:
-            words = u.split()
-            out += [u] if len(words) <= WORDS else _pieces(u, words)
-    return out
+    ends = np.cumsum(_unit_sizes([text])[2]).tolist()
+    return [text[a:b] for a, b in zip([0, *ends], ends)]
 
 
-def _hash(words: list[str]) -> int:
-    return xxhash.xxh64_intdigest(" ".join(words).encode(), 2) - (1 << 63)
+def _unit_hashes(h: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """A hash of each unit's words, from the words' hashes: the sum of h_i B^i over the unit, its first power taken out."""
+    power = np.cumprod(np.full(len(h), _BASE, np.uint64)) if len(h) else np.zeros(0, np.uint64)
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power)))
+    end = np.cumsum(words)
+    start = end - words
+    back = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(len(h), _BACK, np.uint64))))
+    x = (total[end] - total[start]) * back[start] + words.astype(np.uint64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return (x ^ (x >> np.uint64(31))).view(np.int64)
 
 
 def squeezed(h: np.ndarray) -> np.ndarray:
@@ -72,35 +136,33 @@ def squeezed(h: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1]))) if len(h) else np.zeros(0, np.int64)
 
 
-def winnow(h: np.ndarray, words: np.ndarray | None = None, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of a squeezed hash sequence: gram hashes and their places in it. With the ``words`` of the
-    units, a window is each shortest run of ``min_words`` words instead of ``WINDOW`` grams."""
+def winnow(h: np.ndarray, words: np.ndarray, per_text: np.ndarray, min_words: int = MIN_WORDS) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of squeezed hash sequences, one behind the other, ``per_text`` units each: gram hashes and their places
+    in ``h``. A window is the grams of each shortest run of ``min_words`` words; a text with fewer words is one window."""
     if not len(h):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    n = max(1, len(h) - GRAM + 1)
-    wide = h.view(np.uint64)
-    gram = wide[:n] * np.uint64(0x9E3779B97F4A7C15)
-    for k in range(1, min(GRAM, len(h))):
-        gram = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + wide[k : k + n]
+    per_text = per_text[per_text > 0]
+    stop = np.repeat(np.cumsum(per_text), per_text)
+    start = stop - np.repeat(per_text, per_text)
+    final = np.maximum(start, stop - GRAM)  # the last gram of the unit's text
+    wide, at = h.view(np.uint64), np.arange(len(h))
+    gram = wide * np.uint64(0x9E3779B97F4A7C15)
+    for k in range(1, GRAM):
+        there = at + k < stop
+        longer = (gram ^ (gram >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + wide[np.minimum(at + k, len(h) - 1)]
+        gram = np.where(there, longer, gram)
     gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0x94D049BB133111EB)
-    if words is not None:
-        total = np.concatenate(([0], np.cumsum(words)))
-        first = np.arange(n)[total[-1] - total[:n] >= min_words]
-        if not len(first):
-            first = np.zeros(1, np.int64)
-        # the last gram of the run that begins at a unit
-        last = np.clip(np.searchsorted(total, total[first] + min_words) - GRAM, first, n - 1)
-        at = first.copy()
-        for d in range(1, int((last - first).max()) + 1):
-            better = first + d <= last
-            there = np.minimum(first + d, last)
-            at = np.where(better & (gram[there] <= gram[at]), there, at)
-        at = np.unique(at)
-    elif n <= WINDOW:
-        at = np.array([n - 1 - int(np.argmin(gram[::-1]))])
-    else:
-        views = np.lib.stride_tricks.sliding_window_view(gram, WINDOW)
-        at = np.unique(np.arange(len(views)) + WINDOW - 1 - np.argmin(views[:, ::-1], axis=1))
+    total = np.concatenate(([0], np.cumsum(words)))
+    whole = total[stop] - total[:-1] >= min_words
+    first = at[(at <= final) & (whole | ((at == start) & ~whole))]
+    # the last gram of the run that begins at a unit
+    last = np.clip(np.searchsorted(total, total[first] + min_words) - GRAM, first, final[first])
+    best, open_ = first.copy(), np.arange(len(first))
+    for d in range(1, int((last - first).max()) + 1):
+        open_ = open_[first[open_] + d <= last[open_]]
+        there = first[open_] + d
+        best[open_] = np.where(gram[there] <= gram[best[open_]], there, best[open_])
+    at = np.unique(best)
     return gram[at].view(np.int64), at
 
 
@@ -111,17 +173,47 @@ _CUT_SCHEMA = """struct<h: array<bigint>, chars: array<int>, words: array<int>,
     n_deleted: int, deleted: array<struct<start: int, stop: int>>>"""
 
 
-def _cut(text: str, min_words: int = MIN_WORDS) -> dict:
-    """Hash, code points and words of each unit; fingerprints and their places among squeezed units; what
+def _lists(values: np.ndarray, per_text: np.ndarray, kind: pa.DataType) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(per_text))), pa.int32()), pa.array(values, kind))
+
+
+def _cut(rows: list[str], min_words: int = MIN_WORDS) -> pa.Array:
+    """For each text: hash, code points and words of each unit; fingerprints and their places among squeezed units; what
     goes if no other text matches."""
-    parts = units(text)
-    split = list(map(str.split, parts))
-    h = np.fromiter((_hash(ws) for ws in split), np.int64, len(parts))
-    place = squeezed(h)
-    chars, words = np.array(list(map(len, parts)), np.int32), np.array(list(map(len, split)), np.int32)
-    g, p = winnow(h[place], words[place], min_words)
-    out = {"h": h, "chars": chars, "words": words, "g": g, "p": p.astype(np.int32), "n_deleted": 0, "deleted": []}
-    return out if len(g) and len(np.unique(h)) == len(h) else out | _judged(h, chars, words, [], min_words)
+    word_hashes, words, chars, per_text = _unit_sizes(rows)
+    h = _unit_hashes(word_hashes, words)
+    text = np.repeat(np.arange(len(rows)), per_text)
+    begins = np.concatenate(([0], np.cumsum(per_text)))
+    new = np.ones(len(h), bool)
+    new[1:] = (h[1:] != h[:-1]) | (text[1:] != text[:-1])
+    squeezed_of = np.bincount(text[new], minlength=len(rows))
+    g, at = winnow(h[new], words[new], squeezed_of, min_words)
+    of = text[new][at]
+    place = at - np.concatenate(([0], np.cumsum(squeezed_of)))[of]
+    # only texts with a unit twice can lose something by themselves
+    order = np.lexsort((h, text))
+    twice = np.unique(text[order][1:][(h[order][1:] == h[order][:-1]) & (text[order][1:] == text[order][:-1])]).tolist()
+    alone = [{"n_deleted": 0, "deleted": []}] * len(rows)
+    for k in twice:
+        a, b = begins[k], begins[k + 1]
+        alone[k] = _judged(h[a:b], chars[a:b], words[a:b], [], min_words)
+    prints = np.bincount(of, minlength=len(rows))
+    columns = [_lists(h, per_text, pa.int64()), _lists(chars, per_text, pa.int32()), _lists(words, per_text, pa.int32())]
+    columns += [_lists(g, prints, pa.int64()), _lists(place, prints, pa.int32()), pa.array([x["n_deleted"] for x in alone], pa.int32())]
+    return pa.StructArray.from_arrays([*columns, pa.array([x["deleted"] for x in alone], _RANGES)], fields=list(_CUT))
+
+
+def _grouped(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in lists of about ``GROUP`` code points, a longer text alone."""
+    group, size = [], 0
+    for text in texts(column):
+        if group and size + len(text) > GROUP:
+            yield group
+            group, size = [], 0
+        group.append(text)
+        size += len(text)
+    if group:
+        yield group
 
 
 def matched_runs(later: np.ndarray, first: np.ndarray, shift: int) -> list[tuple[int, int]]:
@@ -173,7 +265,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     @F.arrow_udf(_CUT_SCHEMA)
     def cut(column: pa.Array) -> pa.Array:
-        return pa.array([_cut(t, min_words) for t in texts(column)], _CUT)
+        return pa.concat_arrays([_cut(group, min_words) for group in _grouped(column)] or [pa.array([], _CUT)])
 
     laid = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), cut(F.col(text_col)).alias("cut"))
     laid = written(laid.select("id", "digest", "cut.*"), "winnow")

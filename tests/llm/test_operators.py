@@ -144,6 +144,19 @@ def test_near_dedup_stage_by_brute_force(spark, monkeypatch, chunk):
     assert sorted(r.doc_id for r in corpus_pipeline.near_dedup(spark, docs, SF).collect()) == sorted(map(min, groups.values()))
 
 
+def test_forest_of_similar_sets_by_brute_force():
+    rng = np.random.default_rng(4)
+    for _ in range(30):
+        base = [rng.choice(400, rng.integers(1, 60), replace=False) for _ in range(6)]
+        sets = [np.zeros(0, np.uint64), np.zeros(0, np.uint64)]
+        for _ in range(60):
+            own = base[rng.integers(6)]
+            sets.append(np.unique(np.where(rng.random(len(own)) < 0.06, rng.integers(0, 400, len(own)), own)).astype(np.uint64))
+        pairs = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+        want = roots(len(sets), pairs)
+        assert roots(len(sets), similar_texts.similar_forest(sets)) == want
+
+
 def test_components_chain(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (5, 5)], "a long, b long")
     got = {r.node: r.root for r in components(chain).collect()}
@@ -156,7 +169,7 @@ def test_components_chain(spark):
 
 def test_lines_query(spark, docs):
     texts = dict(sorted((r.doc_id, r.text) for r in docs.collect()))
-    cut = {k: line_winnow._cut(t) for k, t in texts.items()}
+    cut = dict(zip(texts, ({k: np.array(v) for k, v in r.items() if k in "h words g p".split()} for r in line_winnow._cut([t or "" for t in texts.values()]).to_pylist())))
     flat = {k: c["h"][line_winnow.squeezed(c["h"])] for k, c in cut.items()}
     first = {}
     for k, c in cut.items():
@@ -172,14 +185,81 @@ def test_lines_query(spark, docs):
         assert (r.n_units, r.n_deleted) == (len(gone), int(gone.sum()))
 
 
+def repeated_words(texts, length=51):
+    """Places of the words of each text that lie in ``length`` consecutive words which an earlier text has too; and the
+    place of each word in code points."""
+    seen, out = set(), {}
+    for k, text in texts.items():
+        spans = [(m.start(), m.end()) for m in re.finditer(r"\S+", text or "")]
+        words = [text[a:b] for a, b in spans]
+        grams = [hash(tuple(words[i : i + length])) for i in range(len(words) - length + 1)]
+        hit = {j for i, g in enumerate(grams) if g in seen for j in range(i, i + length)}
+        seen.update(grams)
+        out[k] = [spans[j] for j in sorted(hit)]
+    return out
+
+
+def test_repeats_by_words(spark, docs):
+    """Against a plain search for 51 words in a row that an earlier document has: most of them have to go, and what goes
+    has to stand in an earlier place, unit by unit."""
+    texts = dict(sorted((r.doc_id, r.text or "") for r in docs.collect()))
+    gone = {r.id: r.deleted for r in line_winnow.find_repeats(docs.select("doc_id", "text")).collect()}
+    wanted = [(k, a, b) for k, spans in repeated_words(texts).items() for a, b in spans]
+    caught = sum(any(x.start <= a and b <= x.stop for x in gone[k]) for k, a, b in wanted)
+    assert len(wanted) > 1_000 and caught >= 0.95 * len(wanted)
+    seen = set()
+    for k, text in texts.items():
+        at = 0
+        for unit in plain_units(text):
+            if any(x.start <= at and at + len(unit) <= x.stop for x in gone[k]):
+                assert tuple(unit.split()) in seen
+            seen.add(tuple(unit.split()))
+            at += len(unit)
+
+
+def plain_units(text):
+    """Units one word at a time."""
+    out = []
+    for sentence in re.findall(r"[^\n.!?]*[.!?]*\s*", text):
+        words = sentence.split()
+        if len(words) <= line_winnow.WORDS:
+            out += [sentence] if sentence else []
+            continue
+        spaced = re.findall(r"\s*\S+\s*", sentence)
+        h, begin = [xxhash.xxh64_intdigest(w, 3) for w in words], 0
+        for i in range(len(h)):
+            near = h[max(0, i - line_winnow.NEAR) : i] + h[i + 1 : i + 1 + line_winnow.NEAR]
+            if h[i] < min(near) or i + 1 - begin == line_winnow.WORDS:
+                out.append("".join(spaced[begin : i + 1]))
+                begin = i + 1
+        out += ["".join(spaced[begin:])] if begin < len(h) else []
+    return out
+
+
+def test_units_and_their_hashes():
+    rng = random.Random(5)
+    made = [" ".join(rng.choice(["a", "bb", "c\n", "dd.", "  e"]) if rng.random() < 0.2 else "w%d" % rng.randrange(400) for _ in range(rng.randrange(90))) for _ in range(150)]
+    rows = ["", " \n ", "one", "...", LONG[:5_000], *made]
+    cut = line_winnow._cut(rows).to_pylist()
+    named = {}
+    for text, c in zip(rows, cut):
+        parts = plain_units(text)
+        assert line_winnow.units(text) == parts
+        assert (c["chars"], c["words"]) == (list(map(len, parts)), [len(p.split()) for p in parts])
+        for part, h in zip(parts, c["h"]):
+            assert named.setdefault(tuple(part.split()), h) == h
+    assert len(set(named.values())) == len(named)
+    assert [line_winnow._cut([t]).to_pylist()[0] for t in rows] == cut  # texts do not mix
+
+
 def test_winnowing_finds_every_shared_run():
     rng = np.random.default_rng(2)
-    need = line_winnow.GRAM + line_winnow.WINDOW - 1
     for _ in range(300):
-        shared = rng.integers(0, 1 << 62, need)
-        a = np.concatenate([rng.integers(0, 1 << 62, rng.integers(0, 9)), shared, rng.integers(0, 1 << 62, rng.integers(0, 9))])
-        b = np.concatenate([rng.integers(0, 1 << 62, rng.integers(0, 9)), shared, rng.integers(0, 1 << 62, rng.integers(0, 9))])
-        assert set(line_winnow.winnow(a)[0].tolist()) & set(line_winnow.winnow(b)[0].tolist())
+        shared = rng.integers(0, 1 << 62, line_winnow.GRAM)
+        a, b = (np.concatenate([rng.integers(0, 1 << 62, rng.integers(0, 9)), shared, rng.integers(0, 1 << 62, rng.integers(0, 9))]) for _ in "ab")
+        words = lambda x: np.full(len(x), line_winnow.MIN_WORDS // line_winnow.GRAM)
+        g = [set(line_winnow.winnow(x, words(x), np.array([len(x)]))[0].tolist()) for x in (a, b)]
+        assert g[0] & g[1]
 
 
 def test_long_sentences_by_words(spark):
@@ -205,7 +285,7 @@ def test_long_sentences_by_words(spark):
         while sum(w for _, w in shared) < line_winnow.MIN_WORDS:
             shared.append([rng.randrange(1 << 62), rng.randrange(1, 17)])
         a, b = (np.concatenate([x, shared, y]).astype(np.int64) for x, y in (parts[:2], parts[2:]))
-        g = [set(line_winnow.winnow(x[:, 0].copy(), x[:, 1])[0].tolist()) for x in (a, b)]
+        g = [set(line_winnow.winnow(x[:, 0].copy(), x[:, 1], np.array([len(x)]))[0].tolist()) for x in (a, b)]
         assert g[0] & g[1]
 
 
@@ -507,7 +587,7 @@ def test_preferences():
     raw = x @ np.array([2.0, -1.0, 0.0])
     i, j = rng.integers(0, 300, 4_000), rng.integers(0, 300, 4_000)
     wins = rng.random(4_000) < 1 / (1 + np.exp(raw[j] - raw[i]))
-    w = pairwise_quality.fit_preferences(x[np.where(wins, i, j)], x[np.where(wins, j, i)])
+    w = pairwise_quality.fit_preferences(x, np.where(wins, i, j), np.where(wins, j, i))
     assert np.allclose(w, [2, -1, 0], atol=0.25)
 
 
