@@ -10,10 +10,10 @@ are one shingle, no words an empty set, and two empty sets are equal). Distinct
    group yet: it only says which texts have to be compared.
 3. The shingle sets of a cluster meet once and are searched through breadth first with exact Jaccard. Only links
    that hold there make groups.
-4. A cluster of more than ``CHUNK`` texts is searched in chunks, so each set is still sent once. What the chunks leave
-   apart is looked for key by key: first one text of each group a key still holds; then, where a key holds several
-   groups even so, the texts of all groups but its largest against all texts of the key. Texts of one group are never
-   compared again, so k near copies cost about k comparisons, and every two texts of a cluster that share a key are in one
+4. A cluster of more than ``CHUNK`` texts is searched in chunks, so each set is still sent once. The first texts of the
+   groups found there are compared with each other. Then the texts outside a cluster's largest group meet those inside
+   that share a key with one of them, chunk by chunk, and each other. Texts of the largest group are not compared with each
+   other again, so k near copies cost about k comparisons; every two texts of a cluster that share a key are in one
    group or have been compared.
 
 Rows stay linear: a walk and a search give out forests, never all pairs.
@@ -172,33 +172,41 @@ def similar_links(docs: DataFrame, text_col: str, sketched: DataFrame, words: in
     large = sizes.filter(F.col("count") > CHUNK).select("trie")
     if large.isEmpty():
         return links
-    # large clusters: (cell, digest) of each key there
-    keyed = sketched.select("digest", F.explode("keys").alias("key")).distinct()
-    keyed = keyed.join(named.join(large, "trie", "left_semi"), "digest")
-    keyed = written(keyed.select(F.xxhash64("trie", "key").alias("trie"), "digest"), "keyed")
+    hot = sketched.dropDuplicates(["digest"]).select("digest", "keys").join(named.join(large, "trie", "left_semi"), "digest")
+    hot = written(hot.select("trie", "digest", "keys"), "large")
 
-    def open_cells(found: DataFrame) -> DataFrame:
-        """(trie, digest, root) of the keys that hold more than one group."""
+    def grouped(found: DataFrame) -> DataFrame:
         root = components(found)
-        rows = keyed.join(root, F.col("digest") == F.col("node"), "left").select("trie", "digest", F.coalesce("root", "digest").alias("root"))
-        several = rows.groupBy("trie").agg(F.min("root").alias("a"), F.max("root").alias("b")).filter("a <> b").select("trie")
-        return written(rows.join(several, "trie", "left_semi"), "open")
+        return hot.join(root, F.col("digest") == F.col("node"), "left").select("trie", "digest", "keys", F.coalesce("root", "digest").alias("root"))
 
-    heads = open_cells(links).groupBy("trie", "root").agg(F.min("digest").alias("digest")).select("trie", "digest")
+    # the first texts of the groups that the chunks have found
+    heads = grouped(links).groupBy("trie", "root").agg(F.min("digest").alias("digest"), F.count("*").alias("n")).filter("n > 1").select("trie", "digest")
     links = written(links.union(_compared(docs, text_col, chunk_cells(heads, heads, "digest", CHUNK), words)), "links")
-    rest = open_cells(links)
-    groups = rest.groupBy("trie", "root").count()
+
+    # what is still apart: the texts outside a cluster's largest group, and those inside that share a key with one of them
+    rows = written(grouped(links), "large")
+    groups = rows.groupBy("trie", "root").count()
     most = groups.groupBy("trie").agg(F.max(F.struct("count", "root")).alias("most"), F.sum("count").alias("n"))
-    most = most.select("trie", F.col("most.root").alias("big"), F.ceil(F.col("most.count") / CHUNK).alias("bigs"), F.ceil((F.col("n") - F.col("most.count")) / CHUNK).alias("smalls"))
-    rest = rest.join(most, "trie")
-    big = F.col("root") == F.col("big")
-    here = F.pmod(F.xxhash64("digest"), F.when(big, F.col("bigs")).otherwise(F.col("smalls")))
-    other = F.sequence(F.lit(0), F.when(big, F.col("smalls")).otherwise(F.col("bigs")) - 1)
-    # a chunk of the largest group meets every chunk of the others; the others meet each other, too
-    met = F.transform(other, lambda k: F.xxhash64("trie", F.when(big, here).otherwise(k), F.when(big, k).otherwise(here), F.lit("met")))
-    cells = rest.select(F.explode(met).alias("trie"), "digest")
-    small = rest.filter(~big).select("trie", "digest")
-    cells = cells.union(chunk_cells(small, small, "digest", CHUNK).select("trie", "digest"))
+    most = most.select("trie", F.col("most.root").alias("big"), (F.col("n") - F.col("most.count")).alias("others")).filter("others > 0")
+    rows = rows.join(most, "trie").withColumn("is_big", F.col("root") == F.col("big"))
+    apart = rows.filter(~F.col("is_big"))
+    key = F.explode("keys").alias("key")
+    near = rows.filter("is_big").select("trie", "digest", key).join(apart.select("trie", key).distinct(), ["trie", "key"], "left_semi")
+    near = near.select("trie", "digest").distinct().withColumn("is_big", F.lit(True))
+    met = written(apart.select("trie", "digest", "is_big").union(near), "apart")
+    sizes = met.groupBy("trie").agg(F.ceil(F.count_if("is_big") / CHUNK).alias("bigs"), F.ceil(F.count_if(~F.col("is_big")) / CHUNK).alias("others"))
+    met = met.join(sizes.withColumn("bigs", F.greatest("bigs", F.lit(1))), "trie")
+    # every chunk of the one side meets every chunk of the other
+    here = F.pmod(F.xxhash64("digest"), F.when(F.col("is_big"), F.col("bigs")).otherwise(F.col("others")))
+    there = F.sequence(F.lit(0), F.when(F.col("is_big"), F.col("others")).otherwise(F.col("bigs")) - 1)
+    cell = F.transform(there, lambda k: F.xxhash64("trie", F.when(F.col("is_big"), here).otherwise(k), F.when(F.col("is_big"), k).otherwise(here)))
+    cells = met.select(F.explode(cell).alias("trie"), "digest")
+    # chunks of texts apart meet each other in the keys they share
+    many = apart.join(sizes.filter("others > 1").select("trie"), "trie", "left_semi").select(F.col("trie").alias("of"), "digest", key)
+    many = many.select(F.xxhash64("of", "key", F.lit("apart")).alias("trie"), "digest")
+    several = many.groupBy("trie").count().filter("count > 1").select("trie")
+    many = many.join(several, "trie", "left_semi")
+    cells = cells.union(chunk_cells(many, many, "digest", CHUNK).select("trie", "digest"))
     return written(links.union(_compared(docs, text_col, cells, words)), "links")
 
 
