@@ -49,20 +49,29 @@ _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
 class _Hashes(dict):
-    """Hashes of words, each made once; emptied when it has grown to ``KNOWN`` words."""
+    """Numbers of words, whose hashes are made once; emptied when it has grown to ``KNOWN`` words."""
 
-    def __missing__(self, word: str) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word, 3)
-        return h
+    def __init__(self) -> None:
+        super().__init__()
+        self.table, self.new = np.zeros(0, np.uint64), []
 
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        self.new.append(xxhash.xxh64_intdigest(word, 3))
+        return number
 
-_KNOWN = _Hashes()
+    def of(self, words: list[str]) -> np.ndarray:
+        if len(self) > KNOWN:
+            self.clear()
+            self.table = np.zeros(0, np.uint64)
+        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        if self.new:
+            self.table = np.concatenate([self.table, np.array(self.new, np.uint64)])
+            self.new = []
+        return self.table[numbers]
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
-    if len(_KNOWN) > KNOWN:
-        _KNOWN.clear()
-    return np.fromiter(map(_KNOWN.__getitem__, words), np.uint64, len(words))
+_KNOWN = _Hashes()
 
 
 def _cut_places(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -91,16 +100,23 @@ def _unit_sizes(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     split = list(map(str.split, sentences))
     words = np.fromiter(map(len, split), np.int64, len(split))
     chars = np.fromiter(map(len, sentences), np.int64, len(split))
-    h = _word_hashes(list(chain.from_iterable(split)))
+    h = _KNOWN.of(list(chain.from_iterable(split)))
     total, begin = np.concatenate(([0], np.cumsum(words))), np.concatenate(([0], np.cumsum(chars)))
     word_at, char_at = total[:-1], begin[:-1]
     long = np.flatnonzero(words > WORDS)
     if len(long):
         cut = _cut_places(h, total[long], total[long + 1])
         # code points before each word of the long sentences, counted from the first of them
-        size = np.fromiter(map(len, chain.from_iterable(_WORD.findall(sentences[k]) for k in long.tolist())), np.int64)
-        before = np.concatenate(([0], np.cumsum(size)))
+        size = np.fromiter(map(len, chain.from_iterable(split[k] for k in long.tolist())), np.int64)
         base = np.concatenate(([0], np.cumsum(words[long])))
+        # n words with n - 1 blanks have one between any two, and so have those with n blanks if the last one ends the sentence
+        blanks = chars[long] - np.add.reduceat(size, base[:-1]) - words[long]
+        size += 1
+        for i in np.flatnonzero(blanks >= 0).tolist():
+            sentence = sentences[long[i]]
+            if blanks[i] or not sentence[-1].isspace():
+                size[base[i] : base[i + 1]] = list(map(len, _WORD.findall(sentence)))
+        before = np.concatenate(([0], np.cumsum(size)))
         which = np.searchsorted(total[long], cut, "right") - 1
         inner = (cut > total[long[which]]) & (cut < total[long[which] + 1])
         cut, which = cut[inner], which[inner]

@@ -239,7 +239,9 @@ def plain_units(text):
 def test_units_and_their_hashes():
     rng = random.Random(5)
     made = [" ".join(rng.choice(["a", "bb", "c\n", "dd.", "  e"]) if rng.random() < 0.2 else "w%d" % rng.randrange(400) for _ in range(rng.randrange(90))) for _ in range(150)]
-    rows = ["", " \n ", "one", "...", LONG[:5_000], *made]
+    many = " ".join("v%d" % rng.randrange(10**6) for _ in range(40))
+    blanks = [many.replace(" ", "  ", 1), " " + many, many + " ", many.replace(" ", "\t", 1) + "  ", many.replace(" ", "\u3000", 3), many + "\n" + many.replace(" ", "  ", 1)]
+    rows = ["", " \n ", "one", "...", LONG[:5_000], *blanks, *made]
     cut = line_winnow._cut(rows).to_pylist()
     named = {}
     for text, c in zip(rows, cut):
@@ -435,6 +437,14 @@ def test_archives(spark):
     arc_to_warc.convert(spark, arc, warc)
     got = arc_to_warc.read_warc(spark, warc).collect()
     assert not [r.error for r in got if r.error]
+    assert len({r.record_id for r in got}) == len(got)
+    files = {r.path for r in got}
+    assert sorted(r.path for r in got if r.type == "warcinfo") == sorted(files)
+    got = [r for r in got if r.type != "warcinfo"]
+    of = {r.record_id: r for r in got}
+    for r in got:
+        if r.type == "revisit":  # refers to a response with its payload, by the identifier that one has
+            assert of[r.refers_to_id].type == "response" and of[r.refers_to_id].digest == r.digest and of[r.refers_to_id].key == r.refers_to
     want = sorted((k or -1, len((h or "").encode()), hashlib.sha256((h or "").encode()).hexdigest()) for k, _, h in rows)
     assert sorted((r.key or -1, r.bytes, r.digest) for r in got) == want
     assert sorted((r.key, r.refers_to) for r in got if r.type == "revisit") == [(2, 1), (3, 1), (3, 1)]
@@ -445,6 +455,62 @@ def test_archives(spark):
     assert arc_to_warc.read_arc(spark, empty).count() == 0
 
 
+def test_archive_query(spark):
+    rows = [(r.page_id, (r.html or "").encode()) for r in spark.read.parquet(f"{SF}/pages.parquet").collect()]
+    first = {}
+    for k, h in sorted(rows):
+        first.setdefault(h, k)
+    want = {(k, len(h), hashlib.sha256(h).hexdigest(), *(("response", None) if len(h) < 100 or first[h] == k else ("revisit", first[h]))) for k, h in rows}
+    got = QUERIES["op5_arc_to_warc"](spark, SF)
+    assert {tuple(r) for r in got.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to").collect()} == want
+    assert got.count() == len(rows) and not got.filter("error IS NOT NULL").count()
+    empty = spark.read.parquet(f"{SF}/pages.parquet").limit(0)
+    arc, warc = fresh_dir(spark, "arc"), fresh_dir(spark, "warc")
+    arc_to_warc.write_arc(empty, arc)
+    arc_to_warc.convert(spark, arc, warc)
+    assert arc_to_warc.read_warc(spark, warc).count() == 0
+
+
+def test_records_as_crawlers_wrote_them():
+    http = "HTTP/1.0 404 Not Found\r\nServer: x\r\n\r\n"
+    block = arc_to_warc.version_block("a.arc", 1, "19990101000000")
+    records = [("http://x/", "text/html", http + "gone"), ("dns:x", "text/dns", "19990101000000\nx. 1 IN A 1.2.3.4"), ("http://y/", "no-type", "HTTP/ but no head")]
+    data = block + "".join(f"\n{u} 1.2.3.4 19990101000000 {t} {len(b)}\n{b}" for u, t, b in records)
+    rows = list(arc_to_warc.parse_arc(data.encode()))
+    made = [arc_to_warc.warc_record(row, "a.arc", n, None) for n, row in enumerate(rows)]
+    made.append(arc_to_warc.warc_record(rows[0], "b.arc", 7, {"path": "a.arc", "n": 0, "key": None, "url": "http://x/", "date": "1999-01-01T00:00:00Z"}))
+    back = list(arc_to_warc.parse_warc("".join(m + arc_to_warc.WARC_END for m in made).encode()))
+    assert [r["type"] for r in back] == ["response", "resource", "response", "revisit"] and not any(r["error"] for r in back)
+    assert [r["payload"] for r in back] == [b"gone", records[1][2].encode(), records[2][2].encode(), b""]
+    assert [r["bytes"] for r in back] == [4, len(records[1][2]), len(records[2][2]), 4]
+    assert back[3]["refers_to_id"] == back[0]["record_id"] and len({r["record_id"] for r in back}) == 4
+    broken = made[0].replace("gone", "GONE").encode()
+    assert list(arc_to_warc.parse_warc(broken))[0]["error"] == "digest"
+
+
+def test_result_columns_have_to_be_free(spark, odd, docs, labels):
+    ranker = pairwise_quality.fit_quality(docs, labels)
+    benchmark = spark.read.parquet(f"{SF}/benchmark.parquet")
+    tree = merkle.fingerprints(odd, F.col("text"), "tree")
+    steps = {
+        "shard": lambda d: ring_shards.assign_shards(d, 3),
+        "slot": lambda d: ring_shards.assign_shards(d, 3),
+        "home_shard": lambda d: ring_shards.assign_shards(d, 3),
+        "mix": lambda d: mixing.select_mix(d, ("lang",)),
+        "contamination": lambda d: decontaminate.find_contamination(d, benchmark),
+        "next": lambda d: merkle.with_next(d, "doc_id", ["text"], "text"),
+        "tree": lambda d: merkle.fingerprints(d, F.col("text"), "tree"),
+        "pii": lambda d: pii_semicrf.find_pii(d, {}),
+        "quality": lambda d: pairwise_quality.score_quality(d, ranker, out="quality"),
+    }
+    for name, step in steps.items():
+        with pytest.raises(ValueError, match=name):
+            step(odd.withColumn(name.upper(), F.lit(1)))
+    # names that are used inside are free to use outside
+    mixed = mixing.select_mix(odd.withColumn("l", F.lit("kept")).withColumn("n0", F.lit(1)), ("lang",))
+    assert {r.l for r in mixed.collect()} == {"kept"} and "l" in tree.withColumn("l", F.lit(1)).columns
+
+
 def test_damaged_archive():
     block = arc_to_warc.version_block("a.arc", 1, "20200101000000")
     good = "http://x 0.0.0.0 20200101000000 text/html; charset=utf-8 3\nabc\n"
