@@ -7,15 +7,18 @@ location, offset and file name before the length. Types may hold blanks, so fiel
 both ends. A damaged header or a length that runs past the end becomes a row with ``error`` and the
 reading goes on at the next line that looks like a header.
 
-A WARC record is made from what the ARC record says: an identifier by name-based UUID over URL, date and
-digest, so a repeated run gives the same one; the 14-digit date as an ISO timestamp; the type; and SHA-256
-digests. Of records with equal payloads of at least ``SHARED`` bytes the one with the smallest key is
-``response``, the others are ``revisit`` records that refer to it and carry no payload.
+Every file begins with a ``warcinfo`` record made from the version block. The other records are made from what the ARC
+records say: an identifier by name-based UUID over the ARC file's name, the record's number there, URL, date and digest,
+so a repeated run gives the same one and no two records share one; the 14-digit date as an ISO timestamp; the type by
+the URL's scheme (``dns:`` is a ``resource``, all else a ``response``). A body that begins with an HTTP head is split:
+head and payload are the block, ``application/http``, and the payload alone has the payload digest; the block digest
+covers both. Of records with equal payloads of at least ``SHARED`` bytes the one with the smallest key is ``response``,
+the others are ``revisit`` records that refer to its identifier, URL and date and carry the HTTP head at most.
 
 Files are written by Spark's text writer with its commit protocol: the end of a record is the line
 separator, and every file holds whole records. A file has about ``FILE_BYTES`` of payload, so a task holds
-one file and at most one record more. Payloads are never shuffled uncompressed: the digests decide which
-records are revisits, and a file meets the list of its own. Files are gzip-compressed.
+one file and at most one record more; files that others wrote are read whole, up to Spark's 2 GB a value. Payloads are never shuffled uncompressed: the digests decide which
+records are revisits, and a file meets the list of its own. Files are gzip-compressed, as one member.
 
 Defined results: a null payload is empty; a null URL is written as ``-``; blanks and control characters in
 URLs become %20; the page's key travels in the URL's fragment; repeated rows give a record each, and of
@@ -29,6 +32,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -39,6 +43,7 @@ from acreline.llm.common import written
 
 SHARED, FILE_BYTES = 100, 16 << 20
 ARC_END, WARC_END = "\n", "\r\n\r\n"
+HTTP = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 #: Fields of a header line before and after the type, by version.
 ARC_FIELDS = {1: (("url", "ip", "date"), ("length",)), 2: (("url", "ip", "date"), ("code", "checksum", "location", "offset", "filename", "length"))}
 _NAMES = {
@@ -82,7 +87,7 @@ def version_block(name: str, version: int, date: str) -> str:
 
 def arc_record(link: str, html: bytes, name: str, version: int, date: str) -> str:
     more = "" if version == 1 else f"200 {hashlib.md5(html).hexdigest()} - 0 {name} "
-    return f"{link} 0.0.0.0 {date} text/html {more}{len(html)}\n{html.decode()}"
+    return f"{link} 0.0.0.0 {date} text/html {more}{len(HTTP) + len(html)}\n{HTTP}{html.decode()}"
 
 
 def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", version: Column | None = None, date: str = "20200101000000") -> None:
@@ -119,12 +124,16 @@ def write_arc(pages: DataFrame, path: str, key: str = "page_id", url: str = "url
 # --- reading ARC -----------------------------------------------------------------------------
 
 
+def arc_version(data: bytes) -> int:
+    """The number in the second line of the version block."""
+    end = data.find(b"\n")
+    version = data[end + 1 : data.find(b"\n", end + 1)].split(b" ")[0]
+    return int(version) if version.isdigit() else 1
+
+
 def parse_arc(data: bytes) -> Iterator[dict]:
     """Records of one ARC file after its version block."""
-    end = data.find(b"\n")
-    second = data.find(b"\n", end + 1)
-    version = data[end + 1 : second].split(b" ")[0]
-    version = int(version) if version.isdigit() else 1
+    version = arc_version(data)
     if version not in ARC_FIELDS or not data.startswith(b"filedesc://"):
         yield {"error": "no version block"}
         return
@@ -190,6 +199,15 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
 
 # --- converting ------------------------------------------------------------------------------
 
+_HTTP = re.compile(rb"HTTP/[0-9.]+ [^\r\n]*\r?\n(?:[^\r\n]+\r?\n)*\r?\n")
+
+
+def split_http(body: bytes) -> tuple[bytes, bytes]:
+    """(HTTP head with its empty line, payload); no head, all payload."""
+    m = _HTTP.match(body)
+    return (body[: m.end()], body[m.end() :]) if m else (b"", body)
+
+
 _KEY = re.compile(r"#key=(?:-|(-?[0-9]+))$")
 _META = pa.schema([("path", pa.string()), ("n", pa.int64()), ("key", pa.int64()), ("url", pa.string()), ("date", pa.string()), ("bytes", pa.int64()), ("digest", pa.string())])
 _META_SCHEMA = "path string, n bigint, key bigint, url string, date string, bytes bigint, digest string"
@@ -207,29 +225,50 @@ def _meta(data: bytes) -> Iterator[dict]:
     for row in parse_arc(data):
         if row["error"] is None:
             key, url, date = _target(row)
-            yield {"key": key, "url": url, "date": date, "bytes": len(row["payload"]), "digest": hashlib.sha256(row["payload"]).hexdigest()}
+            payload = split_http(row["payload"])[1]
+            yield {"key": key, "url": url, "date": date, "bytes": len(payload), "digest": hashlib.sha256(payload).hexdigest()}
         else:
             yield {}  # keeps the numbering
 
 
 def revisits(spark: SparkSession, path: str) -> DataFrame:
-    """(path, n, key, url, date): the records of the ARC files that repeat an earlier payload, and the record
+    """(path, n, first): the records of the ARC files that repeat an earlier payload, and the record
     they refer to. Payloads stay in their tasks; only digests are shuffled."""
     meta = written(_files(spark, path).mapInArrow(_rows(_meta, _META), _META_SCHEMA).filter("digest is not null"), "arc-records")
     order = F.struct(F.col("key").isNull().alias("lone"), "key", "url", "path", "n", "date")
     firsts = meta.filter(F.col("bytes") >= SHARED).groupBy(F.col("digest").alias("d"))
     firsts = firsts.agg(F.count("*").alias("copies"), F.min(order).alias("first")).filter("copies > 1")
     later = meta.join(firsts, F.col("digest") == F.col("d")).filter((F.col("path") != F.col("first.path")) | (F.col("n") != F.col("first.n")))
-    return later.select("path", "n", "first.key", "first.url", "first.date")
+    return later.select("path", "n", F.struct("first.path", "first.n", "first.key", "first.url", "first.date").alias("first"))
 
 
-def warc_record(row: dict, refers_to: dict | None) -> str:
+def record_id(path: str, n: int, key: int | None, url: str, date: str, digest: str) -> str:
+    """``path`` is that of the ARC file below the folder that is converted, ``n`` the record's number there."""
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{path} {n} {url} {date} {digest} {key}')}>"
+
+
+def _record(head: list[str], block: bytes) -> str:
+    lines = [*head, f"WARC-Block-Digest: sha256:{hashlib.sha256(block).hexdigest()}", f"Content-Length: {len(block)}"]
+    return "\r\n".join(lines) + "\r\n\r\n" + block.decode("utf-8", "replace")
+
+
+def info_record(path: str, archive: str, version: int) -> str:
+    """The record that a file begins with: what it is and where it comes from."""
+    fields = f"software: acreline\r\nformat: WARC File Format 1.1\r\ndescription: converted from ARC version {version}\r\n"
+    date = "1970-01-01T00:00:00Z"
+    head = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: {record_id(path, -1, None, archive, date, '')}", f"WARC-Date: {date}"]
+    return _record([*head, f"WARC-Filename: {archive}", "Content-Type: application/warc-fields"], fields.encode())
+
+
+def warc_record(row: dict, path: str, n: int, refers_to: dict | None) -> str:
     key, url, date = _target(row)
-    body, digest = row["payload"], hashlib.sha256(row["payload"]).hexdigest()
+    http, body = split_http(row["payload"])
+    digest = hashlib.sha256(body).hexdigest()
+    plain = "resource" if url.lower().startswith("dns:") else "response"
     head = [
         "WARC/1.1",
-        f"WARC-Type: {'revisit' if refers_to else 'response'}",
-        f"WARC-Record-ID: <urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{url} {date} {digest} {key}')}>",
+        f"WARC-Type: {'revisit' if refers_to else plain}",
+        f"WARC-Record-ID: {record_id(path, n, key, url, date, digest)}",
         f"WARC-Target-URI: {url}",
         f"WARC-Date: {date}",
         f"WARC-IP-Address: {row['ip']}",
@@ -238,39 +277,48 @@ def warc_record(row: dict, refers_to: dict | None) -> str:
     if refers_to:
         head += [
             "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest",
+            f"WARC-Refers-To: {record_id(**refers_to, digest=digest)}",
             f"WARC-Refers-To-Target-URI: {refers_to['url']}",
             f"WARC-Refers-To-Date: {refers_to['date']}",
             f"X-Refers-To-Key: {'-' if refers_to['key'] is None else refers_to['key']}",
         ]
-    kept = b"" if refers_to else body
-    head += [f"X-Key: {'-' if key is None else key}", f"X-Payload-Length: {len(body)}", f"Content-Type: {row['type']}", f"Content-Length: {len(kept)}"]
-    return "\r\n".join(head) + "\r\n\r\n" + kept.decode("utf-8", "replace")
+    kind = "application/http;msgtype=response" if http else row["type"]
+    head += [f"X-Key: {'-' if key is None else key}", f"X-Payload-Length: {len(body)}", f"Content-Type: {kind}"]
+    return _record(head, http if refers_to else http + body)
+
+
+def _below(name: str, folder: str) -> str:
+    """A file's path below the folder that was read, whatever scheme either is written with."""
+    inside = folder.rstrip("/").split("://")[-1].lstrip("/") + "/"
+    return name.split(inside, 1)[-1]
 
 
 def convert(spark: SparkSession, arc_path: str, warc_path: str) -> None:
     """A WARC file for every ARC file. The list of a file's revisits meets the file as one row; payloads that
     are not UTF-8 would need a binary writer, which Spark has not: their broken bytes are replaced."""
-    again = revisits(spark, arc_path).groupBy(F.col("path").alias("p")).agg(F.collect_list(F.struct("n", "key", "url", "date")).alias("again"))
+    again = revisits(spark, arc_path).groupBy(F.col("path").alias("p")).agg(F.collect_list(F.struct("n", "first")).alias("again"))
     files = _files(spark, arc_path).join(again, F.col("path") == F.col("p"), "left").select("path", "content", "again")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, content, again in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                refers = {x["n"]: x for x in again.as_py() or ()}
+                refers = {x["n"]: x["first"] | {"path": _below(x["first"]["path"], arc_path)} for x in again.as_py() or ()}
                 archive = name.rstrip("/").split("/")[-2].removeprefix("archive=").removesuffix(".arc") + ".warc"
-                found = ((n, row) for n, row in enumerate(parse_arc(_opened(name, content.as_py()))) if row["error"] is None)
-                rows = ((len(row["payload"]), {"archive": archive, "n": n, "record": warc_record(row, refers.get(n))}) for n, row in found)
-                yield from _batched(rows, _OUT)
+                data, place = _opened(name, content.as_py()), _below(name, arc_path)
+                found = ((n, row) for n, row in enumerate(parse_arc(data)) if row["error"] is None)
+                rows = ((len(row["payload"]), {"archive": archive, "n": n, "record": warc_record(row, place, n, refers.get(n))}) for n, row in found)
+                first = (0, {"archive": archive, "n": -1, "record": info_record(place, archive, arc_version(data))})
+                yield from _batched(chain([first], rows), _OUT)
 
     _write(files.mapInArrow(build, _OUT_SCHEMA), warc_path, WARC_END)
 
 
-_WARC = pa.schema([("path", pa.string()), ("type", pa.string()), ("record_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("key", pa.int64()), ("refers_to", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
-WARC_SCHEMA = "path string, type string, record_id string, url string, date string, key bigint, refers_to bigint, bytes bigint, digest string, payload binary, error string"
+_WARC = pa.schema([("path", pa.string()), ("type", pa.string()), ("record_id", pa.string()), ("refers_to_id", pa.string()), ("url", pa.string()), ("date", pa.string()), ("key", pa.int64()), ("refers_to", pa.int64()), ("bytes", pa.int64()), ("digest", pa.string()), ("payload", pa.binary()), ("error", pa.string())])
+WARC_SCHEMA = "path string, type string, record_id string, refers_to_id string, url string, date string, key bigint, refers_to bigint, bytes bigint, digest string, payload binary, error string"
 
 
 def parse_warc(data: bytes) -> Iterator[dict]:
-    """Records of one WARC file; payloads are checked against their digests."""
+    """Records of one WARC file; blocks and payloads are checked against their digests."""
     at = 0
     number = lambda x: int(x) if x is not None and x.lstrip("-").isdigit() else None
     while at < len(data):
@@ -281,11 +329,14 @@ def parse_warc(data: bytes) -> Iterator[dict]:
         if end < 0 or not lines[0].startswith("WARC/") or not size.isdigit() or end + 4 + int(size) > len(data):
             yield {"error": f"damaged record at byte {at}"}
             return
-        body = data[end + 4 : end + 4 + int(size)]
+        block = data[end + 4 : end + 4 + int(size)]
+        body = split_http(block)[1] if head.get("Content-Type", "").startswith("application/http") else block
         digest = head.get("WARC-Payload-Digest", "").removeprefix("sha256:")
-        bad = head.get("WARC-Type") == "response" and hashlib.sha256(body).hexdigest() != digest
+        whole = head.get("WARC-Block-Digest", "").removeprefix("sha256:")
+        bad = bool(whole) and hashlib.sha256(block).hexdigest() != whole
+        bad |= head.get("WARC-Type") in ("response", "resource") and hashlib.sha256(body).hexdigest() != digest
         yield {
-            "type": head.get("WARC-Type"), "record_id": head.get("WARC-Record-ID"), "url": head.get("WARC-Target-URI"), "date": head.get("WARC-Date"),
+            "type": head.get("WARC-Type"), "record_id": head.get("WARC-Record-ID"), "refers_to_id": head.get("WARC-Refers-To"), "url": head.get("WARC-Target-URI"), "date": head.get("WARC-Date"),
             "key": number(head.get("X-Key")), "refers_to": number(head.get("X-Refers-To-Key")), "bytes": number(head.get("X-Payload-Length")),
             "digest": digest, "payload": body, "error": "digest" if bad else None,
         }

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreline.llm.common import free_name, utf8, written
+from acreline.llm.common import claim, free_name, utf8, written
 
 #: Words of benchmark windows that one broadcast may hold.
 BLOCK = 5_000_000
@@ -143,7 +143,8 @@ def find_contamination(
     out: str = "contamination",
     block: int = BLOCK,
 ) -> DataFrame:
-    """The documents plus ``out``: n_words, hits (merged ranges of word positions), items found."""
+    """The documents plus ``out``: n_words, hits (merged ranges of word positions), items found. ``out`` must be free."""
+    claim(docs, out)
     spark = docs.sparkSession
     held = free_name(docs, "__before")
     current, k = docs.withColumn(held, F.lit(None).cast(HITS)), -1

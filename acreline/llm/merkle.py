@@ -4,10 +4,7 @@ A paragraph is a line of the text; it is cut into blocks at sentence ends and af
 without one, so a change inside a sentence touches the blocks of that sentence only. A section is a run
 of ``SECTION`` paragraphs. Every digest is a whole md5, each node the digest of its children's digests.
 
-``as_text`` is the tree in the form of the SQL twin: root|sections|paragraphs|blocks, where blocks, paragraphs
-and sections have 8 hexadecimal digits and each node is the digest of its children's short digests. It holds
-32 bits a section, so it does not tell texts apart in a large corpus: ``root`` does, and all comparisons
-here use the whole digests. Equal texts have equal roots,
+``as_text`` is the tree as root|sections|paragraphs|blocks, all with their whole digests. Equal texts have equal roots,
 and trees with different roots are compared branch by branch: a branch that both have is done, and
 only the blocks below the others are looked at. The likeness of two trees is the share of their
 distinct blocks that both have (Jaccard), 1 for equal roots.
@@ -30,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acreline.llm.common import free_name
+from acreline.llm.common import claim, free_name
 
 BLOCK, SECTION = 48, 4
 BLOCKS = f"[^\\n.!?]{{1,{BLOCK}}}[.!?]*|[.!?]+"
@@ -38,10 +35,6 @@ BLOCKS = f"[^\\n.!?]{{1,{BLOCK}}}[.!?]*|[.!?]+"
 RANGE, RANGES = 2_000, 1 << 16
 
 
-def _short(x: Column) -> Column:
-    return F.substring(x, 1, 8)
-
-
 def _above(nodes: Column) -> Column:
     return F.md5(F.array_join(nodes, ","))
 
@@ -52,7 +45,8 @@ def _sections(paragraphs: Column) -> Column:
 
 
 def fingerprints(df: DataFrame, text: Column, out: str) -> DataFrame:
-    """``df`` plus ``out``: struct<root, sections, paragraphs, leaves>, leaves being an array per paragraph."""
+    """``df`` plus ``out``, a free name: struct<root, sections, paragraphs, leaves>, leaves being an array per paragraph."""
+    claim(df, out)
     a, b, c = (free_name(df, f"__{x}") for x in ("leaves", "paragraphs", "sections"))
     lines = F.split(F.coalesce(text, F.lit("")), "\n", -1)
     df = df.withColumn(a, F.transform(lines, lambda p: F.transform(F.regexp_extract_all(p, F.lit(BLOCKS), F.lit(0)), F.md5)))
@@ -64,25 +58,8 @@ def fingerprints(df: DataFrame, text: Column, out: str) -> DataFrame:
 
 
 def as_text(t: str) -> Column:
-    """The tree with short digests; nodes above the blocks are made anew from the short digests below them."""
-    blocks = F.transform(f"{t}.leaves", lambda p: F.transform(p, _short))
-
-    def shown(leaves: Column) -> Column:
-        def joined(paragraphs: Column) -> Column:
-            def rooted(sections: Column) -> Column:
-                parts = [F.array_join(x, ",") for x in (sections, paragraphs, F.flatten(leaves))]
-                return F.concat_ws("|", _above(sections), *parts)
-
-            return _once(F.transform(_sections(paragraphs), _short), rooted)
-
-        return _once(F.transform(leaves, lambda x: _short(_above(x))), joined)
-
-    return _once(blocks, shown)
-
-
-def _once(x: Column, f: Callable[[Column], Column]) -> Column:
-    """f(x), with x evaluated once."""
-    return F.get(F.transform(F.array(x), f), F.lit(0))
+    parts = [F.array_join(x, ",") for x in (F.col(f"{t}.sections"), F.col(f"{t}.paragraphs"), F.flatten(f"{t}.leaves"))]
+    return F.concat_ws("|", f"{t}.root", *parts)
 
 
 def likeness(one: str, two: str) -> Column:
@@ -113,8 +90,10 @@ def with_next(
 ) -> DataFrame:
     """``df`` plus a struct ``next`` of ``columns`` of the row that follows; key has to be a whole number.
 
-    ``prepare`` adds columns where the rows of a range have met, so that they need no shuffle.
+    ``prepare`` adds columns where the rows of a range have met, so that they need no shuffle. A column ``next`` in ``df``
+    is an error.
     """
+    claim(df, "next")
     k, part, last = (free_name(df, f"__{x}") for x in ("key", "range", "copy"))
     low = -(2**63)
     keyed = df.withColumn(k, F.coalesce(F.col(key).cast("bigint"), F.lit(low)))
@@ -160,9 +139,9 @@ def merkle_sql() -> str:
     def built(source: str, text: str, name: str) -> str:
         return f"""
 {name}a AS (SELECT doc_id, list_transform(string_split({text}, chr(10)), lambda p: list_transform(
-      regexp_extract_all(p, '[^\\n.!?]{{1,{BLOCK}}}[.!?]*|[.!?]+'), lambda x: left(md5(x), 8))) AS leaves FROM {source}),
-{name}b AS (SELECT *, list_transform(leaves, lambda x: left(md5(coalesce(array_to_string(x, ','), '')), 8)) AS par FROM {name}a),
-{name}c AS (SELECT *, list_transform(range(1, len(par) + 1, {SECTION}), lambda i: left(md5(array_to_string(list_slice(par, i, i + {SECTION - 1}), ',')), 8)) AS sec FROM {name}b),
+      regexp_extract_all(p, '[^\\n.!?]{{1,{BLOCK}}}[.!?]*|[.!?]+'), lambda x: md5(x))) AS leaves FROM {source}),
+{name}b AS (SELECT *, list_transform(leaves, lambda x: md5(coalesce(array_to_string(x, ','), ''))) AS par FROM {name}a),
+{name}c AS (SELECT *, list_transform(range(1, len(par) + 1, {SECTION}), lambda i: md5(array_to_string(list_slice(par, i, i + {SECTION - 1}), ','))) AS sec FROM {name}b),
 {name} AS (SELECT doc_id, md5(array_to_string(sec, ',')) AS root, flatten(leaves) AS blocks,
       md5(array_to_string(sec, ',')) || '|' || array_to_string(sec, ',') || '|' || array_to_string(par, ',') || '|' || coalesce(array_to_string(flatten(leaves), ','), '') AS fp FROM {name}c)"""
 

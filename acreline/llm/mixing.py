@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acreline.llm.common import checkpointed, free_name, written
+from acreline.llm.common import checkpointed, claim, free_name, written
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 #: Hexadecimal digits of the order hash by which the end of a prefix is looked for, one step after the
@@ -113,8 +113,9 @@ def select_mix(
     """The chosen rows, one per epoch, plus a struct column ``mix``: leaf names, epoch, tokens of the
     text (null inside a whole epoch, where nothing depends on it), tokens used of it.
 
-    The budget is ``share`` (a fraction or decimal as text) of all tokens of ``docs``.
+    The budget is ``share`` (a fraction or decimal as text) of all tokens of ``docs``. A column ``mix`` in ``docs`` is an error.
     """
+    claim(docs, "mix")
     part = Fraction(share)
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"n{k}") for k, c in enumerate(levels)]
     path = [f"n{k}" for k in range(len(levels))]
@@ -142,8 +143,9 @@ def select_mix(
 
     mine, leaf = free_name(docs, "__row"), free_name(docs, "__leaf")
     here = docs.withColumn(leaf, F.struct(*names))
-    plan = plan.select(F.struct(*path).alias("l"), F.struct("whole", "rest", "bucket", "start").alias(mine))
-    here = here.join(near(plan), F.col(leaf) == F.col("l")).drop("l")
+    other = free_name(docs, "__other")
+    plan = plan.select(F.struct(*path).alias(other), F.struct("whole", "rest", "bucket", "start").alias(mine))
+    here = here.join(near(plan), F.col(leaf) == F.col(other)).drop(other)
     p = lambda c: F.col(f"{mine}.{c}")
     epoch, used = free_name(docs, "__epoch"), free_name(docs, "__used")
     copies = here.withColumn(epoch, F.explode(F.sequence(F.lit(0).cast("bigint"), p("whole")))).filter((F.col(epoch) < p("whole")) | (p("rest") > 0))

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from acreline.llm.common import utf8
+from acreline.llm.common import claim, utf8
 
 #: Labelled rows and preference pairs a fit may use.
 SAMPLE, PAIRS = 20_000, 200_000
@@ -216,6 +216,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", id_c
 
 
 def score_quality(docs: DataFrame, ranker: Ranker | None, text_col: str = "text", out: str = "score") -> DataFrame:
+    """``docs`` plus ``out``, which must be a free name."""
+    claim(docs, out)
     if ranker is None:
         return docs.withColumn(out, F.lit(1.0))
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreline.llm.common import texts
+from acreline.llm.common import claim, texts
 
 KINDS = ("email", "ip", "card", "phone")
 DOCUMENTS, STRETCHES, EPOCHS = 10_000, 1_500, 12
@@ -287,7 +287,8 @@ def fit_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", doc
 
 
 def find_pii(docs: DataFrame, weights: dict[str, float], text_col: str = "text", out: str = "pii") -> DataFrame:
-    """The documents plus ``out``: base counts by kind, digest of the base spans, all spans as text."""
+    """The documents plus ``out``, a free name: base counts by kind, digest of the base spans, all spans as text."""
+    claim(docs, out)
     fields = [*((f"n_{k}", pa.int64()) for k in KINDS), ("base_sha256", pa.string()), ("spans", pa.string())]
 
     @F.arrow_udf("struct<n_email: bigint, n_ip: bigint, n_card: bigint, n_phone: bigint, base_sha256: string, spans: string>")

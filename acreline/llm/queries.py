@@ -52,7 +52,7 @@ def op5_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     arc_to_warc.write_arc(pages, arc, version=F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(2)) + 1)
     arc_to_warc.convert(spark, arc, warc)
-    back = arc_to_warc.read_warc(spark, warc)
+    back = arc_to_warc.read_warc(spark, warc).filter("type IS NULL OR type <> 'warcinfo'")  # one a file, no page
     return back.select(
         F.col("key").alias("page_id"), F.col("bytes").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to", "record_id", "error"
     )
@@ -180,6 +180,6 @@ def op12_walsh_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
 
 
-@query("op13_spelling_variants")
+@query("op13_spelling_variants", spelling.variants_sql())
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"))

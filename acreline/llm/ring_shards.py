@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acreline.llm.common import checkpointed, free_name, written
+from acreline.llm.common import checkpointed, claim, free_name, written
 
 SALTS = 64
 #: A place is crowded above so many times the mean.
@@ -130,8 +130,9 @@ def assign_shards(
     """The rows plus shard (0 to shards - 1), slot (gapless from 0 in each shard) and home_shard.
 
     All columns of ``docs`` travel through one shuffle: give only those the result needs. ``ties``
-    orders rows of one key.
+    orders rows of one key. A column of ``docs`` with the name of a result column is an error.
     """
+    claim(docs, "shard", "slot", "home_shard")
     place, tie, salt, rank, many = (free_name(docs, f"__{x}") for x in ("place", "tie", "salt", "rank", "many"))
     places = 1 << (16 * shards * vnodes - 1).bit_length()
     text_key = F.coalesce(F.col(key).cast("string"), F.lit("\u0000"))

@@ -317,3 +317,28 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mo
     last = roots(best.filter(F.col("form").isNotNull()))
     rows = vocabulary.join(best, "word", "left").join(last, "word", "left")
     return rows.select("word", "form", F.coalesce("root", "word").alias("root"), "n", F.coalesce("n_near", F.lit(0)).cast("bigint").alias("n_near"), "form_n")
+
+
+def variants_sql() -> str:
+    """The same for a table ``documents``: CRC-32 byte by byte, near words by equal rests around a hole."""
+    return f"""
+WITH RECURSIVE crc AS (SELECT list(list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z: xor(c >> 1, 3988292384 * (c & 1))) ORDER BY i) AS t FROM range(256) AS r(i)),
+runs AS (SELECT key, run, count(*) AS n FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS key, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{{00C0}}-\\x{{00FF}}]{{{SHORTEST},}}')) AS run FROM documents) GROUP BY ALL),
+hashed AS (SELECT run, n, xor(list_reduce(list_prepend(4294967295, flatten(list_transform(string_split(key || run, ''), lambda c:
+    CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [192 + (unicode(c) >> 6), 128 + (unicode(c) & 63)] END))),
+    lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS h FROM runs, crc),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT n, CASE WHEN h % {EDITED} = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+    WHERE length(word) >= {SHORTEST} GROUP BY word HAVING sum(n) >= {LEAST}),
+places AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words),
+holes AS MATERIALIZED (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM places),
+near AS MATERIALIZED (SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM holes a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM holes a JOIN words b ON a.rest = b.word),
+best AS MATERIALIZED (SELECT word, count(*) AS n_near, min(struct_pack(m := -other_n, w := other)) AS top, any_value(n) AS n FROM near GROUP BY word),
+forms AS MATERIALIZED (SELECT word, n_near, CASE WHEN -top.m >= {RATIO} * n THEN top.w END AS form, CASE WHEN -top.m >= {RATIO} * n THEN -top.m END AS form_n FROM best),
+walk AS (SELECT word, form AS at FROM forms WHERE form IS NOT NULL UNION ALL SELECT walk.word, forms.form FROM walk JOIN forms ON walk.at = forms.word WHERE forms.form IS NOT NULL),
+roots AS (SELECT walk.word, walk.at AS root FROM walk LEFT JOIN forms ON walk.at = forms.word WHERE forms.form IS NULL)
+SELECT words.word, form, coalesce(root, words.word) AS root, words.n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CAST(form_n AS BIGINT) AS form_n
+FROM words LEFT JOIN forms USING (word) LEFT JOIN roots USING (word)
+"""

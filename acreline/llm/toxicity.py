@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from acreline.llm.common import utf8
+from acreline.llm.common import claim, utf8
 from acreline.llm.decontaminate import words_of
 
 SAMPLE = 6_000
@@ -218,7 +218,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_co
 
 
 def score_toxicity(docs: DataFrame, chain: Chain, text_col: str = "text", out: str = "toxicity") -> DataFrame:
-    """The documents plus ``out``: one probability per category, in chain order, and the flag."""
+    """The documents plus ``out``, a free name: one probability per category, in chain order, and the flag."""
+    claim(docs, out)
     fields = [(n, pa.float64()) for n in chain.names] + [("flagged", pa.bool_())]
     kind = f"struct<{', '.join(f'{n}: double' for n in chain.names)}, flagged: boolean>"
 
