@@ -308,15 +308,38 @@ def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def target_correlations(
-    df: DataFrame, target: str, columns: Sequence[str], ratios: dict[str, tuple[str, str]]
+    df: DataFrame, target: str, columns: Sequence[str], ratios: dict[str, tuple[str, str]], own: bool = False
 ) -> DataFrame:
-    """r of each column and of each added ratio with the target, largest first."""
+    """r of each column and of each added ratio with the target, largest first; with ``own`` the target's own row, too."""
     wide = df.withColumns({name: safe_ratio(F.col(a), F.col(b)) for name, (a, b) in ratios.items()})
-    names = [*columns, *ratios]
+    names = [*columns, *ratios, *([target] if own else [])]
     row = wide.agg(*[pearson(n, target).alias(f"r{i}") for i, n in enumerate(names)])
     return _unpivot(row, names, {"r": "r"}).orderBy(F.desc_nulls_last("r"), "column")
 
 
+def pair_counts(df: DataFrame, columns: Sequence[str], bins: int = 50) -> DataFrame:
+    """The scatter matrix of all rows as numbers: (column_a, column_b, bin_a, bin_b, n_rows) for every pair of columns over
+    the rows where both are known, in equal-width bins of each column's range; empty cells are left out.
+
+    Two scans for any number of pairs: ranges, then counts, which combine before the shuffle to pairs x bins x bins records
+    at most.
+    """
+    require_columns(df, columns)
+    if len(columns) < 2 or bins < 1:
+        raise ValueError("two columns and one bin at least")
+    place = {}
+    for c, (low, high) in _ranges(df.select(*columns), columns).items():
+        place[c] = F.when(_number(c).isNotNull(), _bin_index(_number(c), low, (high - low) / bins, bins))
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i + 1 :] if a in place and b in place]
+    if not pairs:
+        return df.sparkSession.createDataFrame([], "column_a string, column_b string, bin_a int, bin_b int, n_rows bigint")
+    rows = df.select(*[p.alias(f"p{i}") for i, p in enumerate(place.values())])
+    at = {c: F.col(f"p{i}") for i, c in enumerate(place)}
+    cells = [F.struct(F.lit(a).alias("column_a"), F.lit(b).alias("column_b"), at[a].alias("bin_a"), at[b].alias("bin_b")) for a, b in pairs]
+    known = rows.select(F.inline(F.array(*cells))).filter("bin_a IS NOT NULL AND bin_b IS NOT NULL")
+    return known.groupBy("column_a", "column_b", "bin_a", "bin_b").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
 def pair_rows(df: DataFrame, columns: Sequence[str], id_cols: Sequence[str]) -> DataFrame:
     """All rows of the chosen columns for a scatter matrix: a projection, nothing is left out."""
     require_columns(df, [*columns, *id_cols])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from acreline.functions.expressions import finite
+from acreline.session import ensure_checkpoint_dir
 
 INTERIOR_LIMIT = 1_000_000
 ACCURACY = 10_000
@@ -273,6 +274,112 @@ def vocabulary(df: DataFrame, column: str | Column, max_size: int = 1_000) -> li
     return list(categories(df, {"value": value}, max_size)["value"])
 
 
+# --- per group -----------------------------------------------------------------------------------
+
+#: Size parameter of a group's sketch (8 KB, ranks right to about 0.7 %), steps its quantiles are read off at, and how far
+#: beyond the wanted rank a bracket reaches. A wrong bracket is noticed by counting and costs a pass, never a result.
+SKETCH, GRID, REACH = 400, 200, 0.01
+#: Groups whose brackets (a few numbers each) are broadcast; above, they are joined by key.
+SENT_GROUPS = 20_000
+#: Rows of one bracket that are put in order in a task.
+ORDERED = 20_000
+
+
+def _grid(value: Column) -> Column:
+    """GRID + 1 quantiles of a group, from its sketch; empty without rows."""
+    sketch = F.kll_sketch_agg_double(value, SKETCH)
+    steps = F.array(*[F.lit(i / GRID) for i in range(GRID + 1)])
+    return F.when(F.count(value) > 0, F.kll_sketch_get_quantile_double(sketch, steps))
+
+
+def _bracket(grid: str, middle: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """Ends around the rank ``middle`` (a share); at the edge those of the whole range."""
+    first, last = F.floor((middle - REACH) * GRID), F.ceil((middle + REACH) * GRID)
+    at = lambda i: F.element_at(grid, (F.greatest(F.least(i, F.lit(GRID)), F.lit(0)) + 1).cast("int"))
+    return F.when(first < 0, low).otherwise(at(first)), F.when(last > GRID, high).otherwise(at(last))
+
+
+def _hot_quantiles(rows: DataFrame, groups: DataFrame, probs: Sequence[float], names: Sequence[str], ordered: int) -> DataFrame:
+    """(k, names...) of ``groups(k, n, few)`` from ``rows(k, v)``.
+
+    All groups go through the same passes, each a map-side aggregation by group: a sketch brackets every wanted rank,
+    a count fixes its place there, and so on inside the brackets, until at most ``ordered`` rows are left in each, which
+    are put in order. The passes grow with the logarithm of the largest group, not with the number of groups; nothing
+    but one number a pass reaches the driver.
+    """
+    ensure_checkpoint_dir(rows.sparkSession)
+    searches = range(2 * len(probs))
+    few = groups.count() <= SENT_GROUPS
+
+    def with_state(state: DataFrame) -> DataFrame:
+        """The rows of the groups, with their brackets."""
+        return rows.join(F.broadcast(state) if few else state, "k")
+
+    def open_(i: int) -> Column:
+        return F.col(f"found{i}").isNull()
+
+    def within(i: int) -> Column:
+        return F.when(open_(i) & (F.col("v") > F.col(f"lo{i}")) & (F.col("v") < F.col(f"hi{i}")), F.col("v"))
+
+    hot = rows.join(F.broadcast(groups.select("k")) if few else groups.select("k"), "k", "left_semi")
+    state = hot.groupBy("k").agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), _grid(F.col("v")).alias("grid"))
+    columns = {}
+    for i in searches:
+        place = (F.col("n") - 1) * F.lit(float(probs[i // 2]))
+        base = F.least(F.floor(place), F.col("n") - 1)
+        rank = base if i % 2 == 0 else F.when(place > base, base + 1).otherwise(base)
+        lo, hi = _bracket("grid", (rank + 0.5) / F.col("n"), F.col("low"), F.col("high"))
+        none = F.lit(None)
+        columns |= {f"rank{i}": rank, f"lo{i}": lo, f"hi{i}": hi, f"found{i}": none.cast("double"), f"inner{i}": none.cast("bigint"), f"rows{i}": none.cast("bigint")}
+    state = state.withColumns(columns).drop("grid").checkpoint()
+    while True:
+        counts = []
+        for i in searches:
+            v, lo, hi = F.col("v"), F.col(f"lo{i}"), F.col(f"hi{i}")
+            counts += [F.count_if(open_(i) & (v < lo)).alias(f"b{i}"), F.count_if(open_(i) & (v == lo)).alias(f"l{i}")]
+            counts += [F.count(within(i)).alias(f"i{i}"), F.count_if(open_(i) & (v == hi) & (hi > lo)).alias(f"h{i}")]
+        counted = with_state(state).groupBy("k").agg(*counts)
+        columns = {}
+        for i in searches:
+            rank, below, low, inside, high = (F.col(f"{c}{i}") for c in ("rank", "b", "l", "i", "h"))
+            missed = (rank < below) | (rank >= below + low + inside + high)
+            found = F.when(missed, None).when(rank < below + low, F.col(f"lo{i}")).when(rank >= below + low + inside, F.col(f"hi{i}"))
+            columns |= {
+                f"found{i}": F.coalesce(f"found{i}", found),
+                f"inner{i}": rank - below - low,
+                # a missed bracket counts as far too wide: it starts again from the whole range
+                f"rows{i}": F.when(open_(i), F.when(missed, F.lit(1 << 62)).otherwise(inside)),
+                f"miss{i}": open_(i) & missed,
+            }
+        kept = [c for c in state.columns if c.rstrip("0123456789") in ("k", "n", "low", "high", "rank", "lo", "hi")]
+        state = state.join(counted, "k").select(*kept, *[c.alias(n) for n, c in columns.items()]).checkpoint()
+        missing = F.lit(0)
+        for i in searches:
+            missing = F.greatest(missing, F.when(open_(i), F.col(f"rows{i}")).otherwise(0))
+        if state.agg(F.max(missing)).first()[0] <= ordered:
+            break
+        for i in searches:
+            whole = F.col(f"miss{i}")
+            state = state.withColumns({f"lo{i}": F.when(whole, F.col("low")).otherwise(F.col(f"lo{i}")), f"hi{i}": F.when(whole, F.col("high")).otherwise(F.col(f"hi{i}"))})
+        grids = with_state(state).groupBy("k").agg(*[_grid(within(i)).alias(f"grid{i}") for i in searches])
+        narrowed = state.join(grids, "k")
+        for i in searches:
+            wide = open_(i) & ~F.col(f"miss{i}") & (F.col(f"rows{i}") > ordered)
+            lo, hi = _bracket(f"grid{i}", (F.col(f"inner{i}") + 0.5) / F.col(f"rows{i}"), F.col(f"lo{i}"), F.col(f"hi{i}"))
+            narrowed = narrowed.withColumns({f"lo{i}": F.when(wide, lo).otherwise(F.col(f"lo{i}")), f"hi{i}": F.when(wide, hi).otherwise(F.col(f"hi{i}"))})
+        state = narrowed.select(*[c for c in state.columns if not c.startswith(("miss", "inner", "rows"))]).checkpoint()
+    last = with_state(state).groupBy("k").agg(*[F.array_sort(F.collect_list(within(i))).alias(f"in{i}") for i in searches])
+    solved = state.join(last, "k")
+    value = [F.coalesce(f"found{i}", F.try_element_at(f"in{i}", (F.col(f"inner{i}") + 1).cast("int"))) for i in searches]
+    results = []
+    for j, prob in enumerate(probs):
+        # the arithmetic of ``_between``
+        place = (F.col("n") - 1) * F.lit(float(prob))
+        low, high = value[2 * j], value[2 * j + 1]
+        results.append(F.when((F.ceil(place) == F.floor(place)) | (low == high), low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high))
+    return solved.select("k", *[c.alias(n) for c, n in zip(results, names)])
+
+
 def quantiles_by(
     df: DataFrame,
     by: str,
@@ -280,39 +387,17 @@ def quantiles_by(
     probs: Sequence[float],
     names: Sequence[str],
     interior_limit: int = INTERIOR_LIMIT,
-    accuracy: int = ACCURACY,
-    batch: int = 50,
+    ordered: int = ORDERED,
 ) -> DataFrame:
     """Exact quantiles per group as columns ``names``; groups of any size, any number of groups.
 
-    Groups small enough for one task use the built-in percentile. Groups above ``interior_limit``
-    rows (never more than rows / limit of them) are solved by the bracket search, ``batch`` groups
-    per pass.
+    Groups small enough for one task use the built-in percentile. Groups above ``interior_limit`` rows are solved
+    together by ``_hot_quantiles``, to the same double.
     """
-    known = df.withColumn(value, finite(F.col(value).cast("double")))
-    known = known.filter(F.col(by).isNotNull() & F.col(value).isNotNull())
-    sizes = known.groupBy(by).agg(F.count(F.lit(1)).alias("n"))
-    hot = [row[by] for row in sizes.filter(F.col("n") > interior_limit).collect()]
-    key = f"`{by}` {df.schema[by].dataType.simpleString()}"
-    large = df.sparkSession.createDataFrame([(k,) for k in hot], key)
-    cold = (
-        (known.join(large, by, "left_anti") if hot else known)
-        .groupBy(by)
-        .agg(F.percentile(F.col(value).cast("double"), list(probs)).alias("q"))
-        .select(by, *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
-    )
-    if not hot:
-        return cold
-    rows = []
-    for start in range(0, len(hot), batch):
-        part = hot[start : start + batch]
-        found = exact_quantiles(
-            known,
-            {str(i): F.when(F.col(by) == F.lit(k), F.col(value)) for i, k in enumerate(part)},
-            probs,
-            interior_limit=interior_limit,
-            accuracy=accuracy,
-        )
-        rows += [(k, *found.values[str(i)]) for i, k in enumerate(part)]
-    schema = f"{key}, " + ", ".join(f"`{n}` double" for n in names)
-    return cold.unionByName(df.sparkSession.createDataFrame(rows, schema))
+    known = df.select(F.col(by).alias("k"), finite(F.col(value).cast("double")).alias("v")).filter("k IS NOT NULL AND v IS NOT NULL")
+    large = known.groupBy("k").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > interior_limit).persist()
+    some = not large.isEmpty()
+    cold = (known.join(large, "k", "left_anti") if some else known).groupBy("k").agg(F.percentile("v", list(probs)).alias("q"))
+    cold = cold.select("k", *[F.col("q")[i].alias(n) for i, n in enumerate(names)])
+    both = cold.unionByName(_hot_quantiles(known, large, probs, names, ordered)) if some else cold
+    return both.withColumnRenamed("k", by)

@@ -11,6 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -69,7 +70,7 @@ def _locate(buckets: DataFrame, cuts: DataFrame, keys: list[str], step: str) ->
     order = Window.partitionBy(*keys).orderBy(step)
     running = buckets.withColumn("upto", F.sum("n").over(order))
     return (
-        running.join(F.broadcast(cuts), keys)
+        running.join(cuts, keys)
         .withColumn("first", F.col("base") + F.col("upto") - F.col("n"))
         .filter((F.col("first") < F.col("rank")) & (F.col("rank") <= F.col("first") + F.col("n")))
     )
@@ -82,7 +83,9 @@ def _cut_hashes(keyed: DataFrame, buckets: DataFrame, wanted: list[tuple], stype
     cuts = spark.createDataFrame(
         [(s, c, r, 0) for s, c, r in wanted], f"__s {stype}, cut int, rank bigint, base bigint"
     )
-    hits = _locate(buckets, cuts, ["__s"], "__p").collect()
+    # a row a stratum and cut, a hash text at most: broadcast while that is small, else joined as Spark sees fit
+    near = F.broadcast if len(wanted) <= BROADCAST_CELLS else lambda x: x
+    hits = _locate(buckets, near(cuts), ["__s"], "__p").collect()
     while True:
         # At most strata x cuts rows, each known from a bucket of the pass before.
         known = [(h["__s"], h["cut"], h["rank"], h["first"], h["__p"]) for h in hits]
@@ -91,13 +94,13 @@ def _cut_hashes(keyed: DataFrame, buckets: DataFrame, wanted: list[tuple], stype
         )
         targets = cuts.select("__s", "__p").distinct()
         inside = keyed.withColumn("__p", F.substring("__h", 1, width)).join(
-            F.broadcast(targets), ["__s", "__p"]
+            near(targets), ["__s", "__p"]
         )
         last = max(h["n"] for h in hits) <= BUCKET_LIMIT or width >= 3 * PREFIX_STEP
         step = F.col("__h") if last else F.substring("__h", 1, width + PREFIX_STEP)
         finer = inside.withColumn("__q", step).groupBy("__s", "__p", "__q").agg(F.count(F.lit(1)).alias("n"))
         hits = (
-            _locate(finer, cuts, ["__s", "__p"], "__q")
+            _locate(finer, near(cuts), ["__s", "__p"], "__q")
             .select("__s", "cut", "rank", "first", "n", F.col("__q").alias("__p"))
             .collect()
         )
@@ -126,7 +129,8 @@ def assign_slices(
     keyed = df.withColumn("__h", hash_order(df, id_cols, seed, salt)).withColumn(
         "__s", F.col(stratum) if stratum else F.lit(0)
     )
-    narrow = keyed.select("__s", "__h")
+    # the search sees the stratum and the hash alone, kept for its passes and released after them
+    narrow = keyed.select("__s", "__h").persist(StorageLevel.MEMORY_AND_DISK)
     buckets = (
         narrow.groupBy("__s", F.substring("__h", 1, PREFIX_STEP).alias("__p"))
         .agg(F.count(F.lit(1)).alias("n"))
@@ -149,6 +153,7 @@ def assign_slices(
         found = always + (_cut_hashes(narrow, buckets, wanted, stype) if wanted else [])
     finally:
         buckets.unpersist()
+        narrow.unpersist()
 
     slices = max(len(rows) for rows in shares.values()) if shares else 1
     table: dict[object, list[str]] = {s: ["~"] * (slices - 1) for s in shares}
@@ -175,9 +180,9 @@ def assign_slices(
     if not tied:
         return placed.select(*columns, number.alias(out))
     # As many rows as there are cuts inside a group of copies: never more than strata x slices.
-    cut_keys = F.broadcast(
-        df.sparkSession.createDataFrame(list(tied), f"__s {stype}, __h string")
-    )
+    cut_keys = df.sparkSession.createDataFrame(list(tied), f"__s {stype}, __h string")
+    if len(tied) <= BROADCAST_CELLS:
+        cut_keys = F.broadcast(cut_keys)
     plain = placed.join(cut_keys, ["__s", "__h"], "left_anti").select(*columns, number.alias(out))
     copies = placed.join(cut_keys, ["__s", "__h"], "left_semi").select(*columns, "__s", "__h")
     return plain.unionByName(_deal_copies(copies, df.columns, tied, slices, stype, out))
@@ -210,7 +215,9 @@ def _deal_copies(
         .withColumn("__e", F.sum("__n").over(Window.partitionBy("__s", "__h").orderBy(content)))
     )
     share = F.least("__b", "__e") - F.greatest("__a", F.col("__e") - F.col("__n"))
-    dealt = counted.join(F.broadcast(spans), ["__s", "__h"]).withColumn("__m", share).filter("__m > 0")
+    if len(pieces) <= BROADCAST_CELLS:
+        spans = F.broadcast(spans)
+    dealt = counted.join(spans, ["__s", "__h"]).withColumn("__m", share).filter("__m > 0")
     blocks = dealt.withColumn(
         "__block", F.explode(F.sequence(F.lit(0), F.expr(f"CAST((__m - 1) DIV {COPY_BLOCK} AS INT)")))
     ).repartition("__h", out, "__block")

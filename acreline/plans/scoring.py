@@ -1,4 +1,5 @@
-"""Batch scoring: read, check, score, stamp, write, in one map-only job."""
+"""Batch scoring: check, score, stamp, write. No shuffle; the batch is read once to see that it is not empty, once for its
+good records and, in mode ``quarantine``, once for the bad ones."""
 
 from __future__ import annotations
 

@@ -23,7 +23,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def binned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return several_passes(add_stratum(clean(spark, sf_dir)))
+    return add_stratum(clean(spark, sf_dir))
 
 
 def parted(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -217,6 +217,18 @@ def eda_ratio_corr(spark, sf_dir):
     return round_all(profile.target_correlations(district(spark, sf_dir), TARGET, FEATURES, RATIOS))
 
 
+@query(
+    "target_corr_list",
+    f"WITH {DISTRICT}, w AS (SELECT *, "
+    + ", ".join(f"{a} / NULLIF({b}, 0) AS {n}" for n, (a, b) in RATIOS.items())
+    + " FROM district)\n"
+    + "\nUNION ALL ".join(f"SELECT '{c}' AS \"column\", {r(f'corr({c}, {TARGET})')} AS r FROM w" for c in (*FEATURES, *RATIOS, TARGET)),
+)
+def target_corr_list(spark, sf_dir):
+    """The whole list, the target's own row included."""
+    return round_all(profile.target_correlations(district(spark, sf_dir), TARGET, FEATURES, RATIOS, own=True))
+
+
 PAIR_COLUMNS = ("median_house_value", "median_income", "total_rooms", "housing_median_age")
 
 
@@ -229,6 +241,23 @@ def pair_sample(spark, sf_dir):
     return round_all(profile.pair_sample(district(spark, sf_dir), PAIR_COLUMNS, [ID], 1000))
 
 
+def _pair_counts_sql(columns, bins: int) -> str:
+    ranges = ", ".join(f"min({c}) AS l_{c}, max({c}) - min({c}) AS w_{c}" for c in columns)
+    place = ", ".join(f"CASE WHEN {c} IS NOT NULL THEN CAST(least(floor(({c} - l_{c}) / (w_{c} / {bins})), {bins - 1}) AS INTEGER) END AS b_{c}" for c in columns)
+    parts = [
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, b_{a} AS bin_a, b_{b} AS bin_b, count(*) AS n_rows FROM p WHERE b_{a} IS NOT NULL AND b_{b} IS NOT NULL GROUP BY ALL"
+        for i, a in enumerate(columns)
+        for b in columns[i + 1 :]
+    ]
+    return f"WITH {DISTRICT}, g AS (SELECT {ranges} FROM district), p AS (SELECT {place} FROM district, g)\n" + "\nUNION ALL ".join(parts)
+
+
+@query("pair_counts", _pair_counts_sql(PAIR_COLUMNS, 20))
+def pair_counts(spark, sf_dir):
+    """The scatter matrix of all rows, as counts."""
+    return profile.pair_counts(several_passes(district(spark, sf_dir)), PAIR_COLUMNS, 20)
+
+
 @query("pair_rows", f"WITH {DISTRICT}\nSELECT {ID}, {', '.join(f'{r(c)} AS {c}' for c in PAIR_COLUMNS)} FROM district")
 def pair_rows(spark, sf_dir):
     return round_all(profile.pair_rows(district(spark, sf_dir), PAIR_COLUMNS, [ID]))

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from acreline.operators.checks import check_table_name
 from acreline.operators.keys import hash_sample
 
 PREVIEW_ROWS = 100
@@ -34,6 +35,17 @@ def prediction_json() -> Column:
     return F.to_json(F.struct("predicted_value", "service_version", "model_version"))
 
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int, path: str) -> None:
+    """A catalog table whose files hold the rows by the hash of ``key``, sorted: joins and groups of two such tables by
+    that key need no exchange. The files lie below ``path``."""
+    check_table_name(name)
+    if buckets < 1:
+        raise ValueError("buckets start at 1")
+    # a task a bucket: else every task writes a file into every bucket
+    laid = df.repartition(buckets, key)
+    laid.write.format("parquet").option("path", path).bucketBy(buckets, key).sortBy(key).mode("overwrite").saveAsTable(name)
+
+
 def write_metrics(scores: DataFrame, path: str, mode: str = "append") -> None:
     """Scores as JSON lines per set and model, metric names in sorted order."""
     keys = ["set_name", "model"]

@@ -161,3 +161,12 @@ def test_describe_skips_nan_and_infinity(rows):
     df = rows([(1.0,), (2.0,), (3.0,), (float("nan"),), (float("inf"),), (None,)], "v double")
     r = profile.describe(df, ["v"]).first()
     assert (r.n_rows, r.mean, r.min, r.q50, r.max) == (3, 2.0, 1.0, 2.0, 3.0)
+
+
+def test_counts_of_pairs_keep_every_known_pair(rows):
+    df = rows([(0.0, 0.0, None), (10.0, 1.0, 5.0), (10.0, None, 5.0), (float("nan"), 1.0, 5.0), (5.0, 0.5, 5.0)], "a double, b double, c double")
+    got = {tuple(r)[:4]: r["n_rows"] for r in profile.pair_counts(df, ["a", "b", "c"], 2).collect()}
+    assert got == {
+        ("a", "b", 0, 0): 1, ("a", "b", 1, 1): 2, ("a", "c", 1, 0): 3, ("b", "c", 1, 0): 3,
+    }
+    assert profile.pair_counts(df.limit(0), ["a", "b"], 2).count() == 0

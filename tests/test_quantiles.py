@@ -59,6 +59,30 @@ def test_grouped_quantiles_with_a_hot_group(rows, limit):
     assert got == pytest.approx(want)
 
 
+def test_many_hot_groups_to_the_last_bit_in_a_fixed_number_of_jobs(spark, monkeypatch):
+    from acreline.operators import quantiles
+
+    v = F.when(F.col("id") % 11 == 0, 3.0).otherwise(F.pmod(F.xxhash64("id"), F.lit(100_000)) / 7.0)
+    df = spark.range(120_000).select((F.col("id") % 60).alias("k"), F.when(F.col("id") % 60 == 7, 1.5).otherwise(v).alias("v"))
+    probs, names = (0.0, 0.25, 0.5, 0.9, 1.0), ("a", "b", "c", "d", "e")
+    want = {r["k"]: r["q"] for r in df.groupBy("k").agg(F.percentile("v", list(probs)).alias("q")).collect()}
+
+    def jobs(groups, **settings):
+        before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+        got = {r["k"]: list(r)[1:] for r in quantiles_by(df.filter(F.col("k") < groups), "k", "v", probs, names, 10, **settings).collect()}
+        assert got == {k: q for k, q in want.items() if k < groups}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
+
+    counts = [jobs(groups, ordered=20) for groups in (3, 60)]
+    assert counts[1] <= counts[0] + 12
+    monkeypatch.setattr(quantiles, "SENT_GROUPS", 0)
+    jobs(60, ordered=20)
+    monkeypatch.setattr(quantiles, "REACH", -0.02)  # brackets that miss start again from the whole range
+    monkeypatch.setattr(quantiles, "SENT_GROUPS", 100)
+    got = {r["k"]: list(r)[1:] for r in quantiles_by(df.filter("k < 2"), "k", "v", probs, names, 10, ordered=5_000).collect()}
+    assert got == {k: want[k] for k in (0, 1)}
+
+
 def test_mode_takes_the_smallest_on_a_tie(rows):
     df = rows([(1.0, "b"), (1.0, "a"), (2.0, "a"), (2.0, "b"), (None, None)], "x double, s string")
     assert modes(df, {"x": F.col("x")}, "double") == {"x": 1.0}

@@ -38,3 +38,8 @@ def test_clusters_and_hotspots(spark):
     again = QUERIES["geo_hotspots"](spark, SF).toPandas()
     key = ["district_id"]
     assert spots.sort_values(key).reset_index(drop=True).equals(again.sort_values(key).reset_index(drop=True))
+
+
+def test_named_tables_in_buckets_meet_without_an_exchange(spark):
+    plan = QUERIES["bucketed_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("Bucketed: true") == 2
