@@ -1,4 +1,9 @@
-"""A corpus from raw documents to shards: quality, near-duplicates, benchmark leaks, mixture, shards."""
+"""A corpus from raw documents to a plan of its shards: quality, near-duplicates, benchmark leaks, mixture, shards.
+
+Every stage handles odd rows as its operator does: a null text is an empty one, rows with a null id are rows like any other
+(they come last where order counts), repeated rows are judged one by one except by the near-duplicate stage, which keeps one,
+an empty table gives an empty table, and columns beyond those of ``documents`` stay up to the last stage.
+"""
 
 from __future__ import annotations
 
@@ -19,7 +24,8 @@ SHARE = "0.95"
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score at least 0.3 stay. The ranker learns from labelled documents of ``docs``."""
+    """Documents that score at least 0.3 stay. The ranker learns from labelled documents of ``docs``; without labels of both
+    kinds all stay."""
     ranker = pairwise_quality.fit_quality(docs, table(spark, sf_dir, "labels"))
     score = free_name(docs, "__score")
     kept = pairwise_quality.score_quality(docs, ranker, out=score).filter(F.col(score) >= pairwise_quality.THRESHOLD)
@@ -27,12 +33,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of 5-word Jaccard 0.8 or more stays: that with the smallest doc_id."""
+    """One document of each group of 5-word Jaccard 0.8 or more stays: that with the smallest doc_id. Texts without words are
+    one group."""
     return similar_texts.drop_similar_texts(docs, words=5).select(*docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a benchmark window occurs go."""
+    """Documents in which a benchmark window occurs go; an empty benchmark lets all stay."""
     return decontaminate.drop_contaminated(docs, table(spark, sf_dir, "benchmark")).select(*docs.columns)
 
 
@@ -46,7 +53,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's shard and its slot there."""
+    """The plan of the shards: every document's shard and its slot there. Texts stay in the table of the stage before; a
+    writer joins them by doc_id."""
     rows = docs.select("doc_id", F.crc32("text").alias("text_crc32"), "lang", "source", "n_chars")
     return ring_shards.assign_shards(rows, shards=40, key="doc_id", ties=("text_crc32",)).drop("text_crc32", "home_shard")
 
