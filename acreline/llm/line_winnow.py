@@ -26,11 +26,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -38,40 +36,51 @@ from pyspark.sql import functions as F
 from acreline.llm.common import checkpointed, free_name, texts, written
 
 WORDS, NEAR, GRAM, MIN_WORDS = 16, 2, 2, 30
-#: Words whose hashes a worker keeps.
-KNOWN = 1 << 18
 #: Code points that are cut at a time.
 GROUP = 1 << 18
-_UNIT = re.compile(r"[^\n.!?]*+[.!?]*+\s*+")
-_WORD = re.compile(r"\s*+\S++\s*+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
+#: ASCII blanks and sentence ends by byte; other blanks become a space before the bytes are looked at.
+_BLANK, _END = np.zeros(256, bool), np.zeros(256, bool)
+_BLANK[[*range(9, 14), *range(28, 33)]] = True
+_END[list(b".!?")] = True
+_WIDE = re.compile("[^\\S\x00-\x7f]")
 
 
-class _Hashes(dict):
-    """Numbers of words, whose hashes are made once; emptied when it has grown to ``KNOWN`` words."""
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
-    def __init__(self) -> None:
-        super().__init__()
-        self.table, self.new = np.zeros(0, np.uint64), []
+_BYTE = _mixed(np.arange(1, 257, dtype=np.uint64) * _BASE)
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        self.new.append(xxhash.xxh64_intdigest(word, 3))
-        return number
 
-    def of(self, words: list[str]) -> np.ndarray:
-        if len(self) > KNOWN:
-            self.clear()
-            self.table = np.zeros(0, np.uint64)
-        numbers = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        if self.new:
-            self.table = np.concatenate([self.table, np.array(self.new, np.uint64)])
-            self.new = []
-        return self.table[numbers]
+_POWERS: dict[int, np.ndarray] = {}
 
 
-_KNOWN = _Hashes()
+def _powers(n: int, base: np.uint64) -> np.ndarray:
+    """base^0 to base^n; those of usual lengths are kept."""
+    held = _POWERS.get(int(base), np.zeros(0, np.uint64))
+    if len(held) <= n:
+        held = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(max(n, GROUP), base, np.uint64))))
+        if n <= 2 * GROUP:
+            _POWERS[int(base)] = held
+    return held[: n + 1]
+
+
+def _word_hashes(b: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Hash of each word [start, stop) of the bytes: the sum of byte hashes times powers of a base, from its first byte on."""
+    out = np.zeros(len(start), np.uint64)
+    at = 0
+    while at < len(start):
+        upto = max(at + 1, int(np.searchsorted(start, start[at] + GROUP)))
+        low, size = int(start[at]), int(stop[upto - 1] - start[at])
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTE[b[low : low + size]] * _powers(size, _BASE)[:size])))
+        first, last = start[at:upto] - low, stop[at:upto] - low
+        out[at:upto] = (total[last] - total[first]) * _powers(size, _BACK)[first]
+        at = upto
+    return _mixed(out + (stop - start).astype(np.uint64))
 
 
 def _cut_places(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
@@ -84,48 +93,78 @@ def _cut_places(h: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarra
         same = sentence[d:] == sentence[:-d]
         low[d:] &= ~same | (x[d:] < x[:-d])
         low[:-d] &= ~same | (x[:-d] < x[d:])
-    cut = np.unique(np.concatenate([at[low] + 1, start, stop]))  # pieces so far begin here
+    begins = np.zeros(len(h) + 1, bool)
+    for places in (at[low] + 1, start, stop):
+        begins[places] = True
+    cut = np.flatnonzero(begins)  # pieces so far begin here
     # pieces lie inside one sentence, or between two; only those inside are cut again
     size = np.diff(cut)
     inside = np.searchsorted(start, cut[:-1], "right") - 1
     extra = np.where((inside >= 0) & (cut[:-1] < stop[np.maximum(inside, 0)]), (size - 1) // WORDS, 0)
     more = np.repeat(cut[:-1], extra) + (np.arange(extra.sum()) - np.repeat(np.cumsum(extra) - extra, extra) + 1) * WORDS
-    return np.unique(np.concatenate([cut, more]))
+    begins[more] = True
+    return np.flatnonzero(begins)
+
+
+def _plain(text: str) -> bytes:
+    """UTF-8 with blanks beyond ASCII as spaces: as many code points, the same words."""
+    return (_WIDE.sub(" ", text) if not text.isascii() else text).encode()
 
 
 def _unit_sizes(rows: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes of all words, words of each unit, code points of each unit, units of each text), all texts at once."""
-    found = list(map(_UNIT.findall, rows))  # the last match of a text is empty
-    sentences = [u for units_ in found for u in units_ if u]
-    split = list(map(str.split, sentences))
-    words = np.fromiter(map(len, split), np.int64, len(split))
-    chars = np.fromiter(map(len, sentences), np.int64, len(split))
-    h = _KNOWN.of(list(chain.from_iterable(split)))
-    total, begin = np.concatenate(([0], np.cumsum(words))), np.concatenate(([0], np.cumsum(chars)))
-    word_at, char_at = total[:-1], begin[:-1]
+    """(hashes of all words, words of each unit, code points of each unit, units of each text), all texts at once.
+
+    A word is a run of other bytes than blanks, cut where a sentence ends inside. A sentence begins with a text, behind a
+    sentence end, and behind blanks with a line feed.
+    """
+    data = list(map(_plain, rows))
+    size = np.fromiter(map(len, data), np.int64, len(data))
+    begin = np.concatenate(([0], np.cumsum(size)))
+    b = np.frombuffer(b"".join(data), np.uint8)
+    del data
+    solid = ~_BLANK[b]
+    edge = np.zeros(len(b) + 1, bool)
+    edge[begin] = True
+    before = np.concatenate(([False], solid[:-1])) if len(b) else solid
+    first = np.flatnonzero(solid & (~before | edge[:-1]))
+    last = np.flatnonzero(solid & (np.concatenate((~solid[1:], [True])) | edge[1:])) + 1 if len(b) else first
+    end = _END[b]
+    behind = np.concatenate(([False], end[:-1])) if len(b) else end
+    inside = solid & ~end & behind & before & ~edge[:-1]
+    opens = np.zeros(len(b) + 1, bool)
+    opens[first] = True
+    start = np.flatnonzero(opens[:-1] | inside)
+    word = np.cumsum(opens[start]) - 1  # the run of solid bytes that a word lies in
+    stop = last[word] if len(start) else start
+    same = np.flatnonzero(~opens[start[1:]]) if len(start) else start
+    stop[same] = start[same + 1]
+    # where sentences begin
+    text = np.searchsorted(begin, start, "right") - 1
+    gap = np.maximum(np.concatenate(([0], last[:-1]))[word], begin[text]) if len(start) else start
+    feeds = np.flatnonzero(b == 10)
+    feed = np.searchsorted(feeds, start) > np.searchsorted(feeds, gap)
+    ended = (gap > begin[text]) & end[np.maximum(gap - 1, 0)] if len(b) else feed
+    begins = np.zeros(len(b) + 1, bool)
+    begins[begin[:-1]] = True
+    begins[start[~opens[start] | feed | ended]] = True
+    sentence = np.flatnonzero(begins[:-1])
+    words = np.bincount(np.searchsorted(sentence, start, "right") - 1, minlength=len(sentence))
+    h = _word_hashes(b, start, stop)
+    total = np.concatenate(([0], np.cumsum(words)))
     long = np.flatnonzero(words > WORDS)
+    at = sentence
+    word_at = total[:-1]
     if len(long):
         cut = _cut_places(h, total[long], total[long + 1])
-        # code points before each word of the long sentences, counted from the first of them
-        size = np.fromiter(map(len, chain.from_iterable(split[k] for k in long.tolist())), np.int64)
-        base = np.concatenate(([0], np.cumsum(words[long])))
-        # n words with n - 1 blanks have one between any two, and so have those with n blanks if the last one ends the sentence
-        blanks = chars[long] - np.add.reduceat(size, base[:-1]) - words[long]
-        size += 1
-        for i in np.flatnonzero(blanks >= 0).tolist():
-            sentence = sentences[long[i]]
-            if blanks[i] or not sentence[-1].isspace():
-                size[base[i] : base[i + 1]] = list(map(len, _WORD.findall(sentence)))
-        before = np.concatenate(([0], np.cumsum(size)))
         which = np.searchsorted(total[long], cut, "right") - 1
-        inner = (cut > total[long[which]]) & (cut < total[long[which] + 1])
-        cut, which = cut[inner], which[inner]
-        place = begin[long[which]] + before[base[which] + cut - total[long[which]]] - before[base[which]]
-        order = np.argsort(np.concatenate([char_at, place]), kind="stable")
-        word_at, char_at = np.concatenate([word_at, cut])[order], np.concatenate([char_at, place])[order]
-    ends = np.cumsum(np.fromiter(map(len, rows), np.int64, len(rows)))
-    per_text = np.diff(np.concatenate(([0], np.searchsorted(char_at, ends))))
-    return h, np.diff(np.append(word_at, total[-1])), np.diff(np.append(char_at, begin[-1])), per_text
+        cut = cut[(cut > total[long[which]]) & (cut < total[long[which] + 1])]
+        order = np.argsort(np.concatenate([sentence, start[cut]]), kind="stable")
+        at, word_at = np.concatenate([sentence, start[cut]])[order], np.concatenate([word_at, cut])[order]
+    later = np.flatnonzero((b & 0xC0) == 0x80)  # bytes that begin no code point
+    place = np.append(at, len(b))
+    chars = np.diff(place - np.searchsorted(later, place))
+    per_text = np.diff(np.searchsorted(at, begin))
+    return h, np.diff(np.append(word_at, total[-1])), chars, per_text
 
 
 def units(text: str) -> list[str]:
@@ -136,15 +175,10 @@ def units(text: str) -> list[str]:
 
 def _unit_hashes(h: np.ndarray, words: np.ndarray) -> np.ndarray:
     """A hash of each unit's words, from the words' hashes: the sum of h_i B^i over the unit, its first power taken out."""
-    power = np.cumprod(np.full(len(h), _BASE, np.uint64)) if len(h) else np.zeros(0, np.uint64)
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * power)))
+    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * _powers(len(h), _BASE)[1:])))
     end = np.cumsum(words)
     start = end - words
-    back = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(len(h), _BACK, np.uint64))))
-    x = (total[end] - total[start]) * back[start] + words.astype(np.uint64)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return (x ^ (x >> np.uint64(31))).view(np.int64)
+    return _mixed((total[end] - total[start]) * _powers(len(h), _BACK)[start] + words.astype(np.uint64)).view(np.int64)
 
 
 def squeezed(h: np.ndarray) -> np.ndarray:
@@ -178,7 +212,9 @@ def winnow(h: np.ndarray, words: np.ndarray, per_text: np.ndarray, min_words: in
         open_ = open_[first[open_] + d <= last[open_]]
         there = first[open_] + d
         best[open_] = np.where(gram[there] <= gram[best[open_]], there, best[open_])
-    at = np.unique(best)
+    taken = np.zeros(len(h), bool)
+    taken[best] = True
+    at = np.flatnonzero(taken)
     return gram[at].view(np.int64), at
 
 

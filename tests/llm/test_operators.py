@@ -1,5 +1,6 @@
 """Each operator against brute force, and on nulls, empty and long texts, ties, repeats and empty tables."""
 
+import functools
 import hashlib
 import random
 import re
@@ -217,6 +218,18 @@ def test_repeats_by_words(spark, docs):
             at += len(unit)
 
 
+@functools.cache
+def plain_hash(word):
+    """The hash that says where long sentences are cut, byte by byte."""
+    all_, total, power = (1 << 64) - 1, 0, 1
+    for byte in word.encode():
+        total, power = (total + int(line_winnow._BYTE[byte]) * power) & all_, power * int(line_winnow._BASE) & all_
+    x = (total + len(word.encode())) & all_
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & all_
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & all_
+    return x ^ (x >> 31)
+
+
 def plain_units(text):
     """Units one word at a time."""
     out = []
@@ -226,7 +239,7 @@ def plain_units(text):
             out += [sentence] if sentence else []
             continue
         spaced = re.findall(r"\s*\S+\s*", sentence)
-        h, begin = [xxhash.xxh64_intdigest(w, 3) for w in words], 0
+        h, begin = [plain_hash(w) for w in words], 0
         for i in range(len(h)):
             near = h[max(0, i - line_winnow.NEAR) : i] + h[i + 1 : i + 1 + line_winnow.NEAR]
             if h[i] < min(near) or i + 1 - begin == line_winnow.WORDS:
@@ -241,7 +254,8 @@ def test_units_and_their_hashes():
     made = [" ".join(rng.choice(["a", "bb", "c\n", "dd.", "  e"]) if rng.random() < 0.2 else "w%d" % rng.randrange(400) for _ in range(rng.randrange(90))) for _ in range(150)]
     many = " ".join("v%d" % rng.randrange(10**6) for _ in range(40))
     blanks = [many.replace(" ", "  ", 1), " " + many, many + " ", many.replace(" ", "\t", 1) + "  ", many.replace(" ", "\u3000", 3), many + "\n" + many.replace(" ", "  ", 1)]
-    rows = ["", " \n ", "one", "...", LONG[:5_000], *blanks, *made]
+    odd = ["a.b!c? d...e\u3000f\u00a0g\u2028h. \x1ci j\x85k.\n\n  l", "  \n  abc", "  ...abc", ". . a", "é.é ü!ü ", " " * 50, "1.2.3.4 " * 30, " ".join("é%d.ü" % i for i in range(90))]
+    rows = ["", " \n ", "one", "...", LONG[:5_000], "x" * 300_000 + " y" * 40, *odd, *blanks, *made]
     cut = line_winnow._cut(rows).to_pylist()
     named = {}
     for text, c in zip(rows, cut):
