@@ -324,18 +324,25 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     place = F.explode(F.arrays_zip("g", "p")).alias("x")
     prints = laid.select("id", "digest", place).select("x.g", "id", "digest", F.col("x.p").alias("at"))
     order = F.struct(F.col("id").isNull().alias("lone"), "id", "digest", "at")
-    firsts = prints.groupBy("g").agg(F.count("*").alias("n"), F.min(order).alias("first")).filter("n > 1").select("g", "first")
-    later = prints.join(firsts, "g").filter(order > F.col("first"))
+    again = prints.groupBy("g").count().filter("count > 1").select("g")
+    again = written(prints.join(again, "g"), "winnow")  # few of all fingerprints
+    firsts = again.groupBy("g").agg(F.min(order).alias("first"))
+    later = again.join(firsts, "g").filter(order > F.col("first"))
     pairs = later.groupBy("id", "digest", F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
-    pairs = checkpointed(pairs.agg(F.collect_set(F.col("at") - F.col("first.at")).alias("shifts")))  # its diagonals
+    pairs = pairs.agg(F.collect_set(F.col("at") - F.col("first.at")).alias("shifts"))  # its diagonals
+    pairs = checkpointed(pairs.withColumn("pair", F.monotonically_increasing_id()))
 
     # one row a text; texts under one id that are equal are rare, so the plan looks for them first
     one = laid
     if not laid.groupBy("id", "digest").count().filter("count > 1").isEmpty():
         one = written(laid.dropDuplicates(["id", "digest"]), "winnow")
-    other = one.select(F.col("id").alias("i"), F.col("digest").alias("d"), F.col("h").alias("other"))
-    pairs = pairs.join(other, F.col("first_id").eqNullSafe(F.col("i")) & (F.col("first_digest") == F.col("d")))
-    pairs = pairs.select(F.col("id").alias("i"), F.col("digest").alias("d"), "first_id", "shifts", "other")
+    # the hashes of both texts of a pair, from one shuffle of the texts' hashes
+    first = F.struct("pair", F.lit(True).alias("first"), F.col("first_id").alias("i"), F.col("first_digest").alias("d"))
+    own = F.struct("pair", F.lit(False).alias("first"), F.col("id").alias("i"), F.col("digest").alias("d"))
+    sides = pairs.select(F.inline(F.array(first, own)))
+    hashes = one.select("id", "digest", "h").join(sides, F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d")))
+    hashes = hashes.groupBy("pair").agg(F.sort_array(F.collect_list(F.struct("first", "h"))).alias("both"))
+    pairs = pairs.join(hashes, "pair").select("id", "digest", "first_id", "shifts", F.col("both")[0]["h"].alias("h"), F.col("both")[1]["h"].alias("other"))
 
     @F.arrow_udf("array<struct<a: int, b: int>>")
     def runs(shifts: pa.Array, later: pa.Array, first: pa.Array) -> pa.Array:
@@ -347,7 +354,7 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.array(out, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))
 
     same = F.col("id").eqNullSafe(F.col("i")) & (F.col("digest") == F.col("d"))
-    spans = pairs.join(one.select("id", "digest", "h"), same).select("id", "digest", "first_id", F.explode(runs("shifts", "h", "other")).alias("s"))
+    spans = pairs.select("id", "digest", "first_id", F.explode(runs("shifts", "h", "other")).alias("s"))
     spans = spans.groupBy(F.col("id").alias("i"), F.col("digest").alias("d")).agg(
         F.collect_set("s").alias("s"), F.array_sort(F.collect_set("first_id")).alias("sources")
     )
