@@ -109,13 +109,14 @@ def select_mix(
     seed: int = 6,
     id_col: str = "doc_id",
     text_col: str = "text",
+    out: str = "mix",
 ) -> DataFrame:
-    """The chosen rows, one per epoch, plus a struct column ``mix``: leaf names, epoch, tokens of the
+    """The chosen rows, one per epoch, plus a struct column ``out``: leaf names, epoch, tokens of the
     text (null inside a whole epoch, where nothing depends on it), tokens used of it.
 
-    The budget is ``share`` (a fraction or decimal as text) of all tokens of ``docs``. A column ``mix`` in ``docs`` is an error.
+    The budget is ``share`` (a fraction or decimal as text) of all tokens of ``docs``. A column ``out`` in ``docs`` is an error.
     """
-    claim(docs, "mix")
+    claim(docs, out)
     part = Fraction(share)
     names = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(f"n{k}") for k, c in enumerate(levels)]
     path = [f"n{k}" for k in range(len(levels))]
@@ -161,12 +162,12 @@ def select_mix(
     edge = edge.withColumn(used, p("rest") - p("start") - (run - F.col(count))).filter(F.col(used) > 0)
     edge = edge.withColumn(used, F.least(used, count)).drop(count)
     mix = F.struct(*(F.col(f"{leaf}.n{k}").alias(c) for k, c in enumerate(levels)), F.col(epoch).cast("int").alias("epoch"), F.col(used).alias("cut_at"))
-    return inside.unionByName(edge).withColumn("mix", mix).drop(mine, leaf, epoch, used)
+    return inside.unionByName(edge).withColumn(out, mix).drop(mine, leaf, epoch, used)
 
 
-def mix_tokens(text: Column) -> Column:
+def mix_tokens(text: Column, out: str = "mix") -> Column:
     """Tokens used of a chosen row of ``select_mix``: all, or up to where the leaf's prefix ends."""
-    return F.coalesce("mix.cut_at", token_count(text))
+    return F.coalesce(f"{out}.cut_at", token_count(text))
 
 
 def mix_sql(domain_sql: str, weights: Mapping[str, Mapping[str, int]], share: str, max_epochs: int, seed: int) -> str:

@@ -5,6 +5,7 @@ import sys
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), "tools"))
 
@@ -66,3 +67,17 @@ def test_stages_of_nothing(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, docs, SF).count() == 0
+
+
+def test_stages_with_columns_of_their_own_names(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    odd = spark.createDataFrame([(None, None, None, None, None), (7, "", None, "x", 0), (7, "", None, "x", 0)], docs.schema)
+    docs = docs.union(odd)
+    for c in ("mix", "score", "quality", "contamination", "shard", "slot", "home_shard", "domain", "digest", "trie", "l", "n0", "id", "fp", "text_crc32"):
+        docs = docs.withColumn(c, F.lit("kept"))
+    for name, stage in corpus_pipeline.STAGES:
+        out = written(stage(spark, docs, SF), name)
+        assert out.count() >= 1
+        if name != "sharding":
+            assert out.columns == docs.columns and {r["mix"] for r in out.select("mix").distinct().collect()} == {"kept"}
+        docs = out
