@@ -48,7 +48,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     name = free_name(docs, "__domain")
     levels = (name, "lang", "source")
     weights = {name: WEIGHTS["domain"], "lang": WEIGHTS["lang"]}
-    mixed = mixing.select_mix(docs.withColumn(name, domain(F.col("source"))), levels, weights, share=SHARE)
+    mixed = mixing.select_mix(docs.withColumn(name, domain(F.col("source"))), levels, weights, share=SHARE, out=free_name(docs, "__mix"))
     return mixed.select(*docs.columns)
 
 
