@@ -119,6 +119,24 @@ def test_learns_from_a_bounded_number_of_rows(spark):
     assert a.nodes.n[a.roots].tolist() == [120, 120] and np.array_equal(a.nodes.value, b.nodes.value)
 
 
+@pytest.mark.parametrize("hot", [False, True])
+def test_first_rows_without_a_task_that_reads_the_table(spark, hot, tmp_path):
+    from acreline.operators.boosting import first_rows
+
+    key = F.xxhash64("id") if not hot else F.when(F.col("id") % 3 == 0, F.xxhash64("id")).when(F.col("id") % 3 == 1, F.lit(-(1 << 62)))
+    rows = spark.range(40_000, numPartitions=40).select(key.alias("key"), F.pmod(F.hash("id"), F.lit(5000)).alias("label"), "id")
+    rows.union(rows.filter("id < 500")).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    found = first_rows(rows, 150, "key", "label", "id")
+    assert found.collect() == rows.orderBy("key", "label", "id").limit(150).collect()
+    assert first_rows(rows, 50_000, "key", "label", "id").count() == 40_500
+    # rows that meet in the last task: with a plain limit 150 of each of the 40 partitions did
+    plan = found._jdf.queryExecution()
+    assert plan.optimizedPlan().toString().count("Filter") >= 1
+    before_last = plan.analyzed().children().head().children().head()
+    assert spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, before_last).count() <= 4 * 150
+
+
 def test_bins():
     v = np.array([3.0, 1.0, np.nan, 2.0, 2.0])
     assert bin_cuts(v, 255).tolist() == [1.5, 2.5]
