@@ -39,6 +39,21 @@ def test_several_columns_and_riding_aggregates(rows):
         assert found.extra == {"top": 99.0}
 
 
+def test_a_wide_bracket_is_narrowed_before_its_values_are_put_in_order(spark, monkeypatch):
+    from acreline.operators import quantiles
+
+    v = F.pmod(F.xxhash64("id"), F.lit(1_000_003)) / 7.0
+    df = spark.range(60_000, numPartitions=30).select(v.alias("a"), (-v * v).alias("b"), F.when(F.col("id") % 3 != 0, 2.5).otherwise(v).alias("c"))
+    want = df.agg(*[F.percentile(c, [0.25, 0.5, 0.9]).alias(c) for c in "abc"]).first()
+    ordered, disc = [], quantiles._disc
+    monkeypatch.setattr(quantiles, "INNER_LIMIT", 100)
+    monkeypatch.setattr(quantiles, "_disc", lambda column, probs: ordered.extend(probs) or disc(column, probs))
+    found = exact_quantiles(df, {c: F.col(c) for c in "abc"}, (0.25, 0.5, 0.9), interior_limit=50_000)
+    assert found.values == {c: list(want[c]) for c in "abc"}
+    # the lowest share of n values in order is 1 / (2 n)
+    assert ordered and min(min(p, 1 - p) for p in ordered) >= 0.5 / 100
+
+
 def test_a_missed_bracket_is_widened(rows):
     from acreline.operators import quantiles
 
