@@ -23,6 +23,7 @@ presets of a thousand rounds practical on a bounded number of labelled rows (``l
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import os
 from collections.abc import Iterator, Mapping, Sequence
@@ -53,6 +54,8 @@ CELLS = 1 << 23
 #: Gradients are integers below 2^GRADIENT: a batch of 2^17 rows adds up exactly in a double.
 GRADIENT = 34
 BINS = 256
+#: Rows of a partition of ``SparkRows`` at most (some 50 bytes each), and those a task adds up at a time.
+PART_ROWS, BLOCK = 1 << 20, 1 << 16
 #: First rows of a table are searched for in groups of so many times the rows wanted.
 FAN = 4
 #: Rounds after which the table of ``SparkRows`` is cut off by a checkpoint.
@@ -375,23 +378,40 @@ class HeldRows:
         self.prediction += value[self.node]
 
 
-STATE = "bins binary, label double, key long, prediction double"
+STATE, SUMS = "bins binary, label double, key long, prediction double", "slot int, n binary, g binary"
 
 
 def _counted(batches: Iterator[pa.RecordBatch], tree: Tree, wanted: list[int], round_: int, scale: float, s: Boosting, seed: int, width: int, columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sums of a whole task: one row for each cell that has rows."""
+    """Sums of a whole task: a row for each node that has rows there, its counts and gradient sums as bytes."""
     slot = np.full(len(tree.feature), -1, np.int64)
     slot[wanted] = np.arange(len(wanted))
     n, total = np.zeros((2, len(wanted), len(columns), BINS), np.int64)
-    for batch in batches:
-        bins = _bytes(batch.column(0), width)
-        label, key, prediction = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2, 3))
+    for bins, label, key, prediction in _blocks(batches, width):
         where = slot[tree.leaf_of(bins)]
         rows = np.flatnonzero((where >= 0) & drawn(key, round_, s, seed))
         found = added(cells_of(bins[rows], columns), where[rows], gradients(prediction[rows], label[rows], scale), len(wanted))
-        n, total = n + found[0], total + found[1]
-    cell, n, total = np.flatnonzero(n), n.reshape(-1), total.reshape(-1)
-    yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(n[cell]), pa.array(total[cell])], ["cell", "n", "g"])
+        n += found[0]
+        total += found[1]
+    some = np.flatnonzero(n[:, 0].sum(axis=1)).tolist()
+    cells = [pa.array([x[i].tobytes() for i in some], pa.binary()) for x in (n, total)]
+    yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), *cells], ["slot", "n", "g"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(bins, label, key, prediction) of many batches at once: sums are as large as the nodes wanted, however few the rows."""
+    kept: list[pa.RecordBatch] = []
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            kept.append(batch)
+        if kept and (batch is None or sum(b.num_rows for b in kept) >= BLOCK):
+            yield np.concatenate([_bytes(b.column(0), width) for b in kept]), *(np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in kept]) for i in (1, 2, 3))
+            kept = []
+
+
+def _merged(parts: pa.Table) -> pa.Table:
+    """The sums of one node from those of the tasks."""
+    cells = [sum(np.frombuffer(x.as_py(), np.int64) for x in parts.column(i)).tobytes() for i in (1, 2)]
+    return pa.table([parts.column(0).slice(0, 1), pa.array([cells[0]], pa.binary()), pa.array([cells[1]], pa.binary())], ["slot", "n", "g"])
 
 
 def _moved(batches: Iterator[pa.RecordBatch], tree: Tree, value: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
@@ -405,9 +425,11 @@ class SparkRows:
 
     ahead = 1 << 10
 
-    def __init__(self, table: DataFrame, width: int, base: float, scale: float, s: Boosting, seed: int) -> None:
+    def __init__(self, table: DataFrame, rows: int, width: int, base: float, scale: float, s: Boosting, seed: int) -> None:
         ensure_checkpoint_dir(table.sparkSession)
-        self.state = table.withColumn("prediction", F.lit(base)).persist(StorageLevel.MEMORY_AND_DISK)
+        # every wave starts a task a partition, whose sums are shuffled: as few as keep all cores busy and stay small
+        parts = max(table.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
+        self.state = table.coalesce(parts).withColumn("prediction", F.lit(base)).persist(StorageLevel.MEMORY_AND_DISK)
         self.width, self.scale, self.s, self.seed = width, scale, s, seed
 
     def _sums(self, tree: Tree, wanted: list[int]) -> tuple[np.ndarray, np.ndarray]:
@@ -416,10 +438,10 @@ class SparkRows:
         for at in range(0, len(wanted), step):
             some = wanted[at : at + step]
             count = partial(_counted, tree=tree, wanted=some, round_=self.round, scale=self.scale, s=self.s, seed=self.seed, width=self.width, columns=self.columns)
-            cells = self.state.mapInArrow(count, "cell long, n long, g long").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("g").alias("g")).toArrow()
-            cell = cells["cell"].to_numpy()
+            sums = self.state.mapInArrow(count, SUMS).groupBy("slot").applyInArrow(_merged, SUMS).toArrow()
             for out, name in ((n, "n"), (g, "g")):
-                out[at : at + len(some)].reshape(-1)[cell] = cells[name].to_numpy()
+                for slot, cells in zip(sums["slot"].to_pylist(), sums[name]):
+                    out[at + slot] = np.frombuffer(cells.as_py(), np.int64).reshape(out.shape[1:])
         return n, g
 
     def start(self, round_: int, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -560,7 +582,7 @@ def fit_groups(matrices: Sequence[DataFrame], features: Column, label: Column, k
             nodes[i] = grown.filter(pc.equal(grown["fit"], i)).sort_by([("tree", "ascending"), ("node", "ascending")])
     for i, p in enumerate(plans):
         if i not in small:
-            rows = SparkRows(p.table, len(p.cuts), p.base, p.scale, s, seed)
+            rows = SparkRows(p.table, p.rows, len(p.cuts), p.base, p.scale, s, seed)
             nodes[i] = _node_table(i, boost(rows, len(p.cuts), s, seed))
             rows.release()
     if s.learn_rows:

@@ -111,6 +111,23 @@ def test_rows_in_partitions_give_the_same_trees(spark, s):
         assert np.array_equal(getattr(a.nodes, name), getattr(b.nodes, name)), name
 
 
+def test_a_wave_shuffles_a_row_a_node_and_task(spark):
+    from acreline.operators import boosting
+
+    x, y = sample(600)
+    s = Boosting(rounds=1, depth=4, held_rows=1)
+    df = frame(spark, x, y).repartition(50)
+    plan = boosting._planned(df, F.col("features"), F.col("label"), F.col("k"), s)
+    rows = boosting.SparkRows(plan.table, plan.rows, len(plan.cuts), plan.base, plan.scale, s, 1)
+    assert rows.state.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    n, g = rows.start(0, np.arange(4))
+    assert n.shape == (1, 4, 256) and n.sum(axis=2).tolist() == [[600] * 4]
+    batch = rows.state.select("bins", "label", "key", "prediction").toArrow().to_batches()
+    made = list(boosting._counted(iter(batch), rows.tree, [0], 0, plan.scale, s, 1, 4, np.arange(4)))
+    assert sum(b.num_rows for b in made) == 1 and np.array_equal(np.frombuffer(made[0].column(1)[0].as_py(), np.int64).reshape(4, 256), n[0])
+    rows.release()
+
+
 def test_learns_from_a_bounded_number_of_rows(spark):
     x, y = sample(400)
     df = frame(spark, x, y)
