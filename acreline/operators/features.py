@@ -5,7 +5,7 @@ Pass 1  medians / means / modes of the raw inputs, category vocabulary
 Pass 2  on imputed inputs: medians of the ratios; mean and deviation of logs, remainder, coordinates
 Pass 3  weighted K-Means on the scaled coordinates (on distinct positions only)
 Pass 4  mean and deviation of imputed ratios and of the similarities; fill values of the final
-        clean-up for the columns that can still be missing
+        clean-up for the columns that can still be missing (on large tables the medians of pass 1 give them)
 """
 
 from __future__ import annotations
@@ -43,6 +43,7 @@ from acreline.operators.impute import (
     fill_values,
     require_filled,
 )
+from acreline.operators.quantiles import between
 from acreline.operators.quantiles import categories as category_counts
 
 UNKNOWN_MODES = ("error", "ignore", "infrequent_if_exist")
@@ -167,6 +168,29 @@ def cleaned_columns(spec: FeatureSpec, learned: Mapping[str, Any]) -> dict[str,
     return columns
 
 
+def _final_medians(
+    train: DataFrame,
+    outputs: Mapping[str, Column],
+    sources: Mapping[str, str],
+    middles: Mapping[str, tuple[int, float, float]],
+    fills: Mapping[str, float],
+    rows: int,
+) -> dict[str, float]:
+    """Medians of outputs that no row lacks, without a pass over the rows.
+
+    A scaled logarithm never falls as its input grows, so the middle values of the output are the outputs of the
+    input's middle values. Of an input with gaps the fill value, its median, stands in the middle then.
+    """
+    if not outputs:
+        return {}
+    ends = []
+    for side in (1, 2):
+        ends.append([middles[c][side] if middles[c][0] == rows else float(fills[c]) for c in sources.values()])
+    middle = train.sparkSession.createDataFrame(ends, ", ".join(f"`{c}` double" for c in sources.values()))
+    low, high = (r.asDict() for r in middle.select(*[v.alias(n) for n, v in outputs.items()]).collect())
+    return {n: between(rows, 0.5, *sorted((low[n], high[n]))) for n in outputs}
+
+
 def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str, ...], seed: int) -> dict[str, Any]:
     """Everything the model needs, from the given rows only (pass the training rows)."""
     spec.check()
@@ -186,7 +210,8 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     extra = {"rows": F.count(F.lit(1))}
     if weight is not None:
         extra["bad_weights"] = bad_weights(weight)
-    fills, found = fill_values(train, raw, spec.numeric_strategy, extra)
+    middles: dict[str, tuple[int, float, float]] = {}
+    fills, found = fill_values(train, raw, spec.numeric_strategy, extra, middles=middles)
     rows = found["rows"]
     require_filled(fills, inputs)
     if found.get("bad_weights"):
@@ -234,7 +259,15 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
             name: finite(_scaled(logs[f"log:{c}"], scales[f"log:{c}"]))
             for name, c in zip(_fillable(spec), spec.logs)
         }
-    final_fills, found = fill_values(train, outputs, spec.final_strategy, extra, rows)
+    if spec.final_strategy != "median" or not all(c in middles for c in spec.logs):
+        final_fills, found = fill_values(train, outputs, spec.final_strategy, extra, rows)
+    else:
+        extra |= {f"known:{name}": F.count(value) for name, value in outputs.items()}
+        found = fill_values(train, {}, spec.final_strategy, extra)[1]
+        whole = [name for name in outputs if found[f"known:{name}"] == rows]
+        final_fills = _final_medians(train, {n: outputs[n] for n in whole}, dict(zip(outputs, spec.logs)), middles, fills, rows)
+        gappy = {name: value for name, value in outputs.items() if name not in whole}
+        final_fills |= fill_values(train, gappy, spec.final_strategy, {}, rows)[0]
     scales |= {tag: _scale(found, tag) for tag in (*imputed, *similar)}
     return {
         "fills": fills,

@@ -29,13 +29,17 @@ def fill_values(
     strategy: str,
     extra: Mapping[str, Column] | None = None,
     known_rows: int | None = None,
+    middles: dict[str, tuple[int, float, float]] | None = None,
 ) -> tuple[dict[str, float], dict[str, Any]]:
     """Fill value per numeric expression (columns without any value are absent), and the ``extra``
-    aggregates of the same frame, which share a pass with it where the strategy has one."""
+    aggregates of the same frame, which share a pass with it where the strategy has one. ``middles``
+    receives the count and the two middle values of every column whose median was searched."""
     check_choice(strategy, ALL_STRATEGIES, "strategy")
     extra = extra or {}
     if strategy == "median":
         found = exact_quantiles(df, columns, (0.5,), extra, known_rows=known_rows)
+        if middles is not None:
+            middles |= {n: (found.counts[n], *v[0]) for n, v in found.neighbours.items()}
         return {n: v[0] for n, v in found.values.items() if v}, found.extra
     means = {f"m{i}": F.avg(c) for i, c in enumerate(columns.values())} if strategy == "mean" else {}
     aggs = [c.alias(k) for k, c in {**means, **extra}.items()]

@@ -44,11 +44,13 @@ class _Search:
 
 @dataclass
 class Quantiles:
-    """Exact quantiles per column, row counts, and whatever else was aggregated on the way."""
+    """Exact quantiles per column, row counts, and whatever else was aggregated on the way. ``neighbours`` has the two
+    values around each quantile of the columns that were searched (not of those that the built-in function solved)."""
 
     values: dict[str, list[float]]
     counts: dict[str, int]
     extra: dict[str, Any] = field(default_factory=dict)
+    neighbours: dict[str, list[tuple[float, float]]] = field(default_factory=dict)
 
 
 def _position(count: int, prob: float) -> tuple[int, float]:
@@ -57,7 +59,7 @@ def _position(count: int, prob: float) -> tuple[int, float]:
     return base, place - base
 
 
-def _between(count: int, prob: float, low: float, high: float) -> float:
+def between(count: int, prob: float, low: float, high: float) -> float:
     """The value between two neighbours in the arithmetic of the built-in percentile, so that both ways
     to the neighbours end at the same double."""
     place = (count - 1) * prob
@@ -102,9 +104,10 @@ def exact_quantiles(
     """Exact ``probs`` quantiles of every expression in ``columns``; missing values, NaN and infinities
     are skipped. ``interior_limit`` only chooses the way, never the result.
 
-    ``extra`` aggregates of the same frame ride along in the first pass. A column without any value
-    has count 0 and no quantiles. ``known_rows``, when the caller has counted already, saves the
-    sketch pass on frames that need none.
+    ``extra`` aggregates of the same frame ride along in the first pass, or in the counting pass of a
+    frame known to be large: that pass is plain sums, which cost several times less there than beside
+    sketches. A column without any value has count 0 and no quantiles. ``known_rows``, when the caller
+    has counted already, saves the sketch pass on frames that need none.
     """
     extra = extra or {}
     if not columns:
@@ -124,20 +127,20 @@ def exact_quantiles(
             {n: row[f"n_{tagged[n]}"] for n in names},
             {k: row[f"x_{k}"] for k in extra},
         )
-    first = _sketch(frame, [tagged[n] for n in names], probs, accuracy, extra)
+    late = extra if known_rows is not None else {}
+    riding = [c.alias(f"x_{k}") for k, c in late.items()]
+    first = _sketch(frame, [tagged[n] for n in names], probs, accuracy, {} if late else extra)
     counts = {n: first[f"n_{i}"] for i, n in enumerate(names)}
     result = Quantiles(
-        {n: [] for n in names}, counts, {k: first[f"x_{k}"] for k in extra}
+        {n: [] for n in names}, counts, {k: first[f"x_{k}"] for k in extra if k not in late}
     )
     full = [n for n in names if counts[n]]
-    if not full:
-        return result
-
-    if max(counts.values()) <= interior_limit:
-        exact = frame.agg(
-            *[F.percentile(F.col(tagged[n]), list(probs)).alias(tagged[n]) for n in full]
-        ).first()
-        result.values.update({n: list(exact[tagged[n]]) for n in full})
+    if not full or max(counts.values()) <= interior_limit:
+        aggs = riding + [F.percentile(F.col(tagged[n]), list(probs)).alias(tagged[n]) for n in full]
+        if aggs:
+            exact = frame.agg(*aggs).first()
+            result.values.update({n: list(exact[tagged[n]]) for n in full})
+            result.extra.update({k: exact[f"x_{k}"] for k in late})
         return result
 
     wanted: dict[tuple[str, int], _Search] = {}
@@ -151,13 +154,15 @@ def exact_quantiles(
                     tagged[name], rank, first[f"q_{i}"][2 * j], first[f"q_{i}"][2 * j + 1]
                 )
     bounds = {tagged[n]: (first[f"lo_{i}"], first[f"hi_{i}"]) for i, n in enumerate(names)}
-    _settle(frame, list(wanted.values()), bounds, interior_limit, accuracy)
+    row = _settle(frame, list(wanted.values()), bounds, interior_limit, accuracy, riding)
+    result.extra.update({k: row[f"x_{k}"] for k in late})
     for name in full:
         for prob in probs:
             base, part = _position(counts[name], prob)
             low = wanted[(name, base)].found
             high = wanted[(name, base + 1)].found if part else low
-            result.values[name].append(_between(counts[name], prob, low, high))
+            result.neighbours.setdefault(name, []).append((low, high))
+            result.values[name].append(between(counts[name], prob, low, high))
     return result
 
 
@@ -167,9 +172,13 @@ def _settle(
     bounds: Mapping[str, tuple[float, float]],
     interior_limit: int,
     accuracy: int,
-) -> None:
+    riding: Sequence[Column] = (),
+) -> Row:
+    """Find every wanted value; returns the row of the first counting pass, which has the ``riding`` aggregates."""
+    first = None
     while open_searches:
-        _place(frame, open_searches, bounds)
+        row = _place(frame, open_searches, bounds, () if first else riding)
+        first = first or row
         open_searches = [s for s in open_searches if s.found is None]
         ready = [s for s in open_searches if s.inner_rows <= min(interior_limit, INNER_LIMIT)]
         wide = [s for s in open_searches if s.inner_rows > min(interior_limit, INNER_LIMIT)]
@@ -195,15 +204,18 @@ def _settle(
             for i, s in enumerate(wide):
                 s.low, s.high = row[f"w{i}"]
         open_searches = wide
+    return first
 
 
 def _inside(s: _Search) -> Column:
     return (F.col(s.column) > F.lit(s.low)) & (F.col(s.column) < F.lit(s.high))
 
 
-def _place(frame: DataFrame, searches: list[_Search], bounds: Mapping[str, tuple[float, float]]) -> None:
+def _place(
+    frame: DataFrame, searches: list[_Search], bounds: Mapping[str, tuple[float, float]], riding: Sequence[Column] = ()
+) -> Row:
     """Count the rows below, at and inside each bracket and fix the rank within it."""
-    aggs = []
+    aggs = list(riding)
     for i, s in enumerate(searches):
         value = F.col(s.column)
         aggs += [
@@ -229,6 +241,7 @@ def _place(frame: DataFrame, searches: list[_Search], bounds: Mapping[str, tuple
             s.inner_rank, s.inner_rows = s.rank - below - at_low, inside
     if again:
         _place(frame, again, bounds)
+    return row
 
 
 def value_counts(df: DataFrame, columns: Mapping[str, Column], type_name: str) -> DataFrame:
@@ -388,7 +401,7 @@ def _hot_quantiles(rows: DataFrame, groups: DataFrame, probs: Sequence[float], n
     value = [F.coalesce(f"found{i}", F.try_element_at(f"in{i}", (F.col(f"inner{i}") + 1).cast("int"))) for i in searches]
     results = []
     for j, prob in enumerate(probs):
-        # the arithmetic of ``_between``
+        # the arithmetic of ``between``
         place = (F.col("n") - 1) * F.lit(float(prob))
         low, high = value[2 * j], value[2 * j + 1]
         results.append(F.when((F.ceil(place) == F.floor(place)) | (low == high), low).otherwise((F.ceil(place) - place) * low + (place - F.floor(place)) * high))

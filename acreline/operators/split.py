@@ -22,6 +22,8 @@ from acreline.operators.keys import hash_order
 MAX_STRATA = 10_000
 PREFIX_STEP = 3
 BUCKET_LIMIT = 50_000
+# Tasks that hold the counts of the first prefixes, 4,096 a stratum at most, whatever the number of shuffle partitions.
+BUCKET_TASKS = 32
 COPY_BLOCK = 100_000
 # A hash text per cell: 100,000 cells are some 5 MB. Larger cut tables are joined as Spark sees fit.
 BROADCAST_CELLS = 100_000
@@ -134,6 +136,7 @@ def assign_slices(
     buckets = (
         narrow.groupBy("__s", F.substring("__h", 1, PREFIX_STEP).alias("__p"))
         .agg(F.count(F.lit(1)).alias("n"))
+        .coalesce(BUCKET_TASKS)
         .persist()
     )
     try:

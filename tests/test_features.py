@@ -205,3 +205,23 @@ def test_max_similarity(rows):
     for centres, want in (([(0.0, 0.0)], math.exp(-25)), ([(0.0, 0.0), (3.0, 4.0)], 1.0)):
         got = [r[0] for r in df.select(max_similarity((F.col("x"), F.col("y")), centres)).collect()]
         assert got == [1.0, pytest.approx(want)]
+
+
+@pytest.mark.parametrize("gap", [0, 3, 4])
+def test_medians_of_logs_come_from_the_medians_of_their_inputs(spark, monkeypatch, gap):
+    """A searched median is not searched again under a logarithm; a column that loses rows to it is."""
+    cells = [(None if i < gap else (i * 37 % 101) / 7.0, float(i % 13) - 2.0, float(i)) for i in range(100)]
+    df = spark.createDataFrame(cells, "a double, b double, c double")
+    spec = FeatureSpec(ratios={}, logs=("a", "b", "c"), geo=(), merges={})
+    want = TabularFeatures(spec=spec).fit(df).statistics()
+    searched, search = [], impute.exact_quantiles
+
+    def small(df, columns, *args, **kw):
+        searched.append(list(columns))
+        return search(df, columns, *args, interior_limit=10, **kw)
+
+    monkeypatch.setattr(impute, "exact_quantiles", small)
+    got = TabularFeatures(spec=spec).fit(df).statistics()
+    assert got["fills"] == want["fills"] and got["final_fills"] == want["final_fills"]
+    assert got["scales"].keys() == want["scales"].keys()
+    assert ["log__b"] in searched and not any({"log__a", "log__c"} & set(names) for names in searched)

@@ -121,3 +121,18 @@ def test_nan_and_infinity_are_missing_on_both_ways(spark):
     assert small.values == large.values  # bit for bit
     known = df.filter("v > -1e300 AND v < 1e300").agg(F.percentile("v", probs).alias("q")).first().q
     assert small.values["v"] == known
+
+
+def test_riding_aggregates_of_a_large_frame_are_counted_not_sketched(spark, monkeypatch):
+    from acreline.operators import quantiles
+
+    df = spark.range(1_000).select((F.col("id") * 7.0).alias("v"), F.when(F.col("id") < 0, 1.0).alias("none"))
+    extra, sketched, sketch = {"mean": F.avg("v"), "rows": F.count(F.lit(1))}, [], quantiles._sketch
+    monkeypatch.setattr(quantiles, "_sketch", lambda *a: sketched.append(a[-1]) or sketch(*a))
+    for limit, rows in ((10, 1_000), (10, None), (2_000, 1_000), (2_000, None), (500, 1_000)):
+        found = quantiles.exact_quantiles(df, {"v": F.col("v"), "none": F.col("none")}, (0.5,), extra, limit, known_rows=rows)
+        assert found.values == {"v": [3496.5], "none": []} and found.extra == {"mean": 3496.5, "rows": 1_000}
+        assert not (rows and sketched and sketched.pop())
+        sketched.clear()
+    found = quantiles.exact_quantiles(df, {"none": F.col("none")}, (0.5,), extra, 10, known_rows=1_000)
+    assert found.values == {"none": []} and found.extra == {"mean": 3496.5, "rows": 1_000}
