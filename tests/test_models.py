@@ -256,3 +256,52 @@ def test_training_without_strata(districts):
     assert "stratum" not in parted.columns
     n = parted.count()
     assert parted.filter("part = 'test'").count() == -(-n // 5)
+
+
+def test_tasks_of_a_learner_hold_some_rows():
+    """A job a level of a tree: tasks of 20,000 rows would be mostly their own start and their sums of open nodes."""
+    from acreline.operators.keys import parts_for
+
+    assert [parts_for(n) for n in (0, 1_999, 4_000, 16_000, 120_000)] == [1, 1, 2, 8, 8]
+    assert parts_for(7_200_000) == 36 and parts_for(43_000_000) == 215
+    assert parts_for(3_000_000_000) == 3_000
+    assert [parts_for(n, 20_000) for n in (100, 40_000, 950_000, 4_000_000)] == [1, 2, 8, 20]
+
+
+def test_the_inputs_travel_not_the_matrix(parted):
+    prepared = models.prepare(parted.filter("part = 'train'"), TRAIN)
+    try:
+        plan_text = prepared.table._jdf.queryExecution().analyzed().toString()
+        assert plan_text.index("UDF") < plan_text.index("RepartitionByExpression")
+    finally:
+        prepared.release()
+
+
+@pytest.mark.parametrize("validation", ["single_split", "cross_validation"])
+def test_validation_rows_are_kept_while_they_are_used(parted, validation):
+    setup = models.Training(spec=SPEC, folds=2, validation=validation)
+    sets = models.validation_sets(parted.filter("part = 'train'"), setup)
+    column = "fold" if validation == "cross_validation" else "val_part"
+
+    def kept(df):
+        found = df.select("*")._jdf.queryExecution().withCachedData().toString()
+        return any(f"{column}#" in line for line in found.splitlines() if "InMemoryRelation" in line)
+
+    _, fit_rows, val_rows = next(sets)
+    assert kept(fit_rows) and kept(val_rows)
+    sets.close()
+    assert not kept(fit_rows) and not kept(val_rows)
+
+
+def test_rows_that_are_kept_already_are_not_kept_again(spark, parted):
+    assert parted.is_cached
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    seen = []
+
+    class Watched(dict):
+        def items(self):
+            seen.append(parted.filter("part = 'train'")._jdf.queryExecution().withCachedData().toString().count("InMemoryRelation"))
+            return super().items()
+
+    plan.train_all(parted, TRAIN, Watched(no_such_model=None)).collect()
+    assert seen == [1] and spark.sparkContext._jsc.getPersistentRDDs().size() == before
