@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,6 +26,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """Jobs started inside hand their Python functions about ``size`` bytes at a time, or less where the session says so.
+
+    Without this a batch is bounded by its rows, and a task holds it several times over: in rows, in Arrow, in Python and
+    as a result.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    number, unit = re.fullmatch(r"(\d+)([kmgtp]?)b?", before.strip().lower()).groups()
+    held = int(number) << 10 * " kmgtp".index(unit or " ")
+    spark.conf.set(name, str(min(size, held)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

@@ -33,11 +33,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from acreline.llm.common import checkpointed, free_name, texts, written
+from acreline.llm.common import arrow_batches, checkpointed, free_name, texts, written
 
 WORDS, NEAR, GRAM, MIN_WORDS = 16, 2, 2, 30
-#: Code points that are cut at a time.
+#: Code points that are cut at a time, and bytes of texts that a task hands over at a time.
 GROUP = 1 << 18
+BATCH_BYTES = 4 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
 #: ASCII blanks and sentence ends by byte; other blanks become a space before the bytes are looked at.
@@ -320,7 +321,8 @@ def find_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return pa.concat_arrays([_cut(group, min_words) for group in _grouped(column)] or [pa.array([], _CUT)])
 
     laid = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), cut(F.col(text_col)).alias("cut"))
-    laid = written(laid.select("id", "digest", "cut.*"), "winnow")
+    with arrow_batches(docs.sparkSession, BATCH_BYTES):
+        laid = written(laid.select("id", "digest", "cut.*"), "winnow")
     place = F.explode(F.arrays_zip("g", "p")).alias("x")
     prints = laid.select("id", "digest", place).select("x.g", "id", "digest", F.col("x.p").alias("at"))
     order = F.struct(F.col("id").isNull().alias("lone"), "id", "digest", "at")
