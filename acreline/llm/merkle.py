@@ -90,8 +90,8 @@ def with_next(
 ) -> DataFrame:
     """``df`` plus a struct ``next`` of ``columns`` of the row that follows; key has to be a whole number.
 
-    ``prepare`` adds columns where the rows of a range have met, so that they need no shuffle. A column ``next`` in ``df``
-    is an error.
+    ``prepare`` adds columns where the rows of a range have met and are in order, so that they need no shuffle and no sort
+    holds them; it has to keep the rows and their order. A column ``next`` in ``df`` is an error.
     """
     claim(df, "next")
     k, part, last = (free_name(df, f"__{x}") for x in ("key", "range", "copy"))
@@ -121,7 +121,7 @@ def with_next(
     copies = free_name(df, "__copies")
     laid = laid.withColumn(copies, F.explode(F.when(begins, F.array(here, ahead)).otherwise(F.array(here))))
     laid = laid.withColumn(part, F.col(f"{copies}.r")).withColumn(last, F.col(f"{copies}.c")).drop(copies)
-    met = prepare(laid.repartition(part))
+    met = prepare(laid.repartition(part).sortWithinPartitions(part, last, k, tie))
     row = F.lead(F.struct(*columns)).over(W.partitionBy(part).orderBy(last, k, tie))
     return met.withColumn("next", row).filter(F.col(last) == 0).drop(k, part, last)
 

@@ -591,6 +591,17 @@ def test_merkle_odd(spark, odd):
     assert merkle.with_next(merkle.fingerprints(odd.limit(0), F.col("text"), "tree"), "doc_id", ["tree"], tie="text").count() == 0
 
 
+def test_merkle_sorts_rows_before_their_trees(spark):
+    docs = spark.range(40).select(F.col("id").alias("doc_id"), F.concat(F.lit("line. "), F.col("id")).alias("text"))
+    grow = lambda rows: merkle.fingerprints(rows, F.col("text"), "tree")
+    rows = merkle.with_next(docs, "doc_id", ["text", "tree"], tie="text", prepare=grow, rows_per_range=9)
+    sorts = [x for x in rows._jdf.queryExecution().executedPlan().toString().splitlines() if "Sort [" in x]
+    assert len(sorts) == 1
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Window [") < plan.index("md5(") < plan.index("Sort [")  # top down
+    assert {r["doc_id"]: r["t"] for r in rows.select("doc_id", F.col("next.text").alias("t")).collect()} == {i: f"line. {(i + 1) % 40}" for i in range(40)}
+
+
 def test_merkle_of_blocks_with_equal_short_digests(spark):
     seen, k = {}, 0
     while (short := hashlib.md5(b"block %d" % k).hexdigest()[:8]) not in seen:
