@@ -2,8 +2,8 @@
 model that applies it as a single projection.
 
 Pass 1  medians / means / modes of the raw inputs, category vocabulary
-Pass 2  on imputed inputs: medians of the ratios; mean and deviation of logs, remainder, coordinates
-Pass 3  weighted K-Means on the scaled coordinates (on distinct positions only)
+Pass 2  on imputed inputs: medians of the ratios; mean and deviation of logs and remainder
+Pass 3  beside pass 2: mean and deviation of the coordinates, weighted K-Means on the scaled ones (on distinct positions only)
 Pass 4  mean and deviation of imputed ratios and of the similarities; fill values of the final
         clean-up for the columns that can still be missing (on large tables the medians of pass 1 give them)
 """
@@ -45,6 +45,7 @@ from acreline.operators.impute import (
 )
 from acreline.operators.quantiles import between
 from acreline.operators.quantiles import categories as category_counts
+from acreline.session import beside
 
 UNKNOWN_MODES = ("error", "ignore", "infrequent_if_exist")
 
@@ -216,37 +217,44 @@ def learn(df: DataFrame, spec: FeatureSpec, label: str | None, drop: tuple[str,
     require_filled(fills, inputs)
     if found.get("bad_weights"):
         raise DataValidationError(f"{found['bad_weights']} targets are no usable cluster weights")
-    merged = {c: _category(c, spec.merges) for c in categories}
-    counts = category_counts(train, merged, spec.max_categories)
-    words = {c: list(n) for c, n in counts.items()}
-    if spec.category_strategy == "constant":
-        category_fills = {c: CONSTANT_CATEGORY for c in categories}
-        gappy = [c for c in categories if sum(counts[c].values()) < rows]
-        words |= {c: sorted({*words[c], CONSTANT_CATEGORY}) for c in gappy}
-    else:
-        # The first of the most frequent values in sorted order.
-        category_fills = {c: max(n, key=n.get) for c, n in counts.items() if n}
-    require_filled(category_fills, categories)
-
-    # Pass 2
+    # Pass 2 and, beside it, pass 3, which needs no more of it than the moments of the coordinates. The rows have been read
+    # by now, so that frames that are kept are not made twice.
     logs = {f"log:{c}": log_plus_one(_filled(c, fills)) for c in spec.logs}
     rest = {f"rest:{c}": _filled(c, fills) for c in remainder}
     geo = {f"geo:{c}": _filled(c, fills) for c in spec.geo}
-    extra = {}
-    for tag, value in {**logs, **rest, **geo}.items():
-        extra |= _moments(tag, value)
     ratios = {name: _ratio(pair, fills) for name, pair in spec.ratios.items()}
-    ratio_fills, found = fill_values(train, ratios, spec.numeric_strategy, extra, rows)
-    require_filled(ratio_fills, list(ratios))
-    scales = {tag: _scale(found, tag) for tag in (*logs, *rest, *geo)}
 
-    # Pass 3
-    centres = []
-    similar: dict[str, Column] = {}
-    if spec.geo:
-        train = with_point(train, spec, {"fills": fills, "scales": scales})
-        centres = fit_centres(train, *_point(spec), weight, spec.clusters, seed, check=False)
-        similar = {f"sim:{n}": c for n, c in similarity_columns(_point(spec), centres, spec.gamma).items()}
+    def middle_ratios() -> tuple[dict[str, float], dict[str, Any]]:
+        extra = {}
+        for tag, value in {**logs, **rest}.items():
+            extra |= _moments(tag, value)
+        return fill_values(train, ratios, spec.numeric_strategy, extra, rows)
+
+    def clusters() -> tuple[dict[str, list[float]], DataFrame, list[Any]]:
+        if not spec.geo:
+            return {}, train, []
+        found = train.agg(*[c.alias(k) for tag, value in geo.items() for k, c in _moments(tag, value).items()]).first()
+        placed = {tag: _scale(found, tag) for tag in geo}
+        points = with_point(train, spec, {"fills": fills, "scales": placed})
+        return placed, points, fit_centres(points, *_point(spec), weight, spec.clusters, seed, check=False)
+
+    with beside(df.sparkSession, middle_ratios) as ratio_result, beside(df.sparkSession, clusters) as cluster_result:
+        merged = {c: _category(c, spec.merges) for c in categories}
+        counts = category_counts(train, merged, spec.max_categories)
+        words = {c: list(n) for c, n in counts.items()}
+        if spec.category_strategy == "constant":
+            category_fills = {c: CONSTANT_CATEGORY for c in categories}
+            gappy = [c for c in categories if sum(counts[c].values()) < rows]
+            words |= {c: sorted({*words[c], CONSTANT_CATEGORY}) for c in gappy}
+        else:
+            # The first of the most frequent values in sorted order.
+            category_fills = {c: max(n, key=n.get) for c, n in counts.items() if n}
+        require_filled(category_fills, categories)
+        ratio_fills, found = ratio_result()
+        require_filled(ratio_fills, list(ratios))
+        placed, train, centres = cluster_result()
+    scales = {tag: _scale(found, tag) for tag in (*logs, *rest)} | placed
+    similar = {f"sim:{n}": c for n, c in similarity_columns(_point(spec), centres, spec.gamma).items()}
 
     # Pass 4
     imputed = {f"ratio:{n}": F.coalesce(c, F.lit(float(ratio_fills[n]))) for n, c in ratios.items()}

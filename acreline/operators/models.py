@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import json
 import os
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from itertools import islice
+from itertools import chain, islice
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -27,7 +27,7 @@ from acreline.operators.evaluate import HIGHER_IS_BETTER, QUALITY_THRESHOLD, eva
 from acreline.operators.features import FeatureSpec, TabularFeatures, TabularFeaturesModel
 from acreline.operators.keys import stable_layout
 from acreline.operators.split import fold_parts, kfold, random_split, stratified_split
-from acreline.session import ensure_checkpoint_dir
+from acreline.session import beside, ensure_checkpoint_dir
 
 VALIDATION_MODES = ("single_split", "cross_validation")
 
@@ -288,8 +288,14 @@ def validation_scores(
             for p in prepared:
                 p.release()
             source.close()
+    return _scores(validation_sets(train, training), name, training, settings)
+
+
+def _scores(
+    sets: Iterable[tuple[str, DataFrame, DataFrame]], name: str, training: Training, settings: Mapping[str, Any] | None
+) -> list[dict[str, float]]:
     scores = []
-    for set_name, fit_rows, val_rows in validation_sets(train, training):
+    for set_name, fit_rows, val_rows in sets:
         model = fit_full(fit_rows, name, training, settings)
         scores.append(score(model, val_rows, set_name, training))
     return scores
@@ -318,10 +324,24 @@ def gate(summary: Mapping[str, float], training: Training) -> None:
 def train(
     train_rows: DataFrame, name: str, training: Training, settings: Mapping[str, Any] | None = None
 ) -> tuple[PipelineModel, dict[str, float]]:
-    """Validate, pass the gate, fit again on all training rows."""
-    summary = summarize(validation_scores(train_rows, name, training, settings))
-    gate(summary, training)
-    return fit_full(train_rows, name, training, settings), summary
+    """Validate, pass the gate, fit again on all training rows.
+
+    The features of all training rows do not depend on the validation, whose short stages leave room: they are learned
+    beside it, once the rows have been read for its split. The matrix is made after the gate.
+    """
+    sets = validation_sets(train_rows, training)
+    try:
+        first = next(sets)
+        with beside(train_rows.sparkSession, lambda: prepare(train_rows, training)) as ready:
+            summary = summarize(_scores(chain([first], sets), name, training, settings))
+            gate(summary, training)
+            prepared = ready()
+    finally:
+        sets.close()
+    try:
+        return fit_on(prepared, name, training, settings), summary
+    finally:
+        prepared.release()
 
 
 def save_model(model: PipelineModel, path: str, example: DataFrame, id_cols: Sequence[str] = ()) -> None:

@@ -5,8 +5,13 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from multiprocessing.pool import ThreadPool
+from typing import Any
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
@@ -46,3 +51,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Tree learners cut their lineage by checkpoints; give them a place when none is set."""
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(scratch_root(spark))
+
+
+@contextmanager
+def beside(spark: SparkSession, step: Callable[[], Any]) -> Iterator[Callable[[], Any]]:
+    """Runs a step that starts Spark jobs beside the block, which receives a function that waits for its result (or
+    raises its error). The step is over when the block is left."""
+    with ThreadPool(1) as pool:
+        running = pool.apply_async(inheritable_thread_target(spark)(step))
+        try:
+            yield running.get
+        finally:
+            running.wait()

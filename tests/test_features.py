@@ -1,4 +1,5 @@
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -225,3 +226,31 @@ def test_medians_of_logs_come_from_the_medians_of_their_inputs(spark, monkeypatc
     assert got["fills"] == want["fills"] and got["final_fills"] == want["final_fills"]
     assert got["scales"].keys() == want["scales"].keys()
     assert ["log__b"] in searched and not any({"log__a", "log__c"} & set(names) for names in searched)
+
+
+def test_clusters_are_learned_beside_the_ratios(spark, monkeypatch):
+    from acreline.operators import features
+
+    i = F.col("id")
+    spec = FeatureSpec(logs=(), ratios={"share": ("a", "b")}, geo=("x", "y"), clusters=2, merges={})
+    rows = spark.range(60).select((i % 7).cast("double").alias("x"), (i % 5).cast("double").alias("y"), (i + 1.0).alias("a"), (i % 3 + 1.0).alias("b"), F.lit(2.0).alias("t"))
+    want = TabularFeatures(spec=spec, labelCol="t").fit(rows).statistics()
+    both, medians, centres = threading.Barrier(2), features.fill_values, features.fit_centres
+
+    def fill_values(df, columns, *args, **named):
+        if "share" in columns:
+            both.wait(20)
+        return medians(df, columns, *args, **named)
+
+    def fit(*args, **named):
+        both.wait(20)
+        return centres(*args, **named)
+
+    monkeypatch.setattr(features, "fill_values", fill_values)
+    monkeypatch.setattr(features, "fit_centres", fit)
+    got = TabularFeatures(spec=spec, labelCol="t").fit(rows).statistics()
+    assert got["centres"] == [pytest.approx(c) for c in want["centres"]]
+    assert got["ratio_fills"] == want["ratio_fills"] and got["scales"].keys() == want["scales"].keys()
+    empty = rows.withColumn("b", F.lit(0.0))  # the error of one step is raised when the others are over
+    with pytest.raises(DataValidationError, match="without any value"):
+        TabularFeatures(spec=spec, labelCol="t").fit(empty)

@@ -1,5 +1,6 @@
 import json
 import re
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -305,3 +306,44 @@ def test_rows_that_are_kept_already_are_not_kept_again(spark, parted):
 
     plan.train_all(parted, TRAIN, Watched(no_such_model=None)).collect()
     assert seen == [1] and spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def _own_rows(spark):
+    """Rows of the training table's columns, built here; the value follows the income."""
+    i = F.col("id")
+    mixed = lambda salt, n: F.pmod(F.xxhash64(i, F.lit(salt)), F.lit(n))
+    columns = {"longitude": mixed(1, 9) / 2.0 - 122, "latitude": mixed(2, 7) / 2.0 + 33, "median_income": mixed(3, 90) / 10.0 + 0.5}
+    columns |= {c: (mixed(4 + k, 400) + 5).cast("double") for k, c in enumerate(("housing_median_age", "total_rooms", "total_bedrooms", "population", "households"))}
+    rows = spark.range(800).select(i.alias("district_id"), *[v.alias(c) for c, v in columns.items()], F.when(i % 3 == 0, "INLAND").otherwise("NEAR BAY").alias("ocean_proximity"), (i % 4).cast("string").alias("stratum"))
+    return rows.withColumn(TARGET, 20_000 + 42_000 * F.col("median_income"))
+
+
+@pytest.mark.parametrize("threshold", [1e9, 0.0])
+def test_features_of_the_refit_are_learned_beside_the_validation(spark, monkeypatch, threshold):
+    rows = _own_rows(spark).persist()
+    own = models.Training(spec=SPEC, threshold=threshold)
+    short, prepared, at_gate = models.shorten("boosted_trees", 2, 2), models.prepare, []
+    begun, gate, kept = threading.Semaphore(0), models.gate, len(spark.sparkContext._jsc.getPersistentRDDs())
+
+    def prepare(df, training):
+        begun.release()
+        return prepared(df, training)
+
+    def watched(summary, training):
+        at_gate.append(all(begun.acquire(timeout=20) for _ in range(2)))
+        return gate(summary, training)
+
+    monkeypatch.setattr(models, "prepare", prepare)
+    monkeypatch.setattr(models, "gate", watched)
+    if threshold:
+        model, summary = models.train(rows, "boosted_trees", own, short)
+        assert summary == pytest.approx(models.summarize(models.validation_scores(rows, "boosted_trees", own, short)))
+        monkeypatch.undo()
+        same = models.predict(models.fit_full(rows, "boosted_trees", own, short), models.predict(model, rows, "one"), "two")
+        assert same.filter(F.abs(F.col("one") - F.col("two")) > 1e-6 * F.abs("one")).isEmpty()
+    else:
+        with pytest.raises(DataValidationError, match="quality gate"):
+            models.train(rows, "boosted_trees", own, short)
+    assert at_gate == [True]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= kept + 1  # the rows, perhaps; no matrix is left
+    rows.unpersist()
