@@ -15,9 +15,8 @@ leaf of largest gain is split next, until there are ``leaves``; the children of
 counted in one wave, so a tree costs about as many passes as it is deep, not one a leaf.
 
 Gradients are rounded to fixed point, so sums are exact and a model does not depend on partitions, on their number, or
-on the way rows are held. There are two ways: ``SparkRows`` keeps them in a persisted table, one job a wave, for any
-number of rows; ``HeldRows`` keeps at most ``HELD`` rows in one task, where a wave takes milliseconds. That is what makes
-presets of a thousand rounds practical on a bounded number of labelled rows (``learn_rows``, taken in hash order).
+on the way rows are held. There are two ways: ``SparkRows`` keeps them in persisted blocks, one job a wave, for any
+number of rows; ``HeldRows`` keeps at most ``HELD`` rows in one task, where a wave takes milliseconds.
 """
 
 from __future__ import annotations
@@ -26,7 +25,7 @@ import heapq
 import itertools
 import json
 import os
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass
 from functools import partial
 from typing import Any, Protocol
@@ -34,7 +33,7 @@ from typing import Any, Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import StorageLevel, keyword_only
+from pyspark import RDD, StorageLevel, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import VectorUDT
@@ -58,8 +57,10 @@ BINS = 256
 PART_ROWS, BLOCK = 1 << 20, 1 << 16
 #: First rows of a table are searched for in groups of so many times the rows wanted.
 FAN = 4
-#: Rounds after which the table of ``SparkRows`` is cut off by a checkpoint.
-CHECKPOINT = 10
+#: Rounds after which the blocks of ``SparkRows`` are cut off by a checkpoint.
+CHECKPOINT = 25
+#: Bytes of a wave's sums that tasks may send to the driver as they are; more are added up by ranges of cells before.
+DIRECT, RANGES = 1 << 25, 16
 
 
 @dataclass(frozen=True)
@@ -279,6 +280,21 @@ class _Growing:
         return Tree(*arrays, np.where(arrays[0] < 0, own[order], 0.0), np.array(gains), n[order]), value
 
 
+def _reach(tree: _Growing, queue: list[tuple[float, int]], splits: int, most: int) -> list[int]:
+    """Open nodes among the next ``splits`` by what is known so far, also below nodes whose own turn has not come: their
+    children are counted in one wave, so that a tree takes about as many waves as it is deep."""
+    found, seen = [], list(queue)
+    while seen and splits and len(found) < most:
+        _, node = heapq.heappop(seen)
+        splits -= 1
+        if tree.links[node][0] < 0:
+            found.append(node)
+        for child in tree.links[node][2:] if tree.links[node][0] >= 0 else ():
+            if child in tree.open:
+                heapq.heappush(seen, (-tree.open[child][0], child))
+    return found
+
+
 def grow(rows: Rows, s: Boosting, columns: np.ndarray, sums: tuple[np.ndarray, np.ndarray]) -> Tree:
     """One tree; its values are added to the rows' predictions."""
     tree = _Growing(rows, s, columns, sums)
@@ -295,8 +311,7 @@ def grow(rows: Rows, s: Boosting, columns: np.ndarray, sums: tuple[np.ndarray, n
         while queue and len(taken) + 1 < s.leaves:
             node = queue[0][1]
             if tree.links[node][0] < 0:
-                reach = [k for _, k in heapq.nsmallest(min(rows.ahead, s.leaves - 1 - len(taken)), queue)]
-                tree.expand([k for k in reach if tree.links[k][0] < 0])
+                tree.expand(_reach(tree, queue, s.leaves - 1 - len(taken), rows.ahead))
             heapq.heappop(queue)
             taken.add(node)
             for child in tree.links[node][2:]:
@@ -378,9 +393,6 @@ class HeldRows:
         self.prediction += value[self.node]
 
 
-STATE, SUMS = "bins binary, label double, key long, prediction double", "slot int, n binary, g binary"
-
-
 def _counted(batches: Iterator[pa.RecordBatch], tree: Tree, wanted: list[int], round_: int, scale: float, s: Boosting, seed: int, width: int, columns: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Sums of a whole task: a row for each node that has rows there, its counts and gradient sums as bytes."""
     slot = np.full(len(tree.feature), -1, np.int64)
@@ -408,62 +420,148 @@ def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.
             kept = []
 
 
-def _merged(parts: pa.Table) -> pa.Table:
-    """The sums of one node from those of the tasks."""
-    cells = [sum(np.frombuffer(x.as_py(), np.int64) for x in parts.column(i)).tobytes() for i in (1, 2)]
-    return pa.table([parts.column(0).slice(0, 1), pa.array([cells[0]], pa.binary()), pa.array([cells[1]], pa.binary())], ["slot", "n", "g"])
-
-
 def _moved(batches: Iterator[pa.RecordBatch], tree: Tree, value: np.ndarray, width: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         new = batch.column(3).to_numpy(zero_copy_only=False) + value[tree.leaf_of(_bytes(batch.column(0), width))]
         yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(new)], batch.schema.names)
 
 
+def _stored(batch: pa.RecordBatch) -> bytes:
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, batch.schema) as writer:
+        writer.write_batch(batch)
+    return out.getvalue().to_pybytes()
+
+
+def _loaded(blocks: Iterator[bytes]) -> Iterator[pa.RecordBatch]:
+    for block in blocks:
+        yield pa.ipc.open_stream(block).read_next_batch()
+
+
+def _cut(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a task in blocks, each of them one value."""
+    for bins, label, key, prediction in _blocks(batches, width):
+        cells = pa.Array.from_buffers(pa.binary(width), len(bins), [None, pa.py_buffer(np.ascontiguousarray(bins))])
+        block = pa.RecordBatch.from_arrays([cells, pa.array(label), pa.array(key), pa.array(prediction)], ["bins", "label", "key", "prediction"])
+        yield pa.RecordBatch.from_arrays([pa.array([_stored(block)], pa.binary())], ["block"])
+
+
+def _sent(blocks: Iterator[bytes], count: Callable[..., Iterator[pa.RecordBatch]], cells: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Sums of a task as they travel: the numbers of the cells that have rows, their counts and gradient sums."""
+    for sums in count(_loaded(blocks)):
+        if sums.num_rows:
+            n, g = (np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in sums.column(i)]) for i in (1, 2))
+            some = np.flatnonzero(n)
+            yield sums.column(0).to_numpy().astype(np.int64)[some // cells] * cells + some % cells, n[some], g[some]
+
+
+def _by_range(sums: tuple[np.ndarray, ...], size: int) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    ends = np.searchsorted(sums[0], np.arange(0, int(sums[0][-1]) + size + 1, size))
+    for k, (a, b) in enumerate(itertools.pairwise(ends)):
+        if b > a:
+            yield k, tuple(x[a:b] for x in sums)
+
+
+def _together(parts: Iterator[tuple[int, tuple[np.ndarray, ...]]], size: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The sums of a task's ranges over all tasks that sent some."""
+    whole: dict[int, np.ndarray] = {}
+    for k, (cell, n, g) in parts:
+        both = whole.setdefault(k, np.zeros((2, size), np.int64))
+        both[0, cell - k * size] += n
+        both[1, cell - k * size] += g
+    for k, (n, g) in whole.items():
+        some = np.flatnonzero(n)
+        yield some + k * size, n[some], g[some]
+
+
+def _shifted(blocks: Iterator[bytes], move: Callable[..., Iterator[pa.RecordBatch]]) -> Iterator[bytes]:
+    return map(_stored, move(_loaded(blocks)))
+
+
 class SparkRows:
-    """Rows in a persisted table: a job a wave, and one that adds the values at the end of a round."""
+    """Rows in persisted blocks: a job a wave. The values of a tree are added on the way to the sums of the next round.
+
+    The blocks are an RDD and no table: every action on a table leaves its plan with the driver, which cached tables inside
+    one another make longer round by round, and a tree takes a dozen actions.
+    """
 
     ahead = 1 << 10
 
     def __init__(self, table: DataFrame, rows: int, width: int, base: float, scale: float, s: Boosting, seed: int) -> None:
-        ensure_checkpoint_dir(table.sparkSession)
-        # every wave starts a task a partition, whose sums are shuffled: as few as keep all cores busy and stay small
-        parts = max(table.sparkSession.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
-        self.state = table.coalesce(parts).withColumn("prediction", F.lit(base)).persist(StorageLevel.MEMORY_AND_DISK)
+        self.spark = table.sparkSession
+        ensure_checkpoint_dir(self.spark)
+        # every wave starts a task a partition, which sends its sums: as few as keep all cores busy and stay small
+        self.parts = max(self.spark.sparkContext.defaultParallelism, -(-rows // PART_ROWS))
+        self.state = table.coalesce(self.parts).withColumn("prediction", F.lit(base))
+        cut = self.state.mapInArrow(partial(_cut, width=width), "block binary")
+        self.blocks = cut.rdd.map(_first).persist(StorageLevel.MEMORY_AND_DISK)
+        self.before: RDD | None = None
+        self.file: str | None = None
         self.width, self.scale, self.s, self.seed = width, scale, s, seed
 
     def _sums(self, tree: Tree, wanted: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        n, g = np.zeros((2, len(wanted), len(self.columns), BINS), np.int64)
-        step = max(1, CELLS // (len(self.columns) * BINS))
+        cells = len(self.columns) * BINS
+        n, g = np.zeros((2, len(wanted) * cells), np.int64)
+        step = max(1, CELLS // cells)
         for at in range(0, len(wanted), step):
             some = wanted[at : at + step]
             count = partial(_counted, tree=tree, wanted=some, round_=self.round, scale=self.scale, s=self.s, seed=self.seed, width=self.width, columns=self.columns)
-            sums = self.state.mapInArrow(count, SUMS).groupBy("slot").applyInArrow(_merged, SUMS).toArrow()
-            for out, name in ((n, "n"), (g, "g")):
-                for slot, cells in zip(sums["slot"].to_pylist(), sums[name]):
-                    out[at + slot] = np.frombuffer(cells.as_py(), np.int64).reshape(out.shape[1:])
-        return n, g
+            sums = self.blocks.mapPartitions(partial(_sent, count=count, cells=cells))
+            if self.parts * len(some) * cells * 16 > DIRECT:
+                size = -(-len(some) * cells // RANGES)
+                dealt = sums.flatMap(partial(_by_range, size=size)).partitionBy(RANGES, int)
+                sums = dealt.mapPartitions(partial(_together, size=size))
+            for cell, rows, total in sums.collect():
+                n[cell + at * cells] += rows
+                g[cell + at * cells] += total
+        return tuple(x.reshape(len(wanted), len(self.columns), BINS) for x in (n, g))
 
     def start(self, round_: int, columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         self.round, self.columns, none = round_, columns, np.zeros(1, np.int32)
         self.tree = Tree(none - 1, none, none, none, *[np.zeros(1)] * 3)
-        return self._sums(self.tree, [0])
+        sums = self._sums(self.tree, [0])
+        self._settle()
+        return sums
+
+    def _settle(self) -> None:
+        """What the blocks were made from goes, now that they are kept."""
+        if self.before is not None:
+            self.before.unpersist()
+            self.before = None
+        file = self.blocks.getCheckpointFile()
+        if file and file != self.file:
+            self._remove()
+            self.file = file
+
+    def _remove(self) -> None:
+        if self.file:
+            sc = self.spark.sparkContext
+            path = sc._jvm.org.apache.hadoop.fs.Path(self.file)
+            path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+            self.file = None
 
     def expand(self, tree: Tree, nodes: list[int], wanted: list[int]) -> tuple[np.ndarray, np.ndarray]:
         self.tree = tree
         return self._sums(tree, wanted)
 
     def finish(self, value: np.ndarray) -> None:
-        old = self.state
-        moved = old.mapInArrow(partial(_moved, tree=self.tree, value=value, width=self.width), STATE)
+        if self.round + 1 == self.s.rounds:
+            return
+        move = partial(_moved, tree=self.tree, value=value, width=self.width)
+        self.before = self.blocks
+        self.blocks = self.before.mapPartitions(partial(_shifted, move=move)).persist(StorageLevel.MEMORY_AND_DISK)
         if (self.round + 1) % CHECKPOINT == 0:
-            moved = moved.checkpoint()
-        self.state = moved.persist(StorageLevel.MEMORY_AND_DISK)
-        self.state.count()
-        old.unpersist()
+            self.blocks.checkpoint()
 
     def release(self) -> None:
-        self.state.unpersist()
+        for blocks in (self.before, self.blocks):
+            if blocks is not None:
+                blocks.unpersist()
+        self._remove()
+
+
+def _first(row: Sequence[Any]) -> Any:
+    return row[0]
 
 
 def boost(rows: Rows, width: int, s: Boosting, seed: int) -> Iterator[Tree]:

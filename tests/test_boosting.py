@@ -128,6 +128,25 @@ def test_a_wave_shuffles_a_row_a_node_and_task(spark):
     rows.release()
 
 
+def test_many_rounds_on_blocks_leave_no_plans_with_the_driver(spark, monkeypatch):
+    from acreline.operators import boosting
+
+    x, y = sample(500)
+    s = dict(rounds=5, depth=6, leaves=14, l1=3.0, child_rows=4, row_share=0.8, column_share=0.8)
+    df = frame(spark, x, y)
+    held = HistogramBoosting(keyCol="k", settings=Boosting(**s)).fit(df).ensemble
+    monkeypatch.setattr(boosting, "DIRECT", 0)  # sums go through ranges of cells
+    monkeypatch.setattr(boosting, "CHECKPOINT", 2)
+    runs = spark._jsparkSession.sharedState().statusStore()
+    kept, runs_before, waves = spark.sparkContext._jsc.getPersistentRDDs().size(), runs.executionsCount(), []
+    monkeypatch.setattr(boosting.SparkRows, "expand", lambda self, *a, f=boosting.SparkRows.expand: (waves.append(self.round), f(self, *a))[1])
+    parts = HistogramBoosting(keyCol="k", settings=Boosting(**s, held_rows=1)).fit(df.repartition(6)).ensemble
+    assert np.array_equal(held.predict(x), parts.predict(x)) and np.array_equal(np.sort(held.nodes.gain), np.sort(parts.nodes.gain))
+    assert runs.executionsCount() - runs_before <= 4  # not one a wave, each with a plan longer than the last
+    assert max(waves.count(r) for r in range(5)) <= 6  # a wave a level
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+
+
 def test_learns_from_a_bounded_number_of_rows(spark):
     x, y = sample(400)
     df = frame(spark, x, y)
