@@ -155,6 +155,16 @@ def test_learns_from_a_bounded_number_of_rows(spark):
     assert a.nodes.n[a.roots].tolist() == [120, 120] and np.array_equal(a.nodes.value, b.nodes.value)
 
 
+@pytest.mark.parametrize("name", ["leafwise_boosting", "regularised_boosting"])
+def test_presets_learn_from_all_rows(spark, name):
+    """More rows than the 20,000 that the presets were once cut to; the last of them have values of their own."""
+    value = F.when(F.col("id") < 20_500, F.col("id") % 100).otherwise(1000.0)
+    rows = spark.range(21_000, numPartitions=3).select(F.array(value.cast("double")).alias("features"), (value * 7.0).alias("label"), F.col("id").alias("k"))
+    made = HistogramBoosting(keyCol="k", settings=models.shorten(name, 2) | {"row_share": 1.0}).fit(rows).ensemble
+    assert made.nodes.n[made.roots].tolist() == [21_000, 21_000]
+    assert made.cuts[0].max() > 500 and made.predict(np.array([[1000.0]]))[0] > 1000
+
+
 @pytest.mark.parametrize("hot", [False, True])
 def test_first_rows_without_a_task_that_reads_the_table(spark, hot, tmp_path):
     from acreline.operators.boosting import first_rows
@@ -186,6 +196,25 @@ def test_bins():
     assert np.unique(binned(heavy[:, None], [bin_cuts(heavy, 4)])[:, 0]).size >= 2
 
 
+@pytest.mark.parametrize("few", [256, 2])
+def test_bin_cuts_come_from_all_rows(spark, monkeypatch, few):
+    from acreline.operators import boosting
+
+    rng = np.random.default_rng(5)
+    n = 6000
+    heavy = np.where(rng.random(n) < 0.6, 1.25, rng.normal(size=n))
+    near = 1.0 + np.arange(n) * 2.0**-52  # values that differ in the last bits only
+    odd = rng.choice(np.array([-np.inf, np.inf, -0.0, 0.0, 5e-324, -1e308, 1e308, *rng.normal(size=60)]), n)
+    x = np.stack([rng.normal(size=n) ** 3, heavy, near, odd, rng.integers(0, 5, n) * 1.0, np.full(n, np.nan), rng.permutation(n) * 1.0 - 3000], axis=1)
+    x[rng.random(x.shape) < 0.02] = np.nan
+    df = frame(spark, x, np.arange(n) * 1.0).repartition(5)
+    whole = [bin_cuts(x[:, f], 40) for f in range(x.shape[1])]
+    monkeypatch.setattr(boosting, "CUT_ROWS", 1000)
+    monkeypatch.setattr(boosting, "FEW", few)
+    made = boosting._planned(df, F.col("features"), F.col("label"), F.col("k"), Boosting(bins=40)).cuts
+    assert len(made) == len(whole) and all(np.array_equal(a, b) for a, b in zip(made, whole))
+
+
 def test_draws_of_rows():
     key = np.arange(100_000)
     s = Boosting(row_share=0.3, row_every=2)
