@@ -10,7 +10,8 @@ sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(
 import __spark_entry__  # noqa: E402
 from compare import compare, connect  # noqa: E402
 
-from acreline.queries import ORACLES, QUERIES  # noqa: E402
+from acreline.operators import models  # noqa: E402
+from acreline.queries import ORACLES, QUERIES, learned  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -32,6 +33,21 @@ def test_registry(spark):
     assert first.count() == 10 and first.columns == ["part", "stratum", "n_rows", "share"]
 
 
+@pytest.mark.parametrize("name", models.PRESETS)
+def test_training_queries_run_whole_presets(spark, monkeypatch, name):
+    asked = []
+    monkeypatch.setattr(learned, "_rows", lambda *_: spark.createDataFrame([("train",), ("test",)], "part string"))
+    monkeypatch.setattr(models, "fit_full", lambda rows, name, plan, settings=None: asked.append((name, settings)))
+    monkeypatch.setattr(models, "score", lambda *_: dict.fromkeys(("rmse", "mae", "r2", "mse"), 0.0))
+    assert QUERIES[f"train_{name}"](spark, "").first()["model"] == name
+    assert asked[0][0] == name and _built_whole(*asked[0])
+
+
+def _built_whole(name, settings):
+    built = models.build_regressor(name, settings)
+    return all(built.getOrDefault(k) == v for k, v in models.PRESETS[name].items())
+
+
 def test_clusters_and_hotspots(spark):
     spots = QUERIES["geo_hotspots"](spark, SF).toPandas()
     assert len(spots) == 1500 and spots["max_similarity"].between(0, 1).all() and spots["max_similarity"].max() > 0.5
