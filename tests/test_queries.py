@@ -43,6 +43,14 @@ def test_training_queries_run_whole_presets(spark, monkeypatch, name):
     assert asked[0][0] == name and _built_whole(*asked[0])
 
 
+def test_train_all_runs_whole_presets(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(learned, "_rows", lambda *_: None)
+    monkeypatch.setattr(learned, "train_all", lambda rows, plan, names: asked.update(names))
+    QUERIES["train_all"](spark, "")
+    assert set(asked) == {*models.PRESETS, "no_such_model"} and all(_built_whole(n, asked[n]) for n in models.PRESETS)
+
+
 def _built_whole(name, settings):
     built = models.build_regressor(name, settings)
     return all(built.getOrDefault(k) == v for k, v in models.PRESETS[name].items())
